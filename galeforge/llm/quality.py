@@ -16,7 +16,7 @@ from .common import per_row, table
 MIN_WORDS, MAX_REPEATED = 50, 50
 #: Documents shorter than this are not judged by that histogram; distances above these reject.
 MIN_BYTES, MIN_COMMON_WORDS = 200, 100
-MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 0.35, 0.55
+MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 0.35, 0.42
 #: A word is common in a language if it is at least this share of its words; languages with fewer words have no reference.
 COMMON_SHARE, MIN_LANGUAGE_WORDS = 0.002, 2_000
 SYMBOLS = b"#*$%&|<>"
