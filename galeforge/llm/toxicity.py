@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from .common import held_out, materialize, per_row, share_of, table
 
 #: Hash buckets of character n-grams, width of their vectors, lengths of the n-grams, words of a passage.
-BUCKETS, WIDTH, GRAMS, PASSAGE = 1 << 17, 8, (3, 4, 5), 16
+BUCKETS, WIDTH, GRAMS, PASSAGE = 1 << 17, 8, (3, 4, 5), 5
 #: Labelled documents learnt from, at most about, of each class; passages of each document, spread evenly.
-SAMPLE_DOCS, SAMPLE_PASSAGES = 2500, 24
+SAMPLE_DOCS, SAMPLE_PASSAGES = 2500, 64
 EPOCHS, BATCH, RATE, SEED = 4, 256, 0.15, 6
 #: Words kept by a worker.
 KEPT = 500_000
