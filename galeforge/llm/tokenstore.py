@@ -1,4 +1,4 @@
-"""Token-id shards with a minimal perfect hash index: raw 32-bit ids, and constant-time access by document key."""
+"""Token-id shards with a minimal perfect hash index: raw ids, and constant-time access by document key."""
 
 from __future__ import annotations
 
@@ -17,7 +17,7 @@ from .tokens import default_path, encoder
 END_ID = 2
 #: Documents of one shard, about.
 SHARD_DOCS = 4096
-#: Index file: magic, then counts of keys, records and hash levels as little-endian 64-bit numbers.
+#: Index file: magic, then bytes of an id (2 or 4, as the vocabulary needs), counts of keys, records and hash levels as little-endian 64-bit numbers.
 MAGIC = b"TOKMPH01"
 #: Positions for each key that is left, at every level of the hash.
 GAMMA = 2.0
@@ -68,14 +68,14 @@ def print_of(keys: np.ndarray) -> np.ndarray:
     return (mix(keys, 977) >> np.uint64(32)).astype(np.uint32)
 
 
-def index_bytes(keys: np.ndarray, offsets: np.ndarray) -> bytes:
+def index_bytes(keys: np.ndarray, offsets: np.ndarray, width: int) -> bytes:
     """The index file of a shard whose records (sorted keys, equal ones together) begin at these token offsets; offsets has one more."""
     distinct, first, count = np.unique(keys, return_index=True, return_counts=True)
     h = PerfectHash.build(distinct)
     slot = h.lookup(distinct)
     prints, records, counts = np.zeros(len(distinct), "<u4"), np.zeros(len(distinct), "<u4"), np.zeros(len(distinct), "<u4")
     prints[slot], records[slot], counts[slot] = print_of(distinct), first, count
-    head = MAGIC + struct.pack("<3q", len(distinct), len(keys), len(h.sizes)) + np.array(h.sizes, "<i8").tobytes()
+    head = MAGIC + struct.pack("<4q", width, len(distinct), len(keys), len(h.sizes)) + np.array(h.sizes, "<i8").tobytes()
     return head + np.packbits(h.bits).tobytes() + prints.tobytes() + records.tobytes() + counts.tobytes() + offsets.astype("<i8").tobytes()
 
 
@@ -83,8 +83,8 @@ class ShardIndex:
     def __init__(self, raw: bytes):
         if raw[:8] != MAGIC:
             raise ValueError("not a token index file")
-        n, records, levels = struct.unpack_from("<3q", raw, 8)
-        at = 32
+        self.width, n, records, levels = struct.unpack_from("<4q", raw, 8)
+        at = 40
 
         def take(kind: str, k: int) -> np.ndarray:
             nonlocal at
@@ -114,7 +114,7 @@ def _open(path: str):
 def write_token_store(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = END_ID) -> DataFrame:
     """Encode every row's text, append end_id, write ids in ascending doc_id order to files below ``path``; returns the manifest.
 
-    Rows are dealt by ranges of doc_id; a task streams its shard's ids to ``ids-*.u32`` and then writes ``index-*.mph``.
+    Rows are dealt by ranges of doc_id; a task streams its shard's ids to ``ids-*.bin`` and then writes ``index-*.mph``.
     File names have the attempt, and the manifest (a table in path/manifest, one row for each shard) names those of the tasks
     that counted, so retried tasks leave nothing that is read. Null texts are empty; null ids come first, under
     NULL_KEY; equal ids are neighbours, ordered by text. An empty table gives an empty manifest.
@@ -128,22 +128,23 @@ def write_token_store(docs: DataFrame, path: str, tokenizer: str | None = None,
         name = f"{task.partitionId():06d}-{task.taskAttemptId()}"
         fs, base = _open(path)
         fs.create_dir(base, recursive=True)
-        encode, keys, sizes = encoder(tok).encode, [], []
-        with fs.open_output_stream(f"{base}/ids-{name}.u32") as out:
+        coder, keys, sizes = encoder(tok), [], []
+        width = 2 if max(coder.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
+        with fs.open_output_stream(f"{base}/ids-{name}.bin") as out:
             for batch in batches:
                 keys.append(batch.column(0).to_numpy())
                 texts = batch.column(1).to_pylist()
                 for i in range(0, len(texts), 256):
-                    rows = [np.append(x, np.uint32(end_id)) for x in encode(texts[i : i + 256])]
+                    rows = [np.append(x, np.uint32(end_id)) for x in coder.encode(texts[i : i + 256])]
                     sizes += map(len, rows)
-                    out.write(np.concatenate(rows).astype("<u4").tobytes())
+                    out.write(np.concatenate(rows).astype(f"<u{width}").tobytes())
         if not sizes:
-            fs.delete_file(f"{base}/ids-{name}.u32")
+            fs.delete_file(f"{base}/ids-{name}.bin")
             return
         own = np.concatenate(keys)
         with fs.open_output_stream(f"{base}/index-{name}.mph") as out:
-            out.write(index_bytes(own, np.concatenate([[0], np.cumsum(sizes)])))
-        row = [task.partitionId(), int(own[0]), int(own[-1]), len(own), sum(sizes), f"ids-{name}.u32", f"index-{name}.mph"]
+            out.write(index_bytes(own, np.concatenate([[0], np.cumsum(sizes)]), width))
+        row = [task.partitionId(), int(own[0]), int(own[-1]), len(own), sum(sizes), f"ids-{name}.bin", f"index-{name}.mph"]
         yield pa.RecordBatch.from_pydict({f.split()[0]: pa.array([v], {"int": pa.int32(), "long": pa.int64(), "string": pa.string()}[f.split()[1]]) for f, v in zip(MANIFEST.split(", "), row, strict=True)})
 
     dealt.mapInArrow(run, MANIFEST).write.parquet(f"{path}/manifest")
@@ -151,7 +152,7 @@ def write_token_store(docs: DataFrame, path: str, tokenizer: str | None = None,
 
 
 def read_token_store(spark: SparkSession, path: str, keys: DataFrame) -> DataFrame:
-    """(doc_id, start, n_tokens, ids) of every stored document whose doc_id is in the one column of ``keys``, from the files.
+    """(doc_id, start, n_tokens, ids as little-endian unsigned 32-bit) of every stored document whose doc_id is in the one column of ``keys``, from the files.
 
     A key goes to the shard with its range (the manifest has one row for each shard, and is what the driver reads), there through the
     hash to its record and, if the fingerprint agrees, to its ids. ``start`` counts the ids of all documents before it in the store.
@@ -182,8 +183,8 @@ def read_token_store(spark: SparkSession, path: str, keys: DataFrame) -> DataFra
         with fs.open_input_file(f"{base}/{files[shard][0]}") as f:
             ids = []
             for a, b in zip(begin.tolist(), end.tolist(), strict=True):
-                f.seek(4 * a)
-                ids.append(f.read(4 * (b - a)))
+                f.seek(index.width * a)
+                ids.append(np.frombuffer(f.read(index.width * (b - a)), f"<u{index.width}").astype("<u4").tobytes())
         return pa.table({"key": pa.array(np.repeat(k, count), pa.int64()), "start": pa.array(begin + base_of[shard], pa.int64()), "n_tokens": pa.array(end - begin, pa.int64()), "ids": pa.array(ids, pa.binary())})
 
     asked = keys.select(F.coalesce(F.col(keys.columns[0]), F.lit(NULL_KEY)).cast("long").alias("key")).distinct()
