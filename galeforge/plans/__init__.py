@@ -1,9 +1,14 @@
 """One registered query for each operator, with its SQL twin."""
 
+from __future__ import annotations
 
-def queries():
-    return {}
+from . import track_plans  # noqa: F401
+from .base import QUERIES, SQL
 
 
-def oracle_sql():
-    return {}
+def queries() -> dict:
+    return dict(QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(SQL)
