@@ -61,8 +61,9 @@ def boxes_to_wkt(boxes: Column, digits: int | None = None) -> Column:
         corner = lambda x, y: F.concat(x, F.lit(" "), y)
         return F.concat(F.lit("(("), F.concat_ws(", ", corner(w, s), corner(e, s), corner(e, n), corner(w, n), corner(w, s)), F.lit("))"))
 
-    rings = F.transform(boxes, ring)
-    return F.when(boxes.isNull(), None).when(F.size(boxes) == 1, F.concat(F.lit("POLYGON "), rings[0])).otherwise(F.concat(F.lit("MULTIPOLYGON ("), F.array_join(rings, ", "), F.lit(")")))
+    one = F.size(boxes) == 1
+    rings = F.array_join(F.transform(boxes, ring), ", ")
+    return F.when(boxes.isNotNull(), F.concat(F.when(one, "POLYGON ").otherwise("MULTIPOLYGON ("), rings, F.when(one, "").otherwise(")")))
 
 
 def grid_index(x: Column, first: float, step: float, n: int) -> Column:

@@ -79,7 +79,12 @@ def radii_boxes(kt: int):
 
 
 def with_polygons(rows: DataFrame, digits: int | None = None) -> DataFrame:
-    return rows.withColumns({c: boxes_to_wkt(radii_boxes(kt), digits) for c, kt in zip(POLYGON_COLUMNS, RADIUS_KNOTS.values(), strict=True)})
+    """The three polygon columns. Boxes and their parts are columns of their own first, so no expression holds them twice."""
+    radii = lambda kt: [F.col(f"radius_{kt}_knot_winds_{q}_km") for q in ("ne", "se", "sw", "nw")]
+    kts = list(RADIUS_KNOTS.values())
+    rows = rows.withColumns({f"_box{kt}": quadrant_box(F.col("latitude"), F.col("longitude"), *radii(kt)) for kt in kts})
+    rows = rows.withColumns({f"_parts{kt}": antimeridian_split(F.col(f"_box{kt}")) for kt in kts})
+    return rows.withColumns({c: boxes_to_wkt(F.col(f"_parts{kt}"), digits) for c, kt in zip(POLYGON_COLUMNS, kts, strict=True)}).drop(*[f"_{x}{kt}" for kt in kts for x in ("box", "parts")])
 
 
 def standard_schema(rows: DataFrame) -> DataFrame:
