@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import field_plans, river_plans, track_plans  # noqa: F401
+from . import field_plans, river_plans, serving_plans, track_plans  # noqa: F401
 from .base import QUERIES, SQL
 
 
