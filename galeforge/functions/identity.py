@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 BASINS = ("AL", "EP", "CP")
 _PATTERN = "^[A-Z0-9]+(-[A-Z0-9]+)*$"
@@ -23,7 +24,7 @@ def is_named_storm(name: Column) -> Column:
     return (F.length(t) > 2) & ~t.rlike("^[0-9]{2}[A-Za-z]$")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _nfkc(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else unicodedata.normalize("NFKC", x))
 

@@ -22,7 +22,7 @@ def read_raw_tracks(spark: SparkSession, path: str) -> DataFrame:
     kinds = {x.split()[0]: x.split()[1] for x in RAW_SCHEMA.split(", ")}
     header = spark.read.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).option("emptyValue", "").option("nullValue", "\x00").csv(path)
     text = {"storm_id", "storm_identifier", "long_storm_name"}
-    cast = lambda c, k: F.col(c) if c in text else F.nullif(F.trim(c), F.lit("")).try_cast(k)
+    cast = lambda c, k: F.coalesce(F.col(c), F.lit("")) if c in text else F.nullif(F.trim(c), F.lit("")).try_cast(k)
     return header.select(*[(cast(c, k) if c in header.columns else F.lit(None).cast(k)).alias(c) for c, k in kinds.items()])
 
 
