@@ -167,8 +167,10 @@ def required_hours(rows: DataFrame, first: int = 0, column: str = "lead_time") -
 
 
 def cap_members(rows: DataFrame, n: int, by: str) -> DataFrame:
-    """Rows of the first n members of each storm, in order."""
-    return rows.withColumn("_k", F.dense_rank().over(W.partitionBy(by).orderBy("ensemble_member"))).where(F.col("_k") <= n).drop("_k")
+    """Rows of the first n members of each storm, in order. Only the distinct pairs are ranked."""
+    pairs = rows.select(by, "ensemble_member").distinct()
+    first = pairs.withColumn("_k", F.row_number().over(W.partitionBy(by).orderBy("ensemble_member"))).where(F.col("_k") <= n)
+    return rows.join(first.drop("_k"), [by, "ensemble_member"], "left_semi")
 
 
 def member_completeness(rows: DataFrame, by: str, expected: int | None) -> DataFrame:

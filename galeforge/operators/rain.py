@@ -54,7 +54,7 @@ def ensemble_mean_at(field: DataFrame, step: int) -> DataFrame:
 def period_mean(amounts: DataFrame) -> DataFrame:
     """Member mean of each period and node, with the period's largest."""
     m = amounts.groupBy("r", "c", "start_h", "end_h").agg(strict_mean(F.col("amount")).alias("mean"))
-    return m.withColumn("period_max", F.max("mean").over(W.partitionBy("start_h", "end_h")))
+    return m.join(m.groupBy("start_h", "end_h").agg(F.max("mean").alias("period_max")), ["start_h", "end_h"])
 
 
 def period_maximum(amounts: DataFrame) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.geo import antimeridian_split, boxes_to_wkt, haversine_km, quadrant_box
@@ -21,11 +20,18 @@ def validate_tracks(rows: DataFrame) -> DataFrame:
     return out.withColumn("valid", F.greatest(*[F.col(f"n_{c}") for c in COORDINATES]) > 0)
 
 
+def with_group_values(rows: DataFrame, by: tuple[str, ...], **values) -> DataFrame:
+    """Adds aggregates of each group to its rows: a map-side combined aggregate and a join with its few rows, so a large storm is no single task."""
+    keys = [F.col(c).alias(f"_by{i}") for i, c in enumerate(by)]
+    stats = rows.groupBy(*keys).agg(*[v.alias(k) for k, v in values.items()])
+    same = [F.col(c).eqNullSafe(F.col(f"_by{i}")) for i, c in enumerate(by)]
+    return rows.join(stats, same, "left").drop(*[f"_by{i}" for i in range(len(by))])
+
+
 def with_forecast_time(rows: DataFrame, by: tuple[str, ...] = ("storm_id",)) -> DataFrame:
     """Adds forecast_time: a storm's earliest time at step 0, else its first step's time less the step."""
-    w = W.partitionBy(*by)
-    back = F.min_by(F.col("datetime") - F.make_dt_interval(hours=F.col("step")), F.struct("step", "datetime")).over(w)
-    return rows.withColumn("forecast_time", F.coalesce(F.min(F.when(F.col("step") == 0, F.col("datetime"))).over(w), back))
+    back = F.min_by(F.col("datetime") - F.make_dt_interval(hours=F.col("step")), F.struct("step", "datetime"))
+    return with_group_values(rows, by, forecast_time=F.coalesce(F.min(F.when(F.col("step") == 0, F.col("datetime"))), back))
 
 
 def distinct_points(rows: DataFrame) -> DataFrame:
@@ -54,7 +60,8 @@ def standard_names(points: DataFrame, track_id: str | None = None) -> DataFrame:
 
 def pressure_to_hpa(rows: DataFrame, by: str = "track_id", column: str = "pressure_hpa") -> DataFrame:
     """Pascals to hectopascals for the storms whose mean is above 10000."""
-    return rows.withColumn(column, F.when(F.avg(column).over(W.partitionBy(by)) > 10000, F.col(column) / 100).otherwise(F.col(column)))
+    out = with_group_values(rows, (by,), _mean=F.avg(column))
+    return out.withColumn(column, F.when(F.col("_mean") > 10000, F.col(column) / 100).otherwise(F.col(column))).drop("_mean")
 
 
 def wind_to_knots(rows: DataFrame, column: str = "wind_speed_knots") -> DataFrame:
@@ -63,8 +70,7 @@ def wind_to_knots(rows: DataFrame, column: str = "wind_speed_knots") -> DataFram
 
 def clear_impossible_radii(rows: DataFrame) -> DataFrame:
     """All radii of a threshold to 0, nulls too, where the wind is below it; storms without any radius stay as they are."""
-    some = F.max(F.coalesce(*RADIUS_COLUMNS).isNotNull()).over(W.partitionBy("track_id"))
-    rows = rows.withColumn("_some", some)
+    rows = with_group_values(rows, ("track_id",), _some=F.max(F.coalesce(*RADIUS_COLUMNS).isNotNull()))
     new = {c: F.when(F.col("_some") & (F.col("wind_speed_knots") < int(c.split("_")[1])), 0.0).otherwise(F.col(c)) for c in RADIUS_COLUMNS}
     return rows.withColumns(new).drop("_some")
 
