@@ -93,19 +93,60 @@ def traverse(s: CoverTree, t: CoverTree, weights: tuple[np.ndarray, np.ndarray],
     links = [np.zeros(len(s.x)), np.zeros(len(t.x))]
     if same:
         links[1] = links[0]
-    a_edges, b_edges = [], []
+    a_edges, b_edges, held = [], [], 0
     todo = [(0, 0)] if len(s.x) and len(t.x) else []
 
-    def link(p, q, hit):  # hit: which of p (in s) and q (in t) link
-        links[0][p] += hit @ weights[1][q]
-        i, j = np.nonzero(hit)
-        if not same or p is not q:
+    def join(a, b):
+        nonlocal held
+        a_edges.append(a)
+        b_edges.append(b + offset)
+        held += len(a)
+        if held > 500_000:
+            x, y = forest(np.concatenate(a_edges), np.concatenate(b_edges))
+            a_edges[:], b_edges[:], held = [x], [y], len(x)
+
+    def compare(p, q):  # all points of p (in s) with all of q (in t), apart from each other
+        hit = s.x[p] @ t.x[q].T >= cosine
+        if hit.any():
+            i, j = np.nonzero(hit)
+            links[0][p] += hit @ weights[1][q]
             links[1][q] += weights[0][p] @ hit
-        a_edges.append(p[i])
-        b_edges.append(q[j] + offset)
-        if sum(map(len, a_edges[-256:])) > 200_000 or len(a_edges) > 4096:
-            a, b = forest(np.concatenate(a_edges), np.concatenate(b_edges))
-            a_edges[:], b_edges[:] = [a], [b]
+            join(p[i], q[j])
+
+    def within(p):
+        hit = s.x[p] @ s.x[p].T >= cosine
+        np.fill_diagonal(hit, True)
+        links[0][p] += hit @ weights[0][p]
+        i, j = np.nonzero(hit)
+        join(p[i], p[j])
+
+    def points(tree, nodes):
+        return np.concatenate([tree.order[tree.low[n] : tree.high[n]] for n in nodes])
+
+    def pair(kids, other, itself):  # nodes of s with nodes of t; of itself, each pair once
+        y, ry = t.x[[t.centre[c] for c in other]], np.array([t.radius[c] for c in other])
+        leaf_t, one_t = np.array([not t.children[c] for c in other]), np.array([t.high[c] - t.low[c] == 1 for c in other])
+        for k in range(0, len(kids), 512):
+            part = kids[k : k + 512]
+            dots = s.x[[s.centre[c] for c in part]] @ y.T
+            near = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * dots)) <= far + SLACK + np.array([s.radius[c] for c in part])[:, None] + ry[None]
+            if itself:
+                near &= np.arange(len(other))[None] > np.arange(k, k + len(part))[:, None]
+            leaf_s, one_s = np.array([not s.children[c] for c in part]), np.array([s.high[c] - s.low[c] == 1 for c in part])
+            i, j = np.nonzero(near & (dots >= cosine) & one_s[:, None] & one_t[None])  # single points: their centres decide
+            if len(i):
+                p, q = np.array([s.centre[part[x]] for x in i]), np.array([t.centre[other[x]] for x in j])
+                np.add.at(links[0], p, weights[1][q])
+                np.add.at(links[1], q, weights[0][p])
+                join(p, q)
+            for x in np.flatnonzero(leaf_s & ~one_s):  # a leaf of several points with every leaf near it, at once
+                if len(js := np.flatnonzero(near[x] & leaf_t)):
+                    compare(points(s, [part[x]]), points(t, [other[z] for z in js]))
+            for z in np.flatnonzero(leaf_t & ~one_t):
+                if len(xs := np.flatnonzero(near[:, z] & one_s)):
+                    compare(points(s, [part[x] for x in xs]), points(t, [other[z]]))
+            i, j = np.nonzero(near & ~(leaf_s[:, None] & leaf_t[None]))
+            todo.extend((part[x], other[z]) for x, z in zip(i.tolist(), j.tolist(), strict=True))
 
     while todo:
         m, n = todo.pop()
@@ -116,32 +157,17 @@ def traverse(s: CoverTree, t: CoverTree, weights: tuple[np.ndarray, np.ndarray],
             links[0][p] += weights[1][q].sum()
             if not itself:
                 links[1][q] += weights[0][p].sum()
-            a_edges += [p, np.full(len(q), s.centre[m])]
-            b_edges += [np.full(len(p), t.centre[n] + offset), q + offset]
-            continue
-        kids, other = s.children[m] or [m], t.children[n] or [n]
-        if kids == [m] and other == [n]:
-            hit = s.x[p] @ t.x[q].T >= cosine
-            if itself:
-                np.fill_diagonal(hit, True)
-                link(p, p, hit)
-            else:
-                link(p, q, hit)
-            continue
-        y, ry = t.x[[t.centre[c] for c in other]], np.array([t.radius[c] for c in other])
-        for k in range(0, len(kids), 512):
-            part = kids[k : k + 512]
-            near = _distance(s.x[[s.centre[c] for c in part]], y) <= far + SLACK + np.array([s.radius[c] for c in part])[:, None] + ry[None]
-            i, j = np.nonzero(near)
-            if itself:
-                i, j = i[j >= i + k], j[j >= i + k]
-                i = np.r_[i, np.arange(len(part))]
-                j = np.r_[j, np.arange(len(part)) + k]
-                u = np.unique(i * len(other) + j)
-                i, j = u // len(other), u % len(other)
-            todo += [(part[x], other[z]) for x, z in zip(i.tolist(), j.tolist(), strict=True)]
-    if same:
-        links[1] = links[0]
+            join(p, np.full(len(p), t.centre[n]))
+            join(np.full(len(q), s.centre[m]), q)
+        elif itself and not s.children[m]:
+            within(p)
+        elif itself:
+            todo += [(c, c) for c in s.children[m]]
+            pair(s.children[m], s.children[m], True)
+        elif not s.children[m] and not t.children[n]:
+            compare(p, q)
+        else:
+            pair(s.children[m] or [m], t.children[n] or [n], False)
     edges = forest(np.concatenate(a_edges), np.concatenate(b_edges)) if a_edges else (np.zeros(0, int), np.zeros(0, int))
     return links, edges
 
