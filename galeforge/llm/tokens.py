@@ -1,4 +1,4 @@
-"""Byte-level BPE ids of whole texts with the tokenizers library, each distinct piece encoded once."""
+"""Byte-level BPE ids of whole texts with the tokenizers library, each distinct part of a text encoded once."""
 
 from __future__ import annotations
 
@@ -13,14 +13,10 @@ _ODD_SPACE = regex.compile(r" (?![^\p{Z}\p{C}])")
 _FIRST = "\t"
 #: Characters below this are classed alike by every regular expression library.
 _LATIN = "ɐ"
-
-
-class _Numbers(dict):
-    """Numbers its keys as they are first asked for."""
-
-    def __missing__(self, key: str) -> int:
-        self[key] = n = len(self)
-        return n
+#: Stands between pieces that are encoded in one call; parts that hold it are encoded alone.
+_BETWEEN = "\x00"
+#: Bytes worked on at once, and longest part that is kept.
+_BLOCK, _LONGEST = 2_000_000, 1024
 
 
 def _byte_letters() -> dict[int, str]:
@@ -30,110 +26,127 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-class _Rows:
-    """Id lists by number: ``ids[end[n]:end[n + 1]]``."""
+class _Table:
+    """Id lists by two 64-bit hashes of a part: a large sorted run, and a small one of what came since."""
 
     def __init__(self):
-        self.number, self.ids, self.end = _Numbers(), np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        self.runs = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))] * 2  # sorted hashes, and their rows
+        self.check, self.end, self.ids = np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros(0, np.uint32)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The row of each hash, -1 for new ones."""
+        out = np.full(len(hashes), -1, np.int64)
+        for keys, rows in self.runs:
+            if len(keys):
+                at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
+                hit = keys[at] == hashes
+                out[hit] = rows[at[hit]]
+        return out
 
-    def append(self, ids: np.ndarray, sizes: np.ndarray) -> None:
+    def add(self, hashes: np.ndarray, check: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        rows = np.arange(len(sizes)) + len(self.check)
+        self.check = np.concatenate([self.check, check])
         self.ids = np.concatenate([self.ids, ids])
         self.end = np.concatenate([self.end, self.end[-1] + np.cumsum(sizes)])
-
-    def gather(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of these numbers in a row, and how many each has."""
-        size = self.end[at + 1] - self.end[at]
-        after = np.cumsum(size)
-        return self.ids[np.repeat(self.end[at] - (after - size), size) + np.arange(after[-1] if len(after) else 0)], size
+        large, small = self.runs
+        small = self._sorted(np.concatenate([small[0], hashes]), np.concatenate([small[1], rows]))
+        if len(small[0]) * 4 > len(large[0]):
+            large, small = self._sorted(np.concatenate([large[0], small[0]]), np.concatenate([large[1], small[1]])), (small[0][:0], small[1][:0])
+        self.runs = [large, small]
+        return rows
+
+    @staticmethod
+    def _sorted(keys: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        by = np.argsort(keys, kind="stable")
+        return keys[by], rows[by]
 
     def keep(self, n: int) -> None:
-        """Keep the first n: common keys are met early, so those are the ones worth keeping."""
-        self.number = _Numbers(zip(list(self.number)[:n], range(n), strict=False))
-        self.end = self.end[: n + 1].copy()
+        """Keep the first n rows: common parts are met early, so those are the ones worth keeping."""
+        keys, rows = (np.concatenate(x) for x in zip(*self.runs, strict=True))
+        self.runs = [self._sorted(keys[rows < n], rows[rows < n]), (keys[:0], rows[:0])]
+        self.check, self.end = self.check[:n].copy(), self.end[: n + 1].copy()
         self.ids = self.ids[: self.end[-1]].copy()
 
+    def gather(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of these rows one after another, and how many each has."""
+        size = self.end[rows + 1] - self.end[rows]
+        after = np.cumsum(size)
+        return self.ids[np.repeat(self.end[rows] - (after - size), size) + np.arange(after[-1] if len(after) else 0)], size
+
 
 class Encoder:
     """Encodes texts exactly as ``Tokenizer.encode(text, add_special_tokens=False)`` does.
 
     The tokenizer's pattern begins a new piece at every space that stands before a printed character,
-    so a text's ids are those of its space-led parts in a row, and a part's ids are those of its
-    pattern pieces. Both are kept by text; each table is cut to half beyond ``most`` entries, which
-    bounds memory and changes no id. Texts with other spacing, and parts beyond Latin letters or with
-    special tokens, go to the library whole.
+    so a text's ids are those of its space-led parts in a row. Parts are found by two independent 64-bit
+    hashes, taken over all bytes of a block at once; new ones are cut by the pattern and their pieces encoded together in one call. The table is
+    cut to half beyond ``most`` parts, which bounds memory and changes no id. Texts with other spacing or very long
+    parts go to the library whole, as do parts beyond Latin letters or with special tokens.
     """
 
-    def __init__(self, path: str, most: int = 800_000):
+    def __init__(self, path: str, most: int = 2_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import public_tokenizers
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.letters = _byte_letters()
-        self.line = self.letters[10]
+        self.between_id = self.tokenizer.token_to_id(self.letters[0])
         self.pieces_only = Tokenizer.from_file(path)  # the same merges over pieces that are already cut and spelt in byte letters
-        self.pieces_only.pre_tokenizer = pre_tokenizers.Split(self.line, "isolated")
-        self.line_id = self.tokenizer.token_to_id(self.line)
+        self.pieces_only.pre_tokenizer = pre_tokenizers.Split(self.letters[0], "isolated")
         self.pattern = regex.compile(public_tokenizers.PATTERN)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.most = most
-        self.parts, self.pieces = _Rows(), _Rows()
+        self.most, self.table = most, _Table()
+        rng = np.random.default_rng(7)
+        self.weights = [rng.integers(1, 1 << 64, _LONGEST + 1, np.uint64) | np.uint64(1) for _ in range(2)]
 
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
 
-    def _learn_pieces(self, known: int) -> None:
-        new = list(self.pieces.number)[known:]
-        for i in range(0, len(new), 20_000):
-            some = new[i : i + 20_000]
-            spelt = "\n".join(some).encode().decode("latin-1").translate(self.letters)
-            ids = np.array(self.pieces_only.encode_batch_fast([spelt], add_special_tokens=False)[0].ids, np.uint32)
-            cut = np.concatenate([[-1], np.flatnonzero(ids == self.line_id), [len(ids)]])
-            self.pieces.append(ids[ids != self.line_id], np.diff(cut) - 1)
-
-    def _learn_parts(self, known: int) -> None:
-        new, number, before = list(self.parts.number)[known:], self.pieces.number, len(self.pieces.number)
-        at: list[int] = []
+    def _encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids, sizes = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for i in range(0, len(pieces), 20_000):
+            spelt = _BETWEEN.join(pieces[i : i + 20_000]).encode().decode("latin-1").translate(self.letters)
+            got = np.array(self.pieces_only.encode_batch_fast([spelt], add_special_tokens=False)[0].ids, np.uint32)
+            cut = got == self.between_id
+            sizes.append(np.diff(np.concatenate([[-1], np.flatnonzero(cut), [len(got)]])) - 1)
+            ids.append(got[~cut])
+        return np.concatenate(ids), np.concatenate(sizes)
+
+    def _learn(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of new parts one after another, and how many each has."""
+        pieces: list[str] = []
         counts: list[int] = []
         whole: dict[int, np.ndarray] = {}
-        for n, part in enumerate(new):
-            if part.isalpha() and max(part) < _LATIN:
-                at.append(number[" " + part])
+        find, latin = self.pattern.findall, _LATIN
+        for part in parts:
+            if part.isalpha() and (part.isascii() or max(part) < latin):
+                pieces.append(" " + part)
                 counts.append(1)
                 continue
             text = part[1:] if part[:1] == _FIRST else " " + part
-            found = [] if max(text, default="") >= _LATIN or any(t in text for t in self.special) else self.pattern.findall(text)
-            if found and "\n" not in text:
-                at.extend(map(number.__getitem__, found))
-                counts.append(len(found))
-            elif found and not any(p != "\n" and "\n" in p for p in found):  # lone line ends have an id of their own
-                at.extend(-1 if p == "\n" else number[p] for p in found)
+            if (text.isascii() or max(text, default="") < latin) and _BETWEEN not in text and not any(t in text for t in self.special):
+                found = find(text)
+                pieces += found
                 counts.append(len(found))
             else:
-                whole[n] = self._whole(text)
+                whole[len(counts)] = self._whole(text)
                 counts.append(0)
-        self._learn_pieces(before)
-        index = np.array(at, np.int64)
-        ids, size = self.pieces.gather(np.where(index < 0, 0, index)) if len(self.pieces.number) else (np.zeros(0, np.uint32), np.zeros(len(index), np.int64))
-        if (index < 0).any():
-            size_of = np.where(index < 0, 1, size)
-            out = np.full(size_of.sum(), self.line_id, np.uint32)
-            out[np.repeat(index >= 0, size_of)] = ids[np.repeat(index >= 0, size)]
-            ids, size = out, size_of
+        ids, size = self._encode_pieces(pieces)
         ends = np.concatenate([[0], np.cumsum(size)])[np.cumsum([0, *counts])]
         sizes = np.diff(ends)
         for n, x in sorted(whole.items(), reverse=True):
             ids = np.concatenate([ids[: ends[n]], x, ids[ends[n] :]])
             sizes[n] = len(x)
-        self.parts.append(ids, sizes)
+        return ids, sizes
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, uint32."""
         out: list[np.ndarray] = [None] * len(texts)
         i = 0
-        while i < len(texts):  # blocks of some MB, so the working arrays stay small
+        while i < len(texts):
             j, chars = i, 0
-            while j < len(texts) and (j == i or chars + len(texts[j]) < 4_000_000):
+            while j < len(texts) and (j == i or chars + len(texts[j]) < _BLOCK):
                 chars += len(texts[j])
                 j += 1
             self._block(texts, i, j, out)
@@ -141,25 +154,46 @@ class Encoder:
         return out
 
     def _block(self, texts: list[str], i: int, j: int, out: list) -> None:
-        for rows in (self.parts, self.pieces):
-            if len(rows.number) > self.most:
-                rows.keep(self.most // 2)
-        number, known, at, docs = self.parts.number, len(self.parts.number), [], []
+        if len(self.table.check) > self.most:
+            self.table.keep(self.most // 2)
+        docs, raws, counts = [], [], []
         for k in range(i, j):
             if _ODD_SPACE.search(texts[k]):
                 out[k] = self._whole(texts[k])
                 continue
-            first, *rest = texts[k].split(" ")
-            docs.append((k, len(rest) + 1))
-            at.append(number[_FIRST + first])
-            at.extend(map(number.__getitem__, rest))
-        if len(number) > known:
-            self._learn_parts(known)
-        if docs:
-            ids, size = self.parts.gather(np.array(at, np.int64))
-            ends = np.cumsum(size)[np.cumsum([n for _, n in docs]) - 1].tolist()
-            for (k, _), a, b in zip(docs, [0, *ends], ends, strict=False):
-                out[k] = ids[a:b]
+            docs.append(k)
+            raws.append((_FIRST + texts[k]).encode())
+            counts.append(raws[-1].count(b" ") + 1)
+        if not docs:
+            return
+        raw = b" ".join(raws)
+        data = np.frombuffer(raw, np.uint8)
+        spaces = np.flatnonzero(data == 32)
+        starts, ends = np.concatenate([[0], spaces + 1]), np.concatenate([spaces, [len(data)]])
+        size = ends - starts
+        if size.max() > _LONGEST:
+            for k in docs:
+                out[k] = self._whole(texts[k])
+            return
+        place = np.arange(len(data), dtype=np.int32) - np.repeat(starts.astype(np.int32), np.concatenate([np.diff(starts), [len(data) - starts[-1]]]))
+        value = np.where(data == 32, 0, data + np.uint64(1))
+        own, check = (np.add.reduceat(value * w[place], starts) for w in self.weights)
+        del place, value
+        distinct, first, back = np.unique(own, return_index=True, return_inverse=True)
+        rows = self.table.find(distinct)
+        new = np.flatnonzero(rows < 0)
+        if len(new):
+            at = first[new]
+            ids, sizes = self._learn([raw[a:b].decode() for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)])
+            rows[new] = self.table.add(distinct[new], check[at], ids, sizes)
+        rows = rows[back]
+        ids, size = self.table.gather(rows)
+        last = np.cumsum(counts)
+        cut = np.cumsum(size)[last - 1].tolist()
+        wrong = self.table.check[rows] != check  # two parts with one hash: their texts are encoded whole
+        bad = set(np.searchsorted(last, np.flatnonzero(wrong), side="right").tolist()) if wrong.any() else ()
+        for n, (k, a, b) in enumerate(zip(docs, [0, *cut], cut, strict=False)):
+            out[k] = self._whole(texts[k]) if n in bad else ids[a:b]
 
 
 _encoders: dict[str, Encoder] = {}
