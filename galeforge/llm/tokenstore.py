@@ -188,7 +188,8 @@ def read_token_store(spark: SparkSession, path: str, keys: DataFrame) -> DataFra
         return pa.table({"key": pa.array(np.repeat(k, count), pa.int64()), "start": pa.array(begin + base_of[shard], pa.int64()), "n_tokens": pa.array(end - begin, pa.int64()), "ids": pa.array(ids, pa.binary())})
 
     asked = keys.select(F.coalesce(F.col(keys.columns[0]), F.lit(NULL_KEY)).cast("long").alias("key")).distinct()
-    found = asked.mapInArrow(place, "key long, shard int").groupBy("shard").applyInArrow(fetch, "key long, start long, n_tokens long, ids binary")
+    placed = asked.mapInArrow(place, "key long, shard int").repartition(max(1, min(len(shards), 10_000)), "shard")  # keys are small, what they fetch isn't
+    found = placed.groupBy("shard").applyInArrow(fetch, "key long, start long, n_tokens long, ids binary")
     return found.select(F.when(F.col("key") != NULL_KEY, F.col("key")).alias("doc_id"), "start", "n_tokens", "ids")
 
 
