@@ -197,13 +197,14 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, cell: int = CELL) -
     spark = vectors.sparkSession
     rows = materialize(vectors.select("vec_id", "label", "embedding", (usable() & F.col("label").isNotNull()).alias("ok")), "vectors")
     classes = rows.where("ok").groupBy("label", F.size("embedding").alias("dim"), "embedding").agg(F.min("vec_id").alias("first"), F.count("*").alias("copies"))
-    classes = materialize(classes.withColumn("cls", F.xxhash64("label", "dim", "embedding")), "classes")
+    classes = materialize(classes.withColumn("cls", F.monotonically_increasing_id()), "classes")  # written, so the numbers stay
     n = classes.count()
-    share = 1.0 / max(cell, math.isqrt(n))  # so the pivots are at most sqrt(n) and few for each label beyond one
+    share = 1.0 / max(cell, math.isqrt(n))  # so the pivots are at most sqrt(n), and one more for each label
     lead = classes.groupBy("label", "dim").agg(F.min("cls").alias("cls"))
-    pivots = classes.join(lead, ["label", "dim", "cls"], "left_semi").union(classes.where(share_of("cls", share)).select(*classes.join(lead, ["label", "dim", "cls"], "left_semi").columns)).dropDuplicates(["cls"])
+    fields = ["label", "dim", "cls", "embedding"]
+    pivots = classes.where(share_of("cls", share)).select(*fields).union(classes.join(lead.select("cls"), "cls", "left_semi").select(*fields)).dropDuplicates(["cls"])
     table_of: dict[tuple, list] = {}
-    for r in pivots.select("label", "dim", "cls", "embedding").toLocalIterator():
+    for r in pivots.toLocalIterator():
         table_of.setdefault((r["label"], r["dim"]), []).append((r["cls"], r["embedding"]))
     centres = {k: _unit([v for _, v in sorted(x, key=lambda y: y[0])]) for k, x in table_of.items()}
 
@@ -268,11 +269,11 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, cell: int = CELL) -
     total = found.groupBy("cls").agg(F.sum("links").alias("links"))
     named = classes.select("label", "dim", "embedding", "cls", "first").join(total, "cls", "left").join(stars, F.col("cls") == F.col("node"), "left")
     named = named.withColumn("root", F.coalesce("root", "cls"))
-    named = materialize(named.select("cls", "root", "first", "links"), "named")
+    named = materialize(named.select("label", "embedding", "root", "first", "links"), "named")
     least = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    of_class = named.join(least, "root").select("cls", "links", "component_id")
-    own = rows.withColumn("cls", F.when(F.col("ok"), F.xxhash64("label", F.size("embedding"), "embedding")))
-    out = own.join(of_class, "cls", "left")
+    of_class = named.join(least, "root").select("links", "component_id", F.col("label").alias("_l"), F.col("embedding").alias("_e"))
+    own = rows.withColumn("_key", F.when(F.col("ok"), F.col("embedding")))
+    out = own.join(of_class, (F.col("_key") == F.col("_e")) & (F.col("label") == F.col("_l")), "left")
     component = F.when(F.col("ok"), F.col("component_id")).otherwise(F.col("vec_id"))
     return out.select("vec_id", F.when(F.col("ok"), F.col("links") - 1).otherwise(0).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"))
 
