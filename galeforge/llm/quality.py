@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import per_row, table
+from .common import materialize, per_row, table
 
 #: Base rules: fewest words, and most words in repeated 3-word windows, in percent.
 MIN_WORDS, MAX_REPEATED = 50, 50
@@ -83,7 +83,7 @@ class Reference:
 
 
 def _partial_counts(docs: DataFrame, flush: int = 200_000) -> DataFrame:
-    """(lang, kind, key, n) of every document: bytes by class, and lower-cased words, summed in the task as far as they fit."""
+    """(lang, kind, key, n) of every document: bytes by class (c), lower-cased words (w) and their total (t), summed in the task as far as they fit."""
 
     def run(batches):
         words: dict[str, Counter] = {}
@@ -92,6 +92,7 @@ def _partial_counts(docs: DataFrame, flush: int = 200_000) -> DataFrame:
         def out():
             rows = [(lang, "c", str(i), int(n)) for lang, c in classes.items() for i, n in enumerate(c)]
             rows += [(lang, "w", w.decode(), n) for lang, c in words.items() for w, n in c.items()]
+            rows += [(lang, "t", "", c.total()) for lang, c in words.items()]
             words.clear()
             classes.clear()
             return pd.DataFrame(rows, columns=["lang", "kind", "key", "n"])
@@ -115,12 +116,15 @@ def learn_references(docs: DataFrame) -> dict[str, Reference]:
     Counted over all documents; what reaches the driver is at most 1 / COMMON_SHARE words for each language
     with MIN_LANGUAGE_WORDS words, whatever the corpus.
     """
-    counts = _partial_counts(docs).groupBy("lang", "kind", "key").agg(F.sum("n").alias("n")).persist()
-    every = counts.groupBy("kind", "key").agg(F.sum("n").alias("n")).select(F.lit(ANY).alias("lang"), "kind", "key", "n")
-    both = counts.where(F.col("lang") != ANY).unionByName(every)
-    total = both.where("kind = 'w'").groupBy("lang").agg(F.sum("n").alias("total")).where(F.col("total") >= MIN_LANGUAGE_WORDS)
-    chosen = both.join(total, "lang").where((F.col("kind") == "c") | (F.col("n") >= COMMON_SHARE * F.col("total"))).collect()
-    counts.unpersist()
+    partial = _partial_counts(docs).repartition("kind", "key")  # both aggregates below are by these
+    by_lang = partial.groupBy("kind", "key", "lang").agg(F.sum("n").alias("n"))
+    known = F.collect_list(F.when(F.col("lang") != ANY, F.struct("lang", "n")))
+    sums = by_lang.groupBy("kind", "key").agg(F.sum("n").alias("n"), known.alias("langs"))
+    sums = sums.where((F.col("kind") != "w") | (F.col("n") >= COMMON_SHARE * MIN_LANGUAGE_WORDS))  # rarer words are common in no language
+    every = F.struct(F.lit(ANY).alias("lang"), F.col("n"))
+    both = materialize(sums.select("kind", "key", F.explode(F.concat("langs", F.array(every))).alias("x")).select("kind", "key", "x.lang", "x.n"), "word-counts")
+    total = both.where("kind = 't'").select("lang", F.col("n").alias("total")).where(F.col("total") >= MIN_LANGUAGE_WORDS)
+    chosen = both.where("kind <> 't'").join(total, "lang").where((F.col("kind") == "c") | (F.col("n") >= COMMON_SHARE * F.col("total"))).collect()
     out: dict[str, Reference] = {}
     for lang in sorted({r["lang"] for r in chosen}):
         own = sorted((r["key"], r["n"], r["total"]) for r in chosen if r["lang"] == lang and r["kind"] == "w")
