@@ -152,11 +152,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 3) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """The rows of docs without near-duplicates: of every component the first, once."""
-    stay = near_duplicates(docs, shingle).where("first").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
-    own = docs.withColumn("_text_hash", F.xxhash64("text"))
-    kept = own.join(stay, own.doc_id.eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_hash")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "_text_hash"]).drop("_text_hash")
+    """The rows of docs without near-duplicates: of every component the first, once.
+
+    Rows are found by one text key of id and hash, so the join and the removal of repeated rows share a shuffle and an order.
+    """
+    key = lambda h: F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), h.cast("string")).alias("_key")
+    stay = near_duplicates(docs, shingle).where("first").select(key(F.col("text_hash")))
+    kept = docs.select("*", key(F.xxhash64("text"))).join(stay, "_key", "left_semi")
+    return kept.dropDuplicates(["_key"]).drop("_key")
 
 
 def op5_simhash(spark, sf_dir: str) -> DataFrame:
