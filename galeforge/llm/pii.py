@@ -12,8 +12,12 @@ from pyspark.sql import functions as F
 from .common import per_row, share_of, table
 
 KINDS = ("email", "ip", "card", "phone")
-#: Documents whose candidates are learnt from, about; trees, depth, rate, bins; least precision of what a threshold lets through.
-SAMPLE_DOCS, TREES, DEPTH, RATE, BINS, PRECISION = 3000, 40, 3, 0.2, 16, 0.98
+#: Documents that any candidates are learnt from, about, and as many again that hold a value of a kind, for each kind; values of a kind in one
+#: document, and rows of a kind, that are learnt from at most; trees, depth, rate, bins; least precision of what a threshold lets through.
+SAMPLE_DOCS, KIND_VALUES, KIND_ROWS = 3000, 8, 20_000
+TREES, DEPTH, RATE, BINS, PRECISION = 40, 3, 0.2, 16, 0.98
+#: What every value of a kind matches, for Spark.
+HOLDS = (r"[A-Za-z0-9._%+-]@[A-Za-z0-9-]+\.[A-Za-z0-9-]", r"[0-9]\.[0-9]+\.[0-9]+\.[0-9]", r"[0-9]([\x20-]?[0-9]){11}", r"\+[0-9][\x20().0-9-]+[0-9]")
 #: Characters around a candidate that its context features see, and around a mark that an address candidate may take.
 AROUND, REACH = 40, 64
 SEED = 8
@@ -184,42 +188,83 @@ def _disguised(kind: int, s: str, rng: np.random.Generator) -> list[tuple[str, i
     return [(f"({local[:3]}) {local[3:6]}-{local[6:]}", 1), (f"{local[:3]}-{local[3:6]}-{local[6:]}", 1), (f"00{digits[:-10] or '1'} {local[:3]} {local[3:6]} {local[6:]}", 1), (f"{d(4)}.{d(3)}-{d(3)}", 0), (f"{d(3)} {d(3)} {d(3)} {d(3)}"[: rng.integers(11, 16)], 0), (d(2) + "." + d(3) + " " + d(4), 0)]
 
 
-def learn(docs: DataFrame, most: int = SAMPLE_DOCS) -> Boosted:
-    """Trees and thresholds from the candidates of about ``most`` documents, chosen by hash.
+def passes(kind: int, s: str) -> bool:
+    """Whether a generator's find passes its kind's own checks, its format aside: it may well be a true value."""
+    digits = "".join(c for c in s if c.isdecimal())
+    if kind == 0:
+        plain = re.sub(r"\s?[(\[{]dot[)\]}]\s?| dot ", ".", re.sub(r"\s?[(\[{]at[)\]}]\s?| at ", "@", s, count=1, flags=re.I), flags=re.I)
+        return any(True for _ in _emails(plain))
+    if kind == 1:
+        numbers = re.findall(r"\d+", s) if ":" not in s else []
+        return s.count(":") == 7 or len(numbers) == 4 and all(int(x) <= 255 for x in numbers)
+    return 12 <= len(digits) <= 19 and luhn(digits) if kind == 2 else 9 <= len(digits) <= 15
+
+
+def documents_by_kind(docs: DataFrame) -> list[int]:
+    """How many of all documents hold a value of each kind."""
+
+    def start():
+        def make(x):
+            held = [{k for _, k, _ in base_spans(t)} for t in x["text"]]
+            return {name: [int(k in h) for h in held] for k, name in enumerate(KINDS)}
+
+        return make
+
+    some = docs.where(F.col("text").rlike("|".join(HOLDS)))
+    row = per_row(some, ["text"], start, {k: "int" for k in KINDS}, ()).agg(*[F.sum(k).alias(k) for k in KINDS]).first()
+    return [row[k] or 0 for k in KINDS]
+
+
+def learn(docs: DataFrame, most: int = SAMPLE_DOCS, kind_rows: int = KIND_ROWS) -> Boosted:
+    """Trees and thresholds from the candidates of a sample chosen by hash: about ``most`` of all documents, and for each kind about ``most`` of all documents that hold a value of it.
 
     No labels of personal data are given, so they come from the formats: values that pass their checks are written again in other
-    formats where they stood (1), and look-alikes put in their place, as well as the generators' other finds there (0), are negatives. A third is
-    kept back; a kind's threshold is the lowest whose finds there are right in PRECISION of the cases, counting one wrong more.
+    formats where they stood (1), and look-alikes put in their place, as well as the generators' other finds that fail their kind's checks (0), are negatives. Of a kind,
+    KIND_VALUES of a document's values and ``kind_rows`` rows are used at most. A third is kept back; a kind's threshold is the lowest whose finds there are right in PRECISION
+    of the cases, counting one wrong more.
     """
-    n = docs.count()
-    chosen = docs.where(share_of("doc_id", most / n) if n > most else F.lit(True)).where(F.col("text").rlike("[0-9@]"))
+    n, held = docs.count(), documents_by_kind(docs)
+    # by hash of the kind's name and the id; a kind of few documents takes all of them
+    part = [(F.pmod(F.xxhash64(F.lit(name), "doc_id"), F.lit(1 << 30)) < F.lit(int(min(1.0, most / max(1, c)) * (1 << 30)))) & F.col("text").rlike(h) for name, c, h in zip(KINDS, held, HOLDS, strict=True)]
+    anyway = share_of("doc_id", most / n) if n > most else F.lit(True)
+    chosen = docs.where(F.col("text").rlike("[0-9@]")).select("doc_id", "text", anyway.alias("anyway"), *[p.alias(name) for p, name in zip(part, KINDS, strict=True)])
+    chosen = chosen.where(" or ".join(["anyway", *KINDS]))
 
     def start():
         def make(x):
             out = []
-            for doc, text in zip(x["doc_id"], x["text"], strict=True):
-                rng, rows = np.random.default_rng([SEED, abs(doc or 0)]), []
+            for doc, text, all_of_it, *own in zip(x["doc_id"], x["text"], x["anyway"], *(x[k] for k in KINDS), strict=True):
+                rng, rows, taken = np.random.default_rng([SEED, abs(doc or 0)]), [], [0] * len(KINDS)
                 base = base_spans(text)
+                if not all_of_it and not any(own[k] for _, k, _ in base):
+                    out.append(b"")
+                    continue
                 for a, k, b in base:
+                    taken[k] += 1
+                    if not own[k] or taken[k] > KIND_VALUES:
+                        continue
                     head, tail = text[max(0, a - AROUND) : a], text[b : b + AROUND]
                     for s, label in _disguised(k, text[a:b], rng):
                         made = head + s + tail
                         rows += [(*features(made, *c), label) for c in candidates(made) if c[1] == k and c[0] < len(head) + len(s) and c[2] > len(head)]
+                other = [0] * len(KINDS)
                 for c in candidates(text):
-                    if not any(a < c[2] and c[0] < b for a, _, b in base):
+                    if other[c[1]] < KIND_VALUES and not passes(c[1], text[c[0] : c[2]]) and not any(a < c[2] and c[0] < b for a, _, b in base):
+                        other[c[1]] += 1
                         rows.append((*features(text, *c), 0))
                 out.append(np.array(rows, "<f8").tobytes())
             return {"rows": out}
 
         return make
 
-    got = per_row(chosen, ["doc_id", "text"], start, {"rows": "binary"}).where(F.length("rows") > 0).orderBy("doc_id").collect()
+    got = per_row(chosen, ["doc_id", "text", "anyway", *KINDS], start, {"rows": "binary"}).where(F.length("rows") > 0).orderBy("doc_id").collect()
     model = Boosted()
     if not got:
         return model
     data = np.concatenate([np.frombuffer(r["rows"], "<f8").reshape(-1, FEATURES + 1) for r in got])
     rng = np.random.default_rng(SEED)
-    data = data[rng.permutation(len(data))[:20_000]]
+    data = data[rng.permutation(len(data))]
+    data = data[np.sort(np.concatenate([np.flatnonzero(data[:, 0] == k)[:kind_rows] for k in range(len(KINDS))]))]
     x, y = data[:, :-1], data[:, -1]
     if y.min() == y.max():
         return model
