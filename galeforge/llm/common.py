@@ -5,13 +5,18 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A word is a run of characters other than space, tab, LF, VT, FF and CR. ``bytes.split()`` cuts UTF-8 at exactly these.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
+#: Bytes of Arrow data that become Python values at once; a longer row is one by itself.
+SLICE_BYTES = 4_000_000
+
 _local: dict[str, str] = {}
 
 
@@ -69,19 +74,44 @@ def shards_for(rows: int, per_shard: int, most: int = 50_000) -> int:
     return max(1, min(most, -(-rows // per_shard)))
 
 
+def private(name: str, *frames: DataFrame) -> str:
+    """A column name that none of the frames has, whatever the case of its letters."""
+    taken = {c.lower() for f in frames for c in f.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def sliced(batches, columns=None, most: int = SLICE_BYTES):
+    """The same rows in Arrow batches of at most about ``most`` bytes in these columns (all, if None), whatever the size of the given batches."""
+    for batch in batches:
+        size = np.full(batch.num_rows, 8, np.int64)
+        for i in range(batch.num_columns) if columns is None else columns:
+            x = batch.column(i)
+            if pa.types.is_string(x.type) or pa.types.is_binary(x.type) or pa.types.is_large_string(x.type) or pa.types.is_large_binary(x.type):
+                size += pc.fill_null(pc.binary_length(x), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        part = (np.cumsum(size) - 1) // most
+        cut = np.r_[0, np.flatnonzero(part[1:] != part[:-1]) + 1, batch.num_rows] if batch.num_rows else [0, 0]
+        for a, b in zip(cut[:-1], cut[1:], strict=True):
+            yield batch.slice(int(a), int(b - a))
+
+
 def per_row(docs: DataFrame, inputs: list[str], start, outputs: dict[str, str], keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The kept columns as they are, and new ones made in Arrow batches of whole rows.
+    """The kept columns as they are, and new ones made in Arrow batches of whole rows, of about SLICE_BYTES each.
 
     ``start()`` is called once in each task and returns a function from {input: list of values} to {output: values}, row
-    for row. Kept columns never become Python values, so long ids stay exact beside nulls.
+    for row. Kept columns never become Python values, so long ids stay exact beside nulls. A kept column may not have the
+    name of an output.
     """
     types = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "boolean": pa.bool_(), "binary": pa.binary()}
     names = list(keep)
+    if clash := {c.lower() for c in names} & {c.lower() for c in outputs}:
+        raise ValueError(f"columns {sorted(clash)} are kept and made")
     kinds = {f.name: f.dataType.simpleString() for f in docs.select(*names).schema}
 
     def run(batches):
         make = start()
-        for batch in batches:
+        for batch in sliced(batches):
             new = make({c: batch.column(batch.schema.get_field_index(c)).to_pylist() for c in inputs})
             yield pa.RecordBatch.from_arrays(
                 [batch.column(batch.schema.get_field_index(c)) for c in names] + [pa.array(new[c], types[k]) for c, k in outputs.items()], names=[*names, *outputs]

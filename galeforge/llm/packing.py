@@ -2,50 +2,66 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shards_for, table
+from .common import materialize, shards_for, sliced, table
 from .tokens import default_path, encoder
 
 WINDOW, END_ID = 2048, 1
 K1, B = 1.2, 0.75
-#: Documents (or ids) of one index shard, and documents of a partition, which is worked through shard by shard.
+#: Terms by which a seed asks, its rarest; an index takes documents until it has so many, or so many ids; ids of a partition, which is worked through index by index.
+QUERY_TERMS, SHARD_DOCS, SHARD_IDS, PARTITION_IDS = 64, 1024, 2_000_000, 6_000_000
+#: Term counts that one task adds up, and that the driver does; numbers before them; how ids are written in between.
+FAN, HEAD, ID_TYPES = 32, 3, ("<u2", "<u4")
 FIELDS = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
-SHARD_DOCS, SHARD_IDS, PARTITION_DOCS = 512, 2_000_000, 4096
+
+
+@dataclass
+class Corpus:
+    """Documents, ids, and how many documents hold each id, over all documents."""
+
+    id_bytes: int
+    docs: int
+    ids: int
+    df: np.ndarray
+
+    @property
+    def idf(self) -> np.ndarray:
+        return np.log1p((self.docs - self.df + 0.5) / (self.df + 0.5))
 
 
 class Bm25Shard:
-    """An inverted index over token ids: postings by term, weighted, and each document's terms.
+    """An inverted index over token ids: postings by term, weighted by the whole corpus' statistics, and each document's rarest terms.
 
-    The weight is Robertson and Sparck Jones' idf, 0 for terms in over half the documents (which then have no postings), by the usual
-    saturated term frequency.
+    The weight is an idf that is never negative by the usual saturated term frequency. Ids that one document of the shard holds have no postings.
     """
 
-    def __init__(self, docs: list[np.ndarray]):
+    def __init__(self, docs: list[np.ndarray], idf: np.ndarray, mean_size: float = 1.0, query_terms: int = QUERY_TERMS):
         n = len(docs)
         size = np.array([len(x) for x in docs])
         doc = np.repeat(np.arange(n), size)
         key, tf = np.unique(np.concatenate(docs).astype(np.int64) * n + doc, return_counts=True)
         term, doc = key // n, key % n
         first = np.flatnonzero(np.r_[True, term[1:] != term[:-1]])
-        df = np.diff(np.r_[first, len(term)])
-        idf = np.repeat(np.maximum(0.0, np.log((n - df + 0.5) / (df + 0.5))), df)
-        use = (idf > 0) & (np.repeat(df, df) > 1)
+        use = np.repeat(np.diff(np.r_[first, len(term)]), np.diff(np.r_[first, len(term)])) > 1
         term, self.doc, tf = term[use], doc[use], tf[use]
-        self.weight = idf[use] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size[self.doc] / size.mean()))
+        self.weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size[self.doc] / mean_size))
         begin = np.flatnonzero(np.r_[True, term[1:] != term[:-1]]) if len(term) else np.zeros(0, int)
         self.begin, self.end = begin, np.r_[begin[1:], len(term)] if len(term) else begin
         number = np.cumsum(np.r_[False, term[1:] != term[:-1]]) if len(term) else term
-        by_doc = np.argsort(self.doc, kind="stable")
-        self.terms = np.split(number[by_doc], np.searchsorted(self.doc[by_doc], np.arange(1, n)))
+        rare = np.lexsort((term, -idf[term], self.doc))  # each document's terms, rarest first
+        at = np.searchsorted(self.doc[rare], np.arange(n + 1))
+        self.terms = [number[rare[a : min(b, a + query_terms)]] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
         self.n = n
 
     def scores(self, seed: int) -> np.ndarray:
-        """The score of every document of the shard for all of the seed's terms."""
+        """The score of every document of the shard for the seed's rarest terms."""
         terms = self.terms[seed]
         size = self.end[terms] - self.begin[terms]
         after = np.cumsum(size)
@@ -123,25 +139,84 @@ class Packer:
         self.open, self.filled = [], 0
 
 
-def route(text):
-    """What brings like documents into one shard: the least hash of a text's lines."""
-    return F.array_min(F.transform(F.split(F.coalesce(text, F.lit("")), "\n", -1), lambda x: F.xxhash64(x)))
+def route(terms: np.ndarray) -> int:
+    """What brings like documents into one shard: the least hash of a document's QUERY_TERMS highest ids.
+
+    Ids of a byte-level vocabulary rise with the merges, which go from common to rare, so these are about its rarest terms; documents
+    share the least hash as often as they share such terms.
+    """
+    rare = terms[-QUERY_TERMS:].astype(np.uint64) + np.uint64(1)
+    h = rare * np.uint64(0x9E3779B97F4A7C15)
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return int((h >> np.uint64(1)).min()) if len(h) else 0
+
+
+def encoded(docs: DataFrame, path: str, end_id: int) -> DataFrame:
+    """(doc_id, ids, route, stats) for every row: little-endian ids with end_id, of ID_TYPES[0] if the vocabulary allows; and one more row for each task, all null but its stats (bytes of an id, documents, ids, documents by id)."""
+
+    def run(batches):
+        encode = encoder(path).encode
+        size = max(encoder(path).tokenizer.get_vocab_size(), end_id + 1)
+        kind = ID_TYPES[size > 1 << 16]
+        stats = np.zeros(size + HEAD, "<i8")
+        for batch in sliced(batches):
+            keys, found = batch.column(0), encode([t or "" for t in batch.column(1).to_pylist()])
+            ids, routes = [], []
+            for x in found:
+                terms = np.unique(x)
+                stats[terms.astype(np.int64) + HEAD] += 1
+                routes.append(route(terms))
+                ids.append(np.append(x, np.uint32(end_id)).astype(kind).tobytes())
+            stats[end_id + HEAD] += len(ids)
+            stats[1:HEAD] += len(ids), sum(map(len, ids)) // np.dtype(kind).itemsize
+            yield pa.RecordBatch.from_arrays([keys, pa.array(ids, pa.binary()), pa.array(routes, pa.int64()), pa.nulls(len(ids), pa.binary())], names=["doc_id", "ids", "route", "stats"])
+        stats[0] = np.dtype(kind).itemsize
+        if stats[1]:
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.int64()), pa.array([stats.tobytes()], pa.binary())], names=["doc_id", "ids", "route", "stats"])
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, ids binary, route long, stats binary")
+
+
+def corpus_of(stats: DataFrame) -> Corpus:
+    """The sum of all tasks' statistics, FAN at a time; the driver gets FAN rows at most, each as long as the vocabulary."""
+
+    def add(batches):
+        total = 0
+        for batch in sliced(batches):
+            for raw in batch.column(0).to_pylist():
+                one = np.frombuffer(raw, "<i8")
+                total = total + one if isinstance(total, np.ndarray) else one.copy()
+                total[0] = one[0]
+        if isinstance(total, np.ndarray):
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["stats"])
+
+    n = stats.count()
+    while n > FAN:
+        n = -(-n // FAN)
+        stats = materialize(stats.repartition(n).mapInArrow(add, "stats binary"), "term-counts")
+    got = [np.frombuffer(r["stats"], "<i8") for r in stats.collect()]
+    total = sum(got) if got else np.zeros(HEAD, np.int64)
+    return Corpus(int(got[0][0]) if got else 4, int(total[1]), int(total[2]), total[HEAD:])
 
 
 def pack_documents(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID, window: int = WINDOW) -> DataFrame:
     """One row for each piece: doc_id, start, length, ids (little-endian unsigned 32-bit), doc_tokens, sequence_id, offset.
 
-    Every row's text (null: empty) is encoded and ends with end_id, so each has at least one piece. Rows are dealt by ranges of
-    ``route`` and doc_id, which no group of copies can make uneven; a task packs its rows shard by shard with an index each, and
-    leaves no padding: windows are full but for its last, whose ids go into sequences of powers of two. Rows with equal or null doc_id are packed each as a document. An empty table gives an empty result.
+    Every row's text (null: empty) is encoded once and ends with end_id, so each has at least one piece; ids are written, and document
+    frequencies and the mean length counted over all rows. Rows are dealt by ranges of ``route`` and doc_id, which no group of copies can make uneven,
+    into partitions of about PARTITION_IDS ids; a task packs its rows shard by shard with an index each, and
+    leaves no padding: windows are full but for its last, whose ids go into sequences of powers of two. Equal scores go by the rows' order. Rows with equal or null doc_id
+    are packed each as a document; columns beyond doc_id and text play no part. An empty table gives an empty result.
     """
     path = tokenizer or default_path()
-    n = shards_for(docs.count(), PARTITION_DOCS)
-    keyed = docs.select("doc_id", "text", route(F.col("text")).alias("route"))
-    dealt = keyed.repartitionByRange(n, "route", "doc_id").sortWithinPartitions("route", "doc_id", "text").select("doc_id", "text")
+    held_ids = materialize(encoded(docs, path, end_id), "ids")
+    corpus = corpus_of(held_ids.select("stats").where("stats is not null"))
+    mean_size, idf = corpus.ids / max(1, corpus.docs), corpus.idf.astype(np.float32)
+    n, kind = shards_for(corpus.ids, PARTITION_IDS), f"<u{corpus.id_bytes}"
+    rows_of = held_ids.where("ids is not null").select("doc_id", "ids", "route")
+    dealt = rows_of.repartitionByRange(n, "route", "doc_id", F.length("ids")).sortWithinPartitions("route", "doc_id", "ids").select("doc_id", "ids")
 
     def run(batches):
-        encode = encoder(path).encode
         packer = Packer(window, TaskContext.get().partitionId() << 32)
         held: dict[int, tuple] = {}  # documents whose pieces are not all returned
         counter, ids, own = 0, [], []
@@ -150,7 +225,7 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None, end_id: int =
             out = []
             for doc, start, k, sequence, offset in done:
                 doc_id, all_ids = held[doc]
-                out.append((doc_id, start, k, all_ids[start : start + k].astype("<u4").tobytes(), len(all_ids), sequence, offset))
+                out.append((doc_id, start, k, all_ids[start : start + k].tobytes(), len(all_ids), sequence, offset))
             done.clear()
             live = {doc for doc, *_ in packer.open}
             for doc in [d for d in held if d not in live]:
@@ -163,21 +238,19 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None, end_id: int =
             numbers = list(range(counter, counter + len(ids)))
             counter += len(ids)
             held.update(zip(numbers, zip(own, ids, strict=True), strict=True))
-            packer.pack(numbers, [len(x) for x in ids], Bm25Shard(ids))
+            packer.pack(numbers, [len(x) for x in ids], Bm25Shard(ids, idf, mean_size))
             ids, own = [], []
             return rows(packer.done)
 
         total = 0
-        for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
-            for i in range(0, len(texts), 128):
-                for key, x in zip(keys[i : i + 128], encode(texts[i : i + 128]), strict=True):
-                    ids.append(np.append(x, np.uint32(end_id)))
-                    own.append(key)
-                    total += len(ids[-1])
-                    if len(ids) == SHARD_DOCS or total >= SHARD_IDS:
-                        yield shard()
-                        total = 0
+        for batch in sliced(batches):
+            for key, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                ids.append(np.frombuffer(raw, kind).astype("<u4"))
+                own.append(key)
+                total += len(ids[-1])
+                if len(ids) == SHARD_DOCS or total >= SHARD_IDS:
+                    yield shard()
+                    total = 0
         if ids:
             yield shard()
         packer.finish()

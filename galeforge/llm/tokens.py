@@ -8,15 +8,15 @@ import numpy as np
 import regex
 
 #: A space before anything but white space and control characters: there a new piece always begins.
-_ODD_SPACE = regex.compile(r" (?![^\p{Z}\p{C}])")
+_ODD_SPACE, _CUT = regex.compile(r" (?![^\p{Z}\p{C}])"), regex.compile(r" (?=[^\p{Z}\p{C}])")
 #: Marks a text's first part, which has no space before it.
 _FIRST = "\t"
 #: Characters below this are classed alike by every regular expression library.
 _LATIN = "ɐ"
 #: Stands between pieces that are encoded in one call; parts that hold it are encoded alone.
 _BETWEEN = "\x00"
-#: Bytes worked on at once, and longest part that is kept.
-_BLOCK, _LONGEST = 2_000_000, 1024
+#: Characters worked on at once, about; longest part that is kept; and parts kept at most.
+_BLOCK, _LONGEST, _PARTS = 1_000_000, 1024, 500_000
 
 
 def _byte_letters() -> dict[int, str]:
@@ -31,7 +31,8 @@ class _Table:
 
     def __init__(self):
         self.runs = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))] * 2  # sorted hashes, and their rows
-        self.check, self.end, self.ids = np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros(0, np.uint32)
+        self.n, self.check, self.end, self.ids = 0, np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros(0, np.uint32)
+        self.hits = np.zeros(0, np.uint32)  # blocks that held a part
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """The row of each hash, -1 for new ones."""
@@ -44,10 +45,11 @@ class _Table:
         return out
 
     def add(self, hashes: np.ndarray, check: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        rows = np.arange(len(sizes)) + len(self.check)
-        self.check = np.concatenate([self.check, check])
-        self.ids = np.concatenate([self.ids, ids])
-        self.end = np.concatenate([self.end, self.end[-1] + np.cumsum(sizes)])
+        rows, first = np.arange(len(sizes)) + self.n, int(self.end[self.n])
+        self.check, self.hits = self._room(self.check, self.n, check), self._room(self.hits, self.n, np.zeros(len(sizes), np.uint32))
+        self.ids = self._room(self.ids, first, ids)
+        self.end = self._room(self.end, self.n + 1, first + np.cumsum(sizes))
+        self.n += len(sizes)
         large, small = self.runs
         small = self._sorted(np.concatenate([small[0], hashes]), np.concatenate([small[1], rows]))
         if len(small[0]) * 4 > len(large[0]):
@@ -55,17 +57,29 @@ class _Table:
         self.runs = [large, small]
         return rows
 
+    @staticmethod
+    def _room(x: np.ndarray, n: int, more: np.ndarray) -> np.ndarray:
+        """x with ``more`` after its first n values; if there is no room, in an array of twice the size."""
+        if n + len(more) > len(x):
+            x = np.concatenate([x[:n], np.zeros(max(n, len(more)), x.dtype)])
+        x[n : n + len(more)] = more
+        return x
+
     @staticmethod
     def _sorted(keys: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         by = np.argsort(keys, kind="stable")
         return keys[by], rows[by]
 
     def keep(self, n: int) -> None:
-        """Keep the first n rows: common parts are met early, so those are the ones worth keeping."""
+        """Keep the n rows of the parts met most often, the earlier of equals."""
+        stay = np.sort(np.argsort(-self.hits[: self.n].astype(np.int64), kind="stable")[:n])
+        number = np.full(self.n, -1)
+        number[stay] = np.arange(len(stay))
+        self.ids, size = self.gather(stay)
+        self.n, self.check, self.hits, self.end = len(stay), self.check[stay], self.hits[stay], np.concatenate([[0], np.cumsum(size)])
         keys, rows = (np.concatenate(x) for x in zip(*self.runs, strict=True))
-        self.runs = [self._sorted(keys[rows < n], rows[rows < n]), (keys[:0], rows[:0])]
-        self.check, self.end = self.check[:n].copy(), self.end[: n + 1].copy()
-        self.ids = self.ids[: self.end[-1]].copy()
+        rows = number[rows]
+        self.runs = [self._sorted(keys[rows >= 0], rows[rows >= 0]), (keys[:0], rows[:0])]
 
     def gather(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of these rows one after another, and how many each has."""
@@ -80,11 +94,12 @@ class Encoder:
     The tokenizer's pattern begins a new piece at every space that stands before a printed character,
     so a text's ids are those of its space-led parts in a row. Parts are found by two independent 64-bit
     hashes, taken over all bytes of a block at once; new ones are cut by the pattern and their pieces encoded together in one call. The table is
-    cut to half beyond ``most`` parts, which bounds memory and changes no id. Texts with other spacing or very long
+    cut to half beyond ``most`` parts, which bounds memory and changes no id. A text of over a block is cut at such spaces, so
+    memory doesn't grow with it unless it has none. Stretches with other spacing or very long
     parts go to the library whole, as do parts beyond Latin letters or with special tokens.
     """
 
-    def __init__(self, path: str, most: int = 2_000_000):
+    def __init__(self, path: str, most: int = _PARTS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import public_tokenizers
         from tokenizers import Tokenizer, pre_tokenizers
@@ -142,39 +157,52 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, uint32."""
-        out: list[np.ndarray] = [None] * len(texts)
-        i = 0
-        while i < len(texts):
-            j, chars = i, 0
-            while j < len(texts) and (j == i or chars + len(texts[j]) < _BLOCK):
-                chars += len(texts[j])
-                j += 1
-            self._block(texts, i, j, out)
-            i = j
-        return out
-
-    def _block(self, texts: list[str], i: int, j: int, out: list) -> None:
-        if len(self.table.check) > self.most:
+        out: list[list[np.ndarray]] = [[] for _ in texts]
+        held, owners, chars = [], [], 0
+        for k, text in enumerate(texts):
+            at = 0
+            while at < len(text) or not at:
+                cut = _CUT.search(text, at + _BLOCK) if len(text) - at > _BLOCK else None
+                end = cut.start() if cut else len(text)
+                held.append((text[at:end], at > 0))
+                owners.append(k)
+                chars += end - at
+                if chars >= _BLOCK:
+                    for n, ids in zip(owners, self._block(held), strict=True):
+                        out[n].append(ids)
+                    held, owners, chars = [], [], 0
+                if end == len(text):
+                    break
+                at = end
+        for n, ids in zip(owners, self._block(held), strict=True):
+            out[n].append(ids)
+        return [x[0] if len(x) == 1 else np.concatenate(x) for x in out]
+
+    def _block(self, held: list[tuple[str, bool]]) -> list[np.ndarray]:
+        """The ids of stretches of text; those that go on from another (True) begin with a space."""
+        out: list[np.ndarray] = [None] * len(held)
+        if self.table.n > self.most:
             self.table.keep(self.most // 2)
         docs, raws, counts = [], [], []
-        for k in range(i, j):
-            if _ODD_SPACE.search(texts[k]):
-                out[k] = self._whole(texts[k])
+        for k, (text, goes_on) in enumerate(held):
+            if _ODD_SPACE.search(text):
+                out[k] = self._whole(text)
                 continue
             docs.append(k)
-            raws.append((_FIRST + texts[k]).encode())
+            raws.append((text[1:] if goes_on else _FIRST + text).encode())
             counts.append(raws[-1].count(b" ") + 1)
         if not docs:
-            return
+            return out
         raw = b" ".join(raws)
+        del raws
         data = np.frombuffer(raw, np.uint8)
         spaces = np.flatnonzero(data == 32)
         starts, ends = np.concatenate([[0], spaces + 1]), np.concatenate([spaces, [len(data)]])
         size = ends - starts
         if size.max() > _LONGEST:
             for k in docs:
-                out[k] = self._whole(texts[k])
-            return
+                out[k] = self._whole(held[k][0])
+            return out
         place = np.arange(len(data), dtype=np.int32) - np.repeat(starts.astype(np.int32), np.concatenate([np.diff(starts), [len(data) - starts[-1]]]))
         value = np.where(data == 32, 0, data + np.uint64(1))
         own, check = (np.add.reduceat(value * w[place], starts) for w in self.weights)
@@ -186,6 +214,7 @@ class Encoder:
             at = first[new]
             ids, sizes = self._learn([raw[a:b].decode() for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)])
             rows[new] = self.table.add(distinct[new], check[at], ids, sizes)
+        self.table.hits[rows] += 1
         rows = rows[back]
         ids, size = self.table.gather(rows)
         last = np.cumsum(counts)
@@ -193,7 +222,8 @@ class Encoder:
         wrong = self.table.check[rows] != check  # two parts with one hash: their texts are encoded whole
         bad = set(np.searchsorted(last, np.flatnonzero(wrong), side="right").tolist()) if wrong.any() else ()
         for n, (k, a, b) in enumerate(zip(docs, [0, *cut], cut, strict=False)):
-            out[k] = self._whole(texts[k]) if n in bad else ids[a:b]
+            out[k] = self._whole(held[k][0]) if n in bad else ids[a:b]
+        return out
 
 
 _encoders: dict[str, Encoder] = {}

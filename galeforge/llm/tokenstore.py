@@ -11,12 +11,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shards_for, shared_path, table
+from .common import shards_for, shared_path, sliced, table
 from .tokens import default_path, encoder
 
 END_ID = 2
-#: Documents of one shard, about.
-SHARD_DOCS = 4096
+#: Bytes of the texts of one shard, about; what a document counts beside its text; bytes of ids that are returned at once.
+SHARD_BYTES, ROW_BYTES, PART_BYTES = 12_000_000, 64, 4_000_000
 #: Index file: magic, then bytes of an id (2 or 4, as the vocabulary needs), counts of keys, records and hash levels as little-endian 64-bit numbers.
 MAGIC = b"TOKMPH01"
 #: Positions for each key that is left, at every level of the hash.
@@ -121,7 +121,8 @@ def write_token_store(docs: DataFrame, path: str, tokenizer: str | None = None,
     """
     spark, tok = docs.sparkSession, tokenizer or default_path()
     keyed = docs.select(F.coalesce("doc_id", F.lit(NULL_KEY)).alias("key"), F.coalesce("text", F.lit("")).alias("text"))
-    dealt = keyed.repartitionByRange(shards_for(docs.count(), SHARD_DOCS), "key").sortWithinPartitions("key", "text")
+    size = keyed.agg(F.sum(F.octet_length("text") + ROW_BYTES)).first()[0] or 0
+    dealt = keyed.repartitionByRange(shards_for(size, SHARD_BYTES), "key").sortWithinPartitions("key", "text")
 
     def run(batches):
         task = TaskContext.get()
@@ -131,13 +132,11 @@ def write_token_store(docs: DataFrame, path: str, tokenizer: str | None = None,
         coder, keys, sizes = encoder(tok), [], []
         width = 2 if max(coder.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
         with fs.open_output_stream(f"{base}/ids-{name}.bin") as out:
-            for batch in batches:
-                keys.append(batch.column(0).to_numpy())
-                texts = batch.column(1).to_pylist()
-                for i in range(0, len(texts), 256):
-                    rows = [np.append(x, np.uint32(end_id)) for x in coder.encode(texts[i : i + 256])]
-                    sizes += map(len, rows)
-                    out.write(np.concatenate(rows).astype(f"<u{width}").tobytes())
+            for batch in sliced(batches):
+                keys.append(batch.column(0).to_numpy().copy())
+                rows = [np.append(x, np.uint32(end_id)) for x in coder.encode(batch.column(1).to_pylist())]
+                sizes += map(len, rows)
+                out.write(np.concatenate(rows).astype(f"<u{width}").tobytes())
         if not sizes:
             fs.delete_file(f"{base}/ids-{name}.bin")
             return
@@ -170,26 +169,42 @@ def read_token_store(spark: SparkSession, path: str, keys: DataFrame) -> DataFra
             ok = at >= 0
             yield pa.RecordBatch.from_arrays([pa.array(k[ok]), pa.array(at[ok].astype(np.int32))], names=["key", "shard"])
 
-    def fetch(group, rows):
-        shard = group[0].as_py()
+    def fetch(batches):
+        at, index, ids = -1, None, None
         fs, base = _open(path)
-        with fs.open_input_stream(f"{base}/{files[shard][1]}") as f:
-            index = ShardIndex(f.read())
-        k = np.sort(rows.column("key").to_numpy())
-        record, count = index.find(k)
-        k, record, count = k[count > 0], record[count > 0], count[count > 0]
-        at = np.repeat(record, count) + np.concatenate([np.arange(c) for c in count] or [np.zeros(0, int)])
-        begin, end = index.offsets[at], index.offsets[at + 1]
-        with fs.open_input_file(f"{base}/{files[shard][0]}") as f:
-            ids = []
-            for a, b in zip(begin.tolist(), end.tolist(), strict=True):
-                f.seek(index.width * a)
-                ids.append(np.frombuffer(f.read(index.width * (b - a)), f"<u{index.width}").astype("<u4").tobytes())
-        return pa.table({"key": pa.array(np.repeat(k, count), pa.int64()), "start": pa.array(begin + base_of[shard], pa.int64()), "n_tokens": pa.array(end - begin, pa.int64()), "ids": pa.array(ids, pa.binary())})
+        for batch in batches:
+            shard_of = batch.column(1).to_numpy()
+            cut = np.r_[0, np.flatnonzero(shard_of[1:] != shard_of[:-1]) + 1, len(shard_of)] if len(shard_of) else [0]
+            for i, j in zip(cut[:-1], cut[1:], strict=True):  # keys of one shard stand together
+                if at != shard_of[i]:
+                    at = int(shard_of[i])
+                    with fs.open_input_stream(f"{base}/{files[at][1]}") as f:
+                        index = ShardIndex(f.read())
+                    if ids is not None:
+                        ids.close()
+                    ids = fs.open_input_file(f"{base}/{files[at][0]}")
+                k = batch.column(0).to_numpy()[i:j]
+                record, count = index.find(k)
+                k, record, count = k[count > 0], record[count > 0], count[count > 0]
+                place = np.repeat(record, count) + np.concatenate([np.arange(c) for c in count] or [np.zeros(0, int)])
+                k, begin, end = np.repeat(k, count), index.offsets[place], index.offsets[place + 1]
+                part = (np.cumsum(end - begin) - 1) * 4 // PART_BYTES if len(k) else begin
+                for some in np.split(np.arange(len(k)), np.flatnonzero(part[1:] != part[:-1]) + 1):
+                    if len(some):
+                        yield read(ids, index.width, k[some], begin[some], end[some], base_of[at])
+        if ids is not None:
+            ids.close()
+
+    def read(f, width, k, begin, end, base):
+        out = []
+        for a, b in zip(begin.tolist(), end.tolist(), strict=True):
+            f.seek(width * a)
+            out.append(np.frombuffer(f.read(width * (b - a)), f"<u{width}").astype("<u4").tobytes())
+        return pa.RecordBatch.from_arrays([pa.array(k, pa.int64()), pa.array(begin + base, pa.int64()), pa.array(end - begin, pa.int64()), pa.array(out, pa.binary())], names=["key", "start", "n_tokens", "ids"])
 
     asked = keys.select(F.coalesce(F.col(keys.columns[0]), F.lit(NULL_KEY)).cast("long").alias("key")).distinct()
     placed = asked.mapInArrow(place, "key long, shard int").repartition(max(1, min(len(shards), 10_000)), "shard")  # keys are small, what they fetch isn't
-    found = placed.groupBy("shard").applyInArrow(fetch, "key long, start long, n_tokens long, ids binary")
+    found = placed.sortWithinPartitions("shard", "key").mapInArrow(fetch, "key long, start long, n_tokens long, ids binary")
     return found.select(F.when(F.col("key") != NULL_KEY, F.col("key")).alias("doc_id"), "start", "n_tokens", "ids")
 
 

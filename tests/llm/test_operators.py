@@ -124,16 +124,30 @@ def test_references_count_everything(spark):
 # 2: packing.
 def test_bm25_scores():
     sets = [np.array(x, np.uint32) for x in ([1, 2, 3, 4], [1, 2, 2, 9], [7, 8, 8], [3, 9, 9, 5], [6], [6, 4])]
-    index, n, mean = packing.Bm25Shard(sets), 6, np.mean([len(x) for x in sets])
+    n, mean = 6, 7.5
     df = Counter(t for x in sets for t in set(x.tolist()))
+    corpus = packing.Corpus(4, 40, 300, np.arange(10) + 1)  # of a corpus that this is a part of
+    index = packing.Bm25Shard(sets, corpus.idf, mean)
     for seed in range(n):
         want = np.zeros(n)
         for t in set(sets[seed].tolist()):
-            idf = max(0.0, np.log((n - df[t] + 0.5) / (df[t] + 0.5))) * (df[t] > 1)
+            idf = np.log(1 + (40 - (t + 1) + 0.5) / (t + 1 + 0.5)) * (df[t] > 1)
             for k, x in enumerate(sets):
                 if tf := x.tolist().count(t):
                     want[k] += idf * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(x) / mean))
         assert np.allclose(index.scores(seed), want)
+    assert packing.Bm25Shard(sets, corpus.idf, mean, query_terms=1).scores(1)[1] == packing.Bm25Shard(sets, corpus.idf, mean, query_terms=1).scores(1).max()
+
+
+def test_packing_counts_the_corpus(spark, monkeypatch):
+    monkeypatch.setattr(packing, "FAN", 2)
+    texts = [words(30, s, 50) for s in range(40)]
+    plain = Tokenizer.from_file(default_path())
+    ids = [plain.encode(t, add_special_tokens=False).ids + [1] for t in texts]
+    stats = packing.encoded(docs(spark, [(i, t, "en", "s") for i, t in enumerate(texts)]).repartition(7), default_path(), 1).select("stats").where("stats is not null")
+    got, df = packing.corpus_of(stats), Counter(t for x in ids for t in set(x))
+    assert (got.id_bytes, got.docs, got.ids) == (2, 40, sum(map(len, ids)))
+    assert {k: int(n) for k, n in enumerate(got.df) if n} == dict(df)
 
 
 def check_pieces(rows, texts, end_id, window=2048):
@@ -171,7 +185,7 @@ def test_packing_is_exact(spark, monkeypatch):
 def test_packing_joins_like_documents():
     sets = [np.array([k // 2 * 50 + j for j in range(40)], np.uint32) for k in (0, 2, 4, 6, 1, 3, 5, 7)]
     p = packing.Packer(80, 0)
-    p.pack(list(range(8)), [40] * 8, packing.Bm25Shard(sets))
+    p.pack(list(range(8)), [40] * 8, packing.Bm25Shard(sets, np.ones(400), 40.0))
     together = {frozenset(d for d, *_, s, _ in p.done if s == k) for k in range(4)}
     assert together == {frozenset(x) for x in ((0, 4), (1, 5), (2, 6), (3, 7))}
 
@@ -482,7 +496,8 @@ def test_perfect_hash():
 
 
 def test_token_store(spark, monkeypatch):
-    monkeypatch.setattr(tokenstore, "SHARD_DOCS", 9)
+    monkeypatch.setattr(tokenstore, "SHARD_BYTES", 2000)
+    monkeypatch.setattr(tokenstore, "PART_BYTES", 100)
     rows = [(i * 3, words(i * 5, i), "en", "s") for i in range(50)] + [(7, "twice", "en", "s"), (7, "twice", "en", "s"), (None, "no id", "en", "s"), (200, None, "en", "s")]
     path = shared_path(spark, "test-tokens")
     manifest = tokenstore.write_token_store(docs(spark, rows, True), path)
