@@ -69,6 +69,27 @@ def share_of(column: str, fraction: float):
     return F.pmod(F.xxhash64(F.lit("share"), F.col(column)), F.lit(1 << 30)) < F.lit(int(min(1.0, fraction) * (1 << 30)))
 
 
+#: Words of 64 bits in the table that split_by broadcasts, at most.
+SPLIT_WORDS = 1 << 18
+
+
+def split_by(rows: DataFrame, key, members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows in two parts: the first has every row whose key (a long) is in the one column of ``members``, and a few others.
+
+    What is broadcast is a bitmap of fixed size, 4 MB at most whatever the members: with very many of them the first part
+    gets more of the other rows, so it must still be joined. The second part needs no shuffle.
+    """
+    place = lambda k: F.pmod(F.shiftrightunsigned(k, 6), F.lit(SPLIT_WORDS)).cast("int")
+    bit = lambda k: F.call_function("shiftleft", F.lit(1).cast("long"), k.bitwiseAND(F.lit(63)).cast("int"))
+    m = F.col(members.columns[0])
+    words = members.select(place(m).alias("w"), bit(m).alias("b")).groupBy("w").agg(F.bit_or("b").alias("bits"))
+    k, w, bits = private("k", rows), private("w", rows), private("bits", rows)
+    words = words.select(F.col("w").alias(w), F.col("bits").alias(bits))
+    marked = rows.withColumn(k, key).withColumn(w, place(F.col(k))).join(F.broadcast(words), w, "left")
+    inside = F.coalesce(F.col(bits).bitwiseAND(bit(F.col(k))) != 0, F.lit(False))
+    return marked.where(inside).select(*rows.columns), marked.where(~inside).select(*rows.columns)
+
+
 def shards_for(rows: int, per_shard: int, most: int = 50_000) -> int:
     """Partitions for so many rows; beyond ``most`` they grow larger instead, and are worked through in blocks."""
     return max(1, min(most, -(-rows // per_shard)))

@@ -34,6 +34,25 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[rest], nodes[root[rest]]
 
 
+def spanning(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Some of the edges (a, b), as few as connect what all of them connect."""
+    if not len(a):
+        return a, b
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = at[: len(a)], at[len(a) :]
+    label, kept = np.arange(len(nodes)), []
+    while len(live := np.flatnonzero(label[x] != label[y])):
+        end = np.concatenate([label[x[live]], label[y[live]]])
+        _, first = np.unique(end, return_index=True)  # the first edge that leaves each component
+        kept.append(np.unique(np.concatenate([live, live])[first]))
+        low, root = forest(label[x[kept[-1]]], label[y[kept[-1]]])
+        now = np.arange(len(nodes))
+        now[low] = root
+        label = now[label]
+    pick = np.concatenate(kept) if kept else np.zeros(0, int)
+    return a[pick], b[pick]
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (columns a, b, long) that is not the smallest of its component.
 

@@ -8,8 +8,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .components import connected_components, forest
-from .common import materialize, per_row
+from .common import materialize, per_row, private, table
+from .components import connected_components, spanning
 
 RADIUS = 3
 BITS = 64
@@ -21,27 +21,35 @@ BLOCK = 1024
 STEP = 65_536
 
 
-def fingerprint(text: str | None, shingle: int = 3) -> int:
-    """The 64-bit fingerprint of a whole text, as an unsigned number.
+def hashes(text: str | None, shingle: int = 3):
+    """The XXH64 hashes, seed 42, of every run of ``shingle`` words of a whole text, repeats included, in blocks of up to STEP.
 
-    A-Z are lower-cased, words are cut at ASCII white space, every run of ``shingle`` words (repeats
-    included) is hashed with XXH64, seed 42. A bit is set if it is set in over half the hashes. A text with
-    fewer words has one shingle, its whole sequence; null and texts without words give 0.
+    A-Z are lower-cased, words are cut at ASCII white space. A text with fewer words has one run, its whole
+    sequence; null and texts without words have none.
     """
     words = (text or "").encode().lower().split()
     if not words:
-        return 0
+        return
     joined = b" ".join(words)
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
     k = min(shingle, len(words))
     a, b, h = starts[: len(words) - k + 1], ends[k - 1 :], xxhash.xxh64_intdigest
-    ones = np.zeros(BITS, np.int64)
     for i in range(0, len(a), STEP):
-        part = np.array([h(joined[x:y], 42) for x, y in zip(a[i : i + STEP].tolist(), b[i : i + STEP].tolist(), strict=True)], np.uint64)
+        yield np.array([h(joined[x:y], 42) for x, y in zip(a[i : i + STEP].tolist(), b[i : i + STEP].tolist(), strict=True)], np.uint64)
+
+
+def fingerprint_of(blocks) -> int:
+    """The 64-bit fingerprint of these hashes, as an unsigned number: a bit is set if it is set in over half of them; 0 for none."""
+    ones, n = np.zeros(BITS, np.int64), 0
+    for part in blocks:
         ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int32)
-    bits = np.packbits(2 * ones > len(a), bitorder="little")
-    return int(bits.view(np.uint64)[0])
+        n += len(part)
+    return int(np.packbits(2 * ones > n, bitorder="little").view(np.uint64)[0])
+
+
+def fingerprint(text: str | None, shingle: int = 3) -> int:
+    return fingerprint_of(hashes(text, shingle))
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
@@ -69,7 +77,7 @@ def _signed(x: int) -> int:
 
 
 def _close_pairs(fp: np.ndarray, run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions (i, j) of fingerprints in the same run (equal numbers stand together) within the radius, as stars."""
+    """Positions (i, j) of fingerprints in the same run (equal numbers stand together) within the radius; of those, what connects all of them."""
     n = len(fp)
     last = np.searchsorted(run, run, side="right")
     found = []
@@ -85,13 +93,13 @@ def _close_pairs(fp: np.ndarray, run: np.ndarray) -> tuple[np.ndarray, np.ndarra
         for x in range(s, e, BLOCK):
             for y in range(x, e, BLOCK):
                 i, j = np.nonzero(np.bitwise_count(fp[x : min(x + BLOCK, e), None] ^ fp[None, y : min(y + BLOCK, e)]) <= RADIUS)
-                found.append(forest(i + x, j + y))
+                found.append(spanning(i + x, j + y))
             if len(found) > 64:
-                found = [forest(*map(np.concatenate, zip(*found, strict=True)))]
+                found = [spanning(*map(np.concatenate, zip(*found, strict=True)))]
     if not found:
         return np.zeros(0, int), np.zeros(0, int)
     a, b = map(np.concatenate, zip(*found, strict=True))
-    return forest(a[a != b], b[a != b])
+    return spanning(a[a != b], b[a != b])
 
 
 def linked_fingerprints(distinct: DataFrame, hot: int = HOT_BUCKET) -> DataFrame:
@@ -100,7 +108,7 @@ def linked_fingerprints(distinct: DataFrame, hot: int = HOT_BUCKET) -> DataFrame
     Each fingerprint goes to one bucket in each of 15 tables, by its bits under that table's mask. Buckets with
     over ``hot`` fingerprints are dealt anew by 15 masks over the bits that the first one left out: the pair's
     differing bits are all among those, so the guarantee holds again. A task compares what shares a bucket
-    and returns the links as stars, at most one edge for each fingerprint and bucket.
+    and returns links that connect all of its links, less than one for each fingerprint and bucket.
     """
     first = masks(list(range(BITS)))
     second = [[_signed(m) for m in masks([p for p in range(BITS) if not mask >> p & 1])] for mask in first]
@@ -143,7 +151,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 3) -> DataFrame:
     own = materialize(fingerprints(docs, shingle), "fingerprints")
     row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
     classes = materialize(own.groupBy("fp").agg(F.min(row).alias("first")), "classes")
-    roots = connected_components(linked_fingerprints(classes.select("fp")))
+    links = materialize(linked_fingerprints(classes.select("fp")), "links")  # used more than once, and made in Python
+    roots = connected_components(links)
     led = materialize(classes.join(roots, classes.fp == roots.node, "left").select("fp", F.coalesce("root", "fp").alias("root"), "first"), "led")
     least = led.groupBy("root").agg(F.min("first").alias("least"))
     named = led.join(least, "root").select("fp", "least")
@@ -152,18 +161,17 @@ def near_duplicates(docs: DataFrame, shingle: int = 3) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """The rows of docs without near-duplicates: of every component the first, once.
+    """The rows of docs without near-duplicates by fingerprints alone: of every component the first, once.
 
     Rows are found by one text key of id and hash, so the join and the removal of repeated rows share a shuffle and an order.
     """
-    key = lambda h: F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), h.cast("string")).alias("_key")
-    stay = near_duplicates(docs, shingle).where("first").select(key(F.col("text_hash")))
-    kept = docs.select("*", key(F.xxhash64("text"))).join(stay, "_key", "left_semi")
-    return kept.dropDuplicates(["_key"]).drop("_key")
+    key = lambda h: F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), h.cast("string"))
+    name = private("key", docs)
+    stay = near_duplicates(docs, shingle).where("first").select(key(F.col("text_hash")).alias(name))
+    kept = docs.withColumn(name, key(F.xxhash64("text"))).join(stay, name, "left_semi")
+    return kept.dropDuplicates([name]).select(*docs.columns)
 
 
 def op5_simhash(spark, sf_dir: str) -> DataFrame:
-    from .common import table
-
     out = near_duplicates(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
