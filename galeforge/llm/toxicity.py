@@ -3,18 +3,23 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, materialize, per_row, share_of, table
+from .common import held_out, per_row, table
 
 #: Hash buckets of character n-grams, width of their vectors, lengths of the n-grams, words of a passage.
 BUCKETS, WIDTH, GRAMS, PASSAGE = 1 << 17, 8, (3, 4, 5), 5
-#: Labelled documents learnt from, at most about, of each class; passages of each document, spread evenly.
-SAMPLE_DOCS, SAMPLE_PASSAGES = 2500, 64
+#: Labelled documents learnt from, at most about, of each class; words of each, in stretches spread evenly over longer ones.
+SAMPLE_DOCS, SAMPLE_WORDS = 2500, 20_000
 EPOCHS, BATCH, RATE, SEED = 4, 256, 0.15, 6
+#: Passages that vectors are learnt from at most, half of each class, chosen at random where a class has more; parts of the sample, for the curve; steps of its
+#: fit; passages gone through in all epochs together, about: with many, fewer epochs learn less by heart.
+TRAIN_PASSAGES, PARTS, CURVE_STEPS, VISITS = 100_000, 5, 30, 160_000
 #: Words kept by a worker.
 KEPT = 500_000
 
@@ -58,35 +63,39 @@ class ToxicityModel:
 
 
 class Scorer:
-    """Logits of whole texts: a passage's is the mean of its words', a word's the mean of its n-grams'; a text's is its highest passage's."""
+    """Logits of whole texts: a passage's is the mean of its words', a word's the mean of its n-grams'; a text's is the highest of all its passages', which overlap."""
 
     def __init__(self, model: ToxicityModel):
-        self.model, self.number, self.value = model, {}, np.zeros(0)
+        self.model, self.number, self.value, self.n = model, {}, np.zeros(0), 0
 
     def logit(self, texts: list[str | None]) -> list[float]:
+        return [self.words_logit(split_words(t)) for t in texts]
+
+    def words_logit(self, words: list[bytes]) -> float:
+        return float(self.passages(words).max()) + self.model.bias if words else self.model.bias
+
+    def passages(self, words: list[bytes]) -> np.ndarray:
+        """The mean value of every PASSAGE words in a row."""
         number = self.number
         if len(number) > KEPT:
             number.clear()
-            self.value = self.value[:0]
-        rows, known = [], len(number)
-        for t in texts:
-            rows.append([number.setdefault(w, len(number)) for w in split_words(t)])
-        if len(number) > known:
-            new = list(number)[known:]
+            self.n = 0
+        row = [number.setdefault(w, len(number)) for w in words]
+        if len(number) > self.n:
+            new = list(islice(number, self.n, None)) if self.n * 4 < len(number) else list(islice(reversed(number), len(number) - self.n))[::-1]
             ids, owner = gram_ids(new)
             sums, n = np.bincount(owner, self.model.value[ids], len(new)), np.bincount(owner, minlength=len(new))
-            self.value = np.concatenate([self.value, sums / np.maximum(n, 1)])
-        out = []
-        for row in rows:
-            if not row:
-                out.append(self.model.bias)
-                continue
-            v = self.value[row]
-            cut = np.arange(0, len(v), PASSAGE)
-            if len(cut) > 1 and len(v) - cut[-1] < PASSAGE // 2:
-                cut = cut[:-1]  # a short end goes with the passage before it
-            out.append(float((np.add.reduceat(v, cut) / np.diff(np.r_[cut, len(v)])).max()) + self.model.bias)
-        return out
+            if len(number) > len(self.value):
+                self.value = np.concatenate([self.value[: self.n], np.zeros(max(1024, len(number)))])
+            self.value[self.n : len(number)] = sums / np.maximum(n, 1)
+            self.n = len(number)
+        return windows(self.value[row])
+
+
+def windows(value: np.ndarray) -> np.ndarray:
+    """The mean of every PASSAGE words in a row; of all words, if there are fewer."""
+    sums = np.cumsum(np.r_[0.0, value])
+    return (sums[PASSAGE:] - sums[:-PASSAGE]) / PASSAGE if len(value) >= PASSAGE else value.mean(keepdims=True)
 
 
 def train(passages: list[list[bytes]], labels: np.ndarray, epochs: int = EPOCHS, seed: int = SEED) -> ToxicityModel:
@@ -145,45 +154,92 @@ def calibrate(model: ToxicityModel, logits: np.ndarray, labels: np.ndarray) -> T
     return ToxicityModel(model.value, model.bias, float(a[0] / scale), float(a[1] - a[0] * mean / scale))
 
 
+def calibrate_noisy(model: ToxicityModel, logits: np.ndarray, labels: np.ndarray) -> ToxicityModel:
+    """A logistic curve for labels of which some say toxic whatever the text.
+
+    The chance of label 1 is taken as c + n (1 - c), c by the curve and n the same for all logits; by turns, toxic labels are shared out between
+    the two, and both are fitted. Without this, such labels flatten the curve until nothing reaches a high score.
+    """
+    share, noise = labels.astype(float), 0.05
+    for _ in range(CURVE_STEPS):
+        model = calibrate(model, logits, share)
+        c = 1 / (1 + np.exp(-np.clip(model.slope * logits + model.shift, -30, 30)))
+        by_noise = noise * (1 - c) / np.maximum(c + noise * (1 - c), 1e-12)
+        noise = min(0.5, max(1e-3, float((labels * by_noise).sum() / max(1e-9, (1 - c).sum()))))
+        share = np.where(labels == 1, 1 - by_noise, 0.0)
+    return model
+
+
+def fit(docs: list[list[bytes]], labels: np.ndarray) -> ToxicityModel:
+    """Vectors from the documents' passages, each with its document's label."""
+    rng, passages, y = np.random.default_rng(SEED), [], []
+    most = {k: max(1, TRAIN_PASSAGES // 2 // max(1, int((labels == k).sum()))) for k in (0, 1)}
+    for words, label in zip(docs, labels.tolist(), strict=True):
+        cut = np.arange(0, max(1, len(words) - PASSAGE // 2), PASSAGE)
+        cut = rng.permutation(cut)[: most[label]] if len(cut) > most[label] else cut
+        passages += [words[k : k + PASSAGE] for k in cut.tolist()]
+        y += [label] * len(cut)
+    return train(passages, np.array(y), min(EPOCHS, max(2, VISITS // len(passages))))
+
+
+def fit_in_parts(spark, texts: list[str], labels: np.ndarray) -> tuple[ToxicityModel, np.ndarray]:
+    """The model of all texts, and each text's logit by a model of the other parts; PARTS + 1 tasks, each with the whole (bounded) sample."""
+    part = np.zeros(len(labels), np.int64)
+    for k in (0, 1):  # each class in equal parts
+        part[labels == k] = np.arange((labels == k).sum()) % PARTS
+
+    def run(batches):
+        for batch in batches:
+            for k in batch.column(0).to_pylist():
+                docs, own = [t.encode().split() for t in texts], part == k
+                model = fit([d for d, mine in zip(docs, own, strict=True) if not mine], labels[~own])
+                if k < PARTS:
+                    scorer = Scorer(model)
+                    found = np.array([scorer.words_logit(d) for d, mine in zip(docs, own, strict=True) if mine], float)
+                else:
+                    found = np.r_[model.bias, model.value]
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([found.astype("<f8").tobytes()], pa.binary())], names=["part", "found"])
+
+    got = {r["part"]: np.frombuffer(r["found"], "<f8") for r in spark.range(0, PARTS + 1, 1, PARTS + 1).mapInArrow(run, "part long, found binary").collect()}
+    out = np.zeros(len(labels))
+    for k in range(PARTS):
+        out[part == k] = got[k]
+    return ToxicityModel(got[PARTS][1:], float(got[PARTS][0])), out
+
+
 def learn(docs: DataFrame, labels: DataFrame, most: int = SAMPLE_DOCS) -> ToxicityModel:
     """The model of (doc_id, text) and (doc_id, toxic), from at most about ``most`` labelled documents of each class, chosen by hash.
 
-    Passages of those reach the driver, SAMPLE_PASSAGES from each; the curve from logit to score is fitted on the whole texts of documents
-    that the vectors were not learnt from, a third. Rows with a null or other label than 0 and 1 are left out; without both classes the model scores everything 0.
+    Their words reach the driver, SAMPLE_WORDS of each. The curve from logit to score is fitted on all of them, each with the logit of a model
+    that was learnt from the other parts (of PARTS); the vectors are learnt from all. Rows with a null or other label than 0 and 1 are left out; without two documents of both classes the
+    model scores everything 0.
     """
     known = labels.where("toxic in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     sizes = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     if len(sizes) < 2:
         return ToxicityModel(np.zeros(BUCKETS), -50.0)
     chosen = known.where(" or ".join(f"toxic = {k} and pmod(xxhash64('share', doc_id), 1073741824) < {int(min(1.0, most / n) * (1 << 30))}" for k, n in sizes.items()))
-    sample = materialize(docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic"), "labelled")
-    fit = (F.crc32(F.concat(F.lit("fit"), F.col("doc_id").cast("string")).cast("binary")) % 3 != 0).alias("fit")
+    sample = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic")
 
     def start():
         def make(x):
             out = []
             for t in x["text"]:
                 words = split_words(t)
-                cut = list(range(0, max(1, len(words) - PASSAGE // 2), PASSAGE))
-                take = [cut[int(k)] for k in np.linspace(0, len(cut) - 1, min(len(cut), SAMPLE_PASSAGES))]
-                out.append(b"\n".join(b" ".join(words[c : c + PASSAGE]) for c in take).decode())
-            return {"passages": out}
+                if len(words) > SAMPLE_WORDS:
+                    at = np.linspace(0, len(words) - PASSAGE, SAMPLE_WORDS // PASSAGE).astype(int).tolist()
+                    words = [w for k in at for w in words[k : k + PASSAGE]]
+                out.append(b" ".join(words).decode())
+            return {"words": out}
 
         return make
 
-    got = per_row(sample.select("doc_id", "text", "toxic", fit).where("fit"), ["text"], start, {"passages": "string"}, ("doc_id", "toxic")).orderBy("doc_id").collect()
-    passages, y = [], []
-    for r in got:
-        for p in r["passages"].split("\n"):
-            if p:
-                passages.append(p.encode().split())
-                y.append(r["toxic"])
-    if len(set(y)) < 2:
+    got = sorted(per_row(sample, ["text"], start, {"words": "string"}, ("doc_id", "toxic")).where("words <> ''").collect(), key=lambda r: (r["doc_id"], r["words"]))
+    y = np.array([r["toxic"] for r in got], np.int64)
+    if min((y == k).sum() for k in (0, 1)) < 2:
         return ToxicityModel(np.zeros(BUCKETS), -50.0)
-    model = train(passages, np.array(y))
-    rest = sample.select("doc_id", "text", "toxic", fit).where("not fit")
-    pairs = np.array([(r["logit"], r["toxic"]) for r in logits(rest, model, ("doc_id", "toxic")).orderBy("doc_id").collect()], float).reshape(-1, 2)
-    return calibrate(model, pairs[:, 0], pairs[:, 1]) if len(set(pairs[:, 1])) == 2 else model
+    model, out = fit_in_parts(docs.sparkSession, [r["words"] for r in got], y)
+    return calibrate_noisy(model, out, y)
 
 
 def logits(docs: DataFrame, model: ToxicityModel, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -191,10 +247,7 @@ def logits(docs: DataFrame, model: ToxicityModel, keep: tuple[str, ...] = ("doc_
         scorer = Scorer(model)
 
         def make(x):
-            texts, out = x["text"], []
-            for i in range(0, len(texts), 512):
-                out += scorer.logit(texts[i : i + 512])
-            return {"logit": out}
+            return {"logit": scorer.logit(x["text"])}
 
         return make
 
