@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -11,10 +12,12 @@ from pyspark.sql import functions as F
 
 from .common import per_row, share_of, table
 
-KINDS = ("email", "ip", "card", "phone")
+#: The first four have a fixed format; secrets are found by the method alone.
+KINDS = ("email", "ip", "card", "phone", "secret")
+BASE_KINDS = KINDS[:4]
 #: Documents that any candidates are learnt from, about, and as many again that hold a value of a kind, for each kind; values of a kind in one
 #: document, and rows of a kind, that are learnt from at most; trees, depth, rate, bins; least precision of what a threshold lets through.
-SAMPLE_DOCS, KIND_VALUES, KIND_ROWS = 3000, 8, 20_000
+SAMPLE_DOCS, KIND_VALUES, KIND_ROWS = 3000, 8, 12_000
 TREES, DEPTH, RATE, BINS, PRECISION = 40, 3, 0.2, 16, 0.98
 #: What every value of a kind matches, for Spark.
 HOLDS = (r"[A-Za-z0-9._%+-]@[A-Za-z0-9-]+\.[A-Za-z0-9-]", r"[0-9]\.[0-9]+\.[0-9]+\.[0-9]", r"[0-9]([\x20-]?[0-9]){11}", r"\+[0-9][\x20().0-9-]+[0-9]")
@@ -77,6 +80,7 @@ _MORE = (
     (1, re.compile(r"(?<![\w:])(?:[0-9A-Fa-f]{1,4}:){3,7}[0-9A-Fa-f]{1,4}(?![\w:])")),
     (2, re.compile(r"(?<!\d)\d(?:[ ._/-]{0,2}\d){11,18}(?!\d)")),
     (3, re.compile(r"(?<![\w+])(?:00\d{1,3}[ .-]?)?(?:\(\d{2,4}\)|\d{2,4})[ .-]?\d{3}[ .-]\d{3,4}(?!\d)")),
+    (4, re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{16,512}={0,2}(?![A-Za-z0-9+/_=-])")),
 )
 
 
@@ -89,19 +93,28 @@ def candidates(text: str) -> list[tuple[int, int, int, int]]:
             out.append((m.start() - len(before[0]), 0, after.end(), 0))
     if _DIGIT.search(text):
         for g, (kind, pattern) in enumerate(_MORE, 1):
-            out += [(m.start(), kind, m.end(), g) for m in pattern.finditer(text)]
+            out += [(m.start(), kind, m.end(), g) for m in pattern.finditer(text) if kind != 4 or _mixed(m[0])]
     return sorted(out)
 
 
+def _mixed(s: str) -> bool:
+    return any(c.isdigit() for c in s) and any(c.isalpha() for c in s)
+
+
 #: Words that stand near each kind of data, and near what only looks like it. Fixed values.
 CONTEXT = (
     ("mail", "email", "contact", "write", "courriel", "correo"),
     ("ip", "host", "server", "address", "adresse"),
     ("card", "visa", "credit", "payment", "carte", "karte", "tarjeta"),
     ("phone", "tel", "call", "mobile", "fax", "telefon"),
-    ("version", "release", "isbn", "order", "id", "no", "token", "hash", "serial", "date", "page"),
+    ("version", "release", "isbn", "order", "id", "no", "serial", "date", "page"),
+    ("token", "secret", "key", "apikey", "password", "passwd", "pwd", "auth", "bearer", "credential"),
+    ("hash", "commit", "sha", "md", "checksum", "digest", "uuid", "file", "image", "path"),
 )
-FEATURES = 16 + len(CONTEXT)
+FEATURES = 21 + len(CONTEXT)
+
+
+_ASSIGNED = re.compile(r"[a-z_]\s*[=:]\s*[\"']?\Z")
 
 
 def features(text: str, start: int, kind: int, end: int, generator: int) -> list[float]:
@@ -115,6 +128,7 @@ def features(text: str, start: int, kind: int, end: int, generator: int) -> list
     return [
         kind, generator, len(s), len(digits), len(rest), len(set(rest)), sum(c.isalpha() for c in s), len(numbers), max(map(len, numbers), default=0), float(luhn(digits)) if 12 <= len(digits) <= 19 else -1.0,
         sum(int(n) <= 255 for n in numbers if len(n) < 6), float(s[:1] == "0"), s.count("."), float(before[-1:].isalnum()), float(after[:1].isalnum()), float(before[-1:] in "#=:\"'$"),
+        len(set(s)) / len(s), sum(c in "0123456789abcdefABCDEF" for c in s) / len(s), sum(c.isupper() for c in s) / len(s), sum(a.isdigit() != b.isdigit() for a, b in zip(s, s[1:])) / len(s), float(bool(_ASSIGNED.search(before))),
         *(float(any(w in group for w in near)) for group in CONTEXT),
     ]
 
@@ -172,10 +186,35 @@ class Boosted:
         return 1 / (1 + np.exp(-z))
 
 
+def _invented(kind: int, rng: np.random.Generator) -> str:
+    """A value of a kind's fixed format at random; of secrets, random letters and digits."""
+    d = lambda n: "".join(map(str, rng.integers(0, 10, n)))
+    w = lambda: "".join(rng.choice(list("abcdefghijklmnoprstuvw"), rng.integers(3, 9)))
+    if kind == 0:
+        return f"{w()}{rng.choice(['.', '_', ''])}{w()}@{w()}.{rng.choice(['com', 'org', 'net', 'de'])}"
+    if kind == 1:
+        return ".".join(map(str, rng.integers(1, 256, 4)))
+    if kind == 2:
+        head = d(15)
+        return next(head + str(k) for k in range(10) if luhn(head + str(k)))
+    if kind == 3:
+        return f"+{rng.integers(1, 99)} {d(10)}"
+    letters = str(rng.choice(["0123456789abcdef", "0123456789ABCDEF", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"]))
+    return "a1" + "".join(rng.choice(list(letters), rng.integers(18, 62)))
+
+
 def _disguised(kind: int, s: str, rng: np.random.Generator) -> list[tuple[str, int]]:
     """A true value in other formats (label 1), and look-alikes of its kind (label 0)."""
     digits = "".join(c for c in s if c.isdecimal())
     d = lambda n: "".join(map(str, rng.integers(0, 10, n)))
+    if kind == 4:
+        w = lambda: "".join(rng.choice(list("abcdefghijklmnoprstuvw"), rng.integers(4, 9)))
+        name = str(rng.choice(["token", "secret", "api_key", "password", "TOKEN", "auth_token", "client_secret", "access-key"]))
+        hexes = "".join(rng.choice(list("0123456789abcdef"), 40))
+        return [
+            (f'{name} = "{s}"', 1), (f"{name}: {s}", 1), (f"{name}='{s}'", 1), (f"Bearer {s}", 1),
+            (f"{w()}-{w()}-{d(2)}-{w()}", 0), (f"{w()}/{w()}/{w()}_{d(4)}", 0), (f"{d(4)}-{d(2)}-{d(2)}T{d(2)}-{d(2)}-{d(2)}", 0), (f"commit {hexes}", 0), (f"sha1: {hexes}", 0), (f"{w()}{w()}{w()}{d(2)}", 0),
+        ]
     if kind == 0:
         local, _, domain = s.partition("@")
         return [(f"{local} [at] {domain.replace('.', ' [dot] ')}", 1), (f"{local} at {domain.replace('.', ' dot ')}", 1), (f"look at {local.split('.')[0]}.{domain.split('.')[0]}", 0)]
@@ -197,6 +236,8 @@ def passes(kind: int, s: str) -> bool:
     if kind == 1:
         numbers = re.findall(r"\d+", s) if ":" not in s else []
         return s.count(":") == 7 or len(numbers) == 4 and all(int(x) <= 255 for x in numbers)
+    if kind == 4:
+        return len(set(s)) >= 10 and sum(a.isdigit() != b.isdigit() for a, b in zip(s, s[1:])) >= 4
     return 12 <= len(digits) <= 19 and luhn(digits) if kind == 2 else 9 <= len(digits) <= 15
 
 
@@ -206,50 +247,62 @@ def documents_by_kind(docs: DataFrame) -> list[int]:
     def start():
         def make(x):
             held = [{k for _, k, _ in base_spans(t)} for t in x["text"]]
-            return {name: [int(k in h) for h in held] for k, name in enumerate(KINDS)}
+            return {name: [int(k in h) for h in held] for k, name in enumerate(BASE_KINDS)}
 
         return make
 
     some = docs.where(F.col("text").rlike("|".join(HOLDS)))
-    row = per_row(some, ["text"], start, {k: "int" for k in KINDS}, ()).agg(*[F.sum(k).alias(k) for k in KINDS]).first()
-    return [row[k] or 0 for k in KINDS]
+    row = per_row(some, ["text"], start, {k: "int" for k in BASE_KINDS}, ()).agg(*[F.sum(k).alias(k) for k in BASE_KINDS]).first()
+    return [row[k] or 0 for k in BASE_KINDS]
 
 
 def learn(docs: DataFrame, most: int = SAMPLE_DOCS, kind_rows: int = KIND_ROWS) -> Boosted:
     """Trees and thresholds from the candidates of a sample chosen by hash: about ``most`` of all documents, and for each kind about ``most`` of all documents that hold a value of it.
 
     No labels of personal data are given, so they come from the formats: values that pass their checks are written again in other
-    formats where they stood (1), and look-alikes put in their place, as well as the generators' other finds that fail their kind's checks (0), are negatives. Of a kind,
+    formats where they stood, and invented values of every kind, secrets among them, at random places of the sample's texts (1). Look-alikes put in their place, as well
+    as the generators' other finds that fail their kind's checks, are negatives (0). Of a kind,
     KIND_VALUES of a document's values and ``kind_rows`` rows are used at most. A third is kept back; a kind's threshold is the lowest whose finds there are right in PRECISION
     of the cases, counting one wrong more.
     """
     n, held = docs.count(), documents_by_kind(docs)
     # by hash of the kind's name and the id; a kind of few documents takes all of them
-    part = [(F.pmod(F.xxhash64(F.lit(name), "doc_id"), F.lit(1 << 30)) < F.lit(int(min(1.0, most / max(1, c)) * (1 << 30)))) & F.col("text").rlike(h) for name, c, h in zip(KINDS, held, HOLDS, strict=True)]
+    part = [(F.pmod(F.xxhash64(F.lit(name), "doc_id"), F.lit(1 << 30)) < F.lit(int(min(1.0, most / max(1, c)) * (1 << 30)))) & F.col("text").rlike(h) for name, c, h in zip(BASE_KINDS, held, HOLDS, strict=True)]
     anyway = share_of("doc_id", most / n) if n > most else F.lit(True)
-    chosen = docs.where(F.col("text").rlike("[0-9@]")).select("doc_id", "text", anyway.alias("anyway"), *[p.alias(name) for p, name in zip(part, KINDS, strict=True)])
-    chosen = chosen.where(" or ".join(["anyway", *KINDS]))
+    chosen = docs.where(F.length("text") > 0).select("doc_id", "text", anyway.alias("anyway"), *[p.alias(name) for p, name in zip(part, BASE_KINDS, strict=True)])
+    chosen = chosen.where(" or ".join(["anyway", *BASE_KINDS]))
 
     def start():
         def make(x):
             out = []
-            for doc, text, all_of_it, *own in zip(x["doc_id"], x["text"], x["anyway"], *(x[k] for k in KINDS), strict=True):
+            for doc, text, all_of_it, *own in zip(x["doc_id"], x["text"], x["anyway"], *(x[k] for k in BASE_KINDS), strict=True):
                 rng, rows, taken = np.random.default_rng([SEED, abs(doc or 0)]), [], [0] * len(KINDS)
                 base = base_spans(text)
                 if not all_of_it and not any(own[k] for _, k, _ in base):
                     out.append(b"")
                     continue
-                for a, k, b in base:
-                    taken[k] += 1
-                    if not own[k] or taken[k] > KIND_VALUES:
-                        continue
+
+                def put(a, k, b, choices):
                     head, tail = text[max(0, a - AROUND) : a], text[b : b + AROUND]
-                    for s, label in _disguised(k, text[a:b], rng):
+                    for s, label in choices:
                         made = head + s + tail
-                        rows += [(*features(made, *c), label) for c in candidates(made) if c[1] == k and c[0] < len(head) + len(s) and c[2] > len(head)]
-                other = [0] * len(KINDS)
+                        rows.extend((*features(made, *c), label) for c in candidates(made) if c[1] == k and c[0] < len(head) + len(s) and c[2] > len(head))
+
+                for a, k, b in base:
+                    taken[k] += 1
+                    if own[k] and taken[k] <= KIND_VALUES:
+                        put(a, k, b, _disguised(k, text[a:b], rng))
+                if all_of_it:
+                    for k in range(len(KINDS)):
+                        at = text.find(" ", int(rng.integers(0, len(text)))) + 1
+                        choices = _disguised(k, _invented(k, rng), rng)
+                        yes, no = [c for c in choices if c[1]], [c for c in choices if not c[1]]
+                        put(at, k, at, [(s + " ", label) for s, label in (yes[rng.integers(len(yes))], no[rng.integers(len(no))])])
+                other, taken_by = [0] * len(KINDS), Taken()
+                for a, _, b in base:
+                    taken_by.add(a, b)
                 for c in candidates(text):
-                    if other[c[1]] < KIND_VALUES and not passes(c[1], text[c[0] : c[2]]) and not any(a < c[2] and c[0] < b for a, _, b in base):
+                    if other[c[1]] < KIND_VALUES and not passes(c[1], text[c[0] : c[2]]) and taken_by.free(c[0], c[2]):
                         other[c[1]] += 1
                         rows.append((*features(text, *c), 0))
                 out.append(np.array(rows, "<f8").tobytes())
@@ -257,7 +310,7 @@ def learn(docs: DataFrame, most: int = SAMPLE_DOCS, kind_rows: int = KIND_ROWS)
 
         return make
 
-    got = per_row(chosen, ["doc_id", "text", "anyway", *KINDS], start, {"rows": "binary"}).where(F.length("rows") > 0).orderBy("doc_id").collect()
+    got = sorted(per_row(chosen, ["doc_id", "text", "anyway", *BASE_KINDS], start, {"rows": "binary"}).where(F.length("rows") > 0).collect(), key=lambda r: (r["doc_id"] is not None, r["doc_id"], r["rows"]))
     model = Boosted()
     if not got:
         return model
@@ -281,17 +334,38 @@ def learn(docs: DataFrame, most: int = SAMPLE_DOCS, kind_rows: int = KIND_ROWS)
     return model
 
 
+class Taken:
+    """Stretches of a text that are taken; finding whether one is free takes a search, however many there are."""
+
+    def __init__(self):
+        self.begin: list[int] = []
+        self.end: list[int] = []
+
+    def free(self, a: int, b: int) -> bool:
+        k = bisect_left(self.begin, b)
+        return k == 0 or self.end[k - 1] <= a
+
+    def add(self, a: int, b: int) -> None:
+        """Stretches that overlap become one."""
+        i, j = bisect_left(self.end, a), bisect_right(self.begin, b)
+        self.begin[i:j], self.end[i:j] = [min([a, *self.begin[i : i + 1]]) if i < j else a], [max([b, *self.end[j - 1 : j]]) if i < j else b]
+
+
 def find_spans(text: str, model: Boosted) -> tuple[list, list]:
     """Base spans, and those with what the trees add: by probability, none over a base span or another addition."""
-    base = base_spans(text)
-    found = [c for c in candidates(text) if not any(a < c[2] and c[0] < b for a, _, b in base)]
-    if not found or not model.trees:
+    base, taken = base_spans(text), Taken()
+    found = candidates(text) if model.trees else []
+    for a, _, b in base if found else ():
+        taken.add(a, b)
+    found = [c for c in found if taken.free(c[0], c[2])]
+    if not found:
         return base, base
     p = model.probability(np.array([features(text, *c) for c in found], float))
     added: list[tuple[int, int, int]] = []
     for i in np.argsort(-p, kind="stable"):
         a, kind, b, _ = found[i]
-        if p[i] >= model.thresholds[kind] and not any(x < b and a < y for x, _, y in added):
+        if p[i] >= model.thresholds[kind] and taken.free(a, b):
+            taken.add(a, b)
             added.append((a, kind, b))
     return base, sorted(base + added)
 
@@ -329,5 +403,6 @@ def find_personal_data(docs: DataFrame, model: Boosted, keep: tuple[str, ...] =
 def op8_pii(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = find_personal_data(docs, learn(docs))
-    count = lambda k: F.regexp_count("base_spans", F.lit(f"{k}:")).cast("long").alias(f"n_{k}")
-    return out.select("doc_id", *map(count, KINDS), F.sha2("base_spans", 256).alias("base_sha256"), "spans")
+    count = lambda k, c: F.regexp_count(c, F.lit(f"{k}:[0-9]+:")).cast("long")
+    base = [count(k, "base_spans").alias(f"n_{k}") for k in BASE_KINDS]
+    return out.select("doc_id", *base, F.sha2("base_spans", 256).alias("base_sha256"), "spans", count("secret", "spans").alias("n_secret"), count("", "spans").alias("n_spans"))
