@@ -221,8 +221,10 @@ def _disguised(kind: int, s: str, rng: np.random.Generator) -> list[tuple[str, i
     if kind == 1:
         return [(s.replace(".", " . "), 1), (":".join(f"{rng.integers(0, 65536):x}" for _ in range(8)), 1), (".".join(str(rng.integers(256, 999)) for _ in range(4)), 0), (":".join(f"{rng.integers(0, 60):02d}" for _ in range(4)), 0)]
     if kind == 2:
+        lists = [f"{d(3)} {d(2)}.{d(1)} 20{d(2)}-{d(2)}-{d(2)}" for _ in range(40)] + [f"{d(2)}.{d(3)} {d(1)} {d(5)}/{d(3)}" for _ in range(40)]
+        lucky = [x for x in lists if luhn("".join(c for c in x if c.isdecimal()))]  # not cards, though their check digit is right
         wrong = digits[:-1] + str((int(digits[-1]) + 1 + rng.integers(0, 8)) % 10)
-        return [(".".join(re.findall(".{1,4}", digits)), 1), ("/".join(re.findall(".{1,4}", digits)), 1), (wrong, 0), (d(14), 0), (d(4) + "." + d(12), 0)]
+        return [(".".join(re.findall(".{1,4}", digits)), 1), ("/".join(re.findall(".{1,4}", digits)), 1), (wrong, 0), (d(14), 0), (d(4) + "." + d(12), 0), *((x, 0) for x in (lucky[:1] + lucky[-1:]))]
     local = digits[-10:]
     return [(f"({local[:3]}) {local[3:6]}-{local[6:]}", 1), (f"{local[:3]}-{local[3:6]}-{local[6:]}", 1), (f"00{digits[:-10] or '1'} {local[:3]} {local[3:6]} {local[6:]}", 1), (f"{d(4)}.{d(3)}-{d(3)}", 0), (f"{d(3)} {d(3)} {d(3)} {d(3)}"[: rng.integers(11, 16)], 0), (d(2) + "." + d(3) + " " + d(4), 0)]
 
