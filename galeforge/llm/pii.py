@@ -193,7 +193,7 @@ def _invented(kind: int, rng: np.random.Generator) -> str:
     if kind == 0:
         return f"{w()}{rng.choice(['.', '_', ''])}{w()}@{w()}.{rng.choice(['com', 'org', 'net', 'de'])}"
     if kind == 1:
-        return ".".join(map(str, rng.integers(1, 256, 4)))
+        return ".".join(str(rng.integers(0, most)) for most in rng.choice([12, 100, 256], 4))
     if kind == 2:
         head = d(15)
         return next(head + str(k) for k in range(10) if luhn(head + str(k)))
