@@ -173,8 +173,8 @@ def cap_members(rows: DataFrame, n: int, by: str) -> DataFrame:
     return rows.join(first.drop("_k"), [by, "ensemble_member"], "left_semi")
 
 
-def member_completeness(rows: DataFrame, by: str, expected: int | None) -> DataFrame:
-    out = rows.groupBy(by).agg(F.countDistinct("ensemble_member").alias("present"))
+def member_completeness(rows: DataFrame, by: list[str], expected: int | None) -> DataFrame:
+    out = rows.groupBy(*by).agg(F.countDistinct("ensemble_member").alias("present"))
     want = F.lit(expected).cast("long")
     return out.withColumns({"expected": want, "missing": F.when(want.isNotNull(), F.greatest(want - F.col("present"), F.lit(0)))})
 
@@ -186,8 +186,19 @@ def best_comparison_member(wind: DataFrame, gust: DataFrame, wind_threshold: int
     return n.orderBy(F.desc("n_leads"), "member").limit(1)
 
 
-def wind_gust_overlap(wind: DataFrame, gust: DataFrame, last: int = 8) -> DataFrame:
-    """For each member its last leads at which both products have a region."""
+def comparison_member(wind: DataFrame, gust: DataFrame, member: int) -> DataFrame:
+    """The member to compare, one row: the wanted one if it is in both products, else the lowest that is; if none is, the wanted one if it is in either, else the lowest of the gusts, or of the winds."""
+    there = wind.select("member", F.lit(True).alias("w"), F.lit(False).alias("g")).union(gust.select("member", F.lit(False), F.lit(True))).groupBy("member").agg(F.max("w").alias("w"), F.max("g").alias("g"))
+    both, wanted = F.col("w") & F.col("g"), F.col("member") == member
+    rank = F.when(both & wanted, 0).when(both, 1).when(wanted, 2).when(F.col("g"), 3).otherwise(4)
+    return there.agg(F.min_by("member", F.struct(rank, F.col("member"))).alias("member")).where("member is not null")
+
+
+def wind_gust_overlap(wind: DataFrame, gust: DataFrame, last: int = 8, member: int | None = None) -> DataFrame:
+    """For each member, or for the one that stands in for ``member``, its last leads at which both products have a region."""
+    if member is not None:
+        own = F.broadcast(comparison_member(wind, gust, member))
+        wind, gust = wind.join(own, "member", "left_semi"), gust.join(own, "member", "left_semi")
     both = wind.select("member", "step").intersect(gust.select("member", "step"))
     return both.withColumn("_k", F.row_number().over(W.partitionBy("member").orderBy(F.desc("step")))).where(F.col("_k") <= last).drop("_k")
 

@@ -15,8 +15,13 @@ MIN_DEPTH_M, MIN_BASIN_KM2 = 0.1, 500.0
 MASK_COLUMNS = [f"m{h:03d}" for h in STEPS_H]
 
 
-def combine_control(perturbed: DataFrame, control: DataFrame) -> DataFrame:
-    return perturbed.unionByName(control.withColumn("member", control_as_51(F.lit(None).cast("int"))))
+def combine_control(perturbed: DataFrame, control: DataFrame, grid: tuple[str, str] = ("cell_lat", "cell_lon")) -> DataFrame:
+    """Perturbed members and the control as member 51; an error when the job runs if one has grid nodes that the other has not."""
+    nodes = perturbed.select(*grid, F.lit(0).alias("_of")).union(control.select(*grid, F.lit(1).alias("_of")))
+    odd = nodes.groupBy(*grid).agg((F.min("_of") == F.max("_of")).alias("_odd")).agg(F.coalesce(F.max("_odd"), F.lit(False)).alias("_odd"))
+    both = perturbed.unionByName(control.withColumn("member", control_as_51(F.lit(None).cast("int"))))
+    checked = F.when(F.col("_odd"), F.raise_error(F.lit("control and perturbed members have different grids")).cast("int")).otherwise(F.col("member"))
+    return both.join(F.broadcast(odd)).withColumn("member", checked).drop("_odd")
 
 
 def positive_or_null(x: Column) -> Column:
@@ -66,10 +71,27 @@ def sparse_stats(every: DataFrame, kept: DataFrame, area: DataFrame) -> DataFram
 
 
 def tier_probability(discharge: DataFrame, thresholds: DataFrame) -> DataFrame:
-    """Share of members above each tier's threshold by step and cell; 0 where the cell has no threshold."""
-    t = thresholds.select("cell_id", "rp", positive_or_null(F.col("threshold")).alias("threshold"))
-    above = F.sum(F.when(F.col("value") > F.col("threshold"), 1).otherwise(0))
-    return discharge.join(t, "cell_id").groupBy("rp", "step_h", "cell_id").agg((above / F.countDistinct("member")).alias("probability"))
+    """Share of members (one row each) above each tier's threshold by step and cell; 0 where the cell has no threshold.
+
+    A cell's thresholds are columns of one row, so the join multiplies nothing and one aggregate has all tiers.
+    """
+    at = lambda x, rp: F.max(F.when(F.col("rp") == rp, x))
+    wide = [c for rp in TIER_SOURCE for c in (at(positive_or_null(F.col("threshold")), rp).alias(f"_t{rp}"), at(F.lit(True), rp).alias(f"_has{rp}"))]
+    t = thresholds.groupBy("cell_id").agg(*wide)
+    above = [F.count_if(F.col("value") > F.col(f"_t{rp}")).alias(f"_n{rp}") for rp in TIER_SOURCE]
+    sums = discharge.join(t, "cell_id").groupBy("step_h", "cell_id").agg(F.count("*").alias("_m"), *above, *[F.max(f"_has{rp}").alias(f"_has{rp}") for rp in TIER_SOURCE])
+    tiers = F.filter(F.array(*[F.struct(F.lit(rp).alias("rp"), F.col(f"_n{rp}").alias("n"), F.col(f"_has{rp}").alias("has")) for rp in TIER_SOURCE]), lambda x: x["has"])
+    return sums.select("step_h", "cell_id", "_m", F.explode(tiers).alias("_x")).select("_x.rp", "step_h", "cell_id", (F.col("_x.n") / F.col("_m")).alias("probability"))
+
+
+def tier_counts(probability: DataFrame) -> DataFrame:
+    """By tier and step how many cells have any probability, and the highest."""
+    return probability.groupBy("rp", "step_h").agg(F.count_if(F.col("probability") > 0).alias("cells"), F.max("probability").alias("highest"))
+
+
+def painted_counts(painted: DataFrame) -> DataFrame:
+    """By tier and step how many flood pixels a probability is painted on."""
+    return painted.groupBy("rp", "step_h").agg(F.count("*").alias("pixels"))
 
 
 def tier_source(spark) -> DataFrame:
@@ -164,14 +186,29 @@ def most_active_cell(discharge: DataFrame, first: int, last: int) -> DataFrame:
     return discharge.where(F.col("step_h").isin(first, last)).groupBy("cell_id", "cell_lat", "cell_lon").agg((at(last) - at(first)).alias("rise")).orderBy(F.desc("rise"), "cell_id").limit(1)
 
 
+def nearest_cell(discharge: DataFrame, lat: float, lon: float) -> DataFrame:
+    """The id of the stored cell nearest to a gauge, the lowest on ties: one row."""
+    d2 = (F.col("cell_lat") - lat) * (F.col("cell_lat") - lat) + (F.col("cell_lon") - lon) * (F.col("cell_lon") - lon)
+    return discharge.groupBy("cell_id", "cell_lat", "cell_lon").agg(F.lit(1).alias("_o")).select("cell_id", d2.alias("_d")).orderBy("_d", "cell_id").limit(1).select("cell_id")
+
+
+def gauge_members(discharge: DataFrame, lat: float, lon: float) -> DataFrame:
+    """Of the stored cell nearest to a gauge: every member's value by lead."""
+    return discharge.join(F.broadcast(nearest_cell(discharge, lat, lon)), "cell_id").select("cell_id", "step_h", "member", "value")
+
+
 def gauge_hydrograph(discharge: DataFrame, lat: float, lon: float) -> DataFrame:
     """Of the stored cell nearest to a gauge: median, least and largest member by lead."""
-    d2 = (F.col("cell_lat") - lat) * (F.col("cell_lat") - lat) + (F.col("cell_lon") - lon) * (F.col("cell_lon") - lon)
-    cell = discharge.groupBy("cell_id", "cell_lat", "cell_lon").agg(F.lit(1).alias("_o")).select("cell_id", d2.alias("_d")).orderBy("_d", "cell_id").limit(1)
-    own = discharge.join(F.broadcast(cell.select("cell_id")), "cell_id")
+    own = gauge_members(discharge, lat, lon)
     return own.groupBy("cell_id", "step_h").agg(F.median("value").alias("median"), F.min("value").alias("low"), F.max("value").alias("high"))
 
 
+def gauge_thresholds(discharge: DataFrame, thresholds: DataFrame, lat: float, lon: float) -> DataFrame:
+    """The return periods' thresholds at the stored cell nearest to a gauge; null where there is none."""
+    own = thresholds.join(F.broadcast(nearest_cell(discharge, lat, lon)), "cell_id")
+    return own.select("cell_id", "rp", positive_or_null(F.col("threshold")).alias("threshold"))
+
+
 def panel_leads(leads: list[int]) -> list[int]:
     n = len(leads)
     return sorted({leads[0], leads[n // 3], leads[2 * n // 3], leads[-1]})
@@ -201,6 +238,28 @@ def tiles_in_box(tiles: DataFrame, lon_min: float, lat_min: float, lon_max: floa
     return tiles.where((F.array_min("lons") < lon_max) & (F.array_max("lons") > lon_min) & (F.array_min("lats") < lat_max) & (F.array_max("lats") > lat_min))
 
 
+def resample_tiles(tiles: DataFrame, pixels: DataFrame, north: float, west: float, deg: float) -> DataFrame:
+    """Tiles' pixels at the cells of one grid: (row, col, value, tile_order), each cell with the pixel that its centre lies in.
+
+    ``tiles`` has tile_order, t_north, t_west (outer edges), t_deg, height and width; ``pixels`` tile_order, prow, pcol and value. A tile's own cells are
+    laid out from its edges, and a pixel's place comes from index arithmetic, so the join is on integers.
+    """
+    first = lambda edge, origin, sign: F.ceil(sign * (origin - edge) / deg - 0.5).cast("int")
+    t = tiles.withColumns({
+        "_r0": first(F.col("t_north"), F.lit(north), 1), "_r1": first(F.col("t_north") - F.col("height") * F.col("t_deg"), F.lit(north), 1) - 1,
+        "_c0": first(F.col("t_west"), F.lit(west), -1), "_c1": first(F.col("t_west") + F.col("width") * F.col("t_deg"), F.lit(west), -1) - 1,
+    }).where("_r0 <= _r1 and _c0 <= _c1")
+    cells = t.withColumn("row", F.explode(F.sequence("_r0", "_r1"))).withColumn("col", F.explode(F.sequence("_c0", "_c1")))
+    prow = F.floor((F.col("t_north") - (north - deg * (F.col("row") + 0.5))) / F.col("t_deg")).cast("int")
+    pcol = F.floor((west + deg * (F.col("col") + 0.5) - F.col("t_west")) / F.col("t_deg")).cast("int")
+    return cells.select("tile_order", "row", "col", prow.alias("prow"), pcol.alias("pcol")).join(pixels, ["tile_order", "prow", "pcol"]).select("row", "col", "value", "tile_order")
+
+
+def water_or_zero(value: Column, no_data: float) -> Column:
+    """Permanent water, 0 where the layer has no data."""
+    return F.when(value.isNull() | F.isnan(value) | (value == no_data), 0).otherwise(value)
+
+
 def mosaic_tiles(tiles: DataFrame, no_data: float, fill: float | None = None) -> DataFrame:
     """One value for each output cell (row, col): that of the last tile with data there; ``fill``, or null, where none has any."""
     data = F.when((F.col("value") != no_data) & ~F.isnan("value"), F.col("value"))

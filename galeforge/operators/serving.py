@@ -20,8 +20,9 @@ def storm_tracks(tracks: DataFrame, track_id: str, forecast_time) -> DataFrame:
     return tracks.where((F.col("track_id") == F.lit(track_id)) & (F.col("forecast_time") == F.lit(forecast_time))).orderBy("ensemble_member", "lead_time")
 
 
-def storm_envelopes(envelopes: DataFrame, track_id: str, threshold: int | None = None) -> DataFrame:
-    own = envelopes.where(F.col("track_id") == F.lit(track_id))
+def storm_envelopes(envelopes: DataFrame, track_id: str, forecast_time, threshold: int | None = None) -> DataFrame:
+    """Regions of one run of a storm, by values that reach the scan as filters."""
+    own = envelopes.where((F.col("track_id") == F.lit(track_id)) & (F.col("forecast_time") == F.lit(forecast_time)))
     return (own if threshold is None else own.where(F.col("threshold") == threshold)).orderBy("threshold", "member", *[c for c in ("step",) if c in envelopes.columns])
 
 
@@ -36,6 +37,13 @@ def option_lists(tracks: DataFrame) -> DataFrame:
     return tracks.select(F.date_format("forecast_time", "yyyy-MM-dd").alias("day"), F.date_format("forecast_time", "HH:mm").alias("time"), "track_id").distinct().orderBy(F.desc("day"), "time", "track_id")
 
 
+def envelope_options(envelopes: DataFrame, track_id: str, forecast_time) -> DataFrame:
+    """The members and thresholds that a run of a storm has regions for: (option, value), in order."""
+    own = envelopes.where((F.col("track_id") == F.lit(track_id)) & (F.col("forecast_time") == F.lit(forecast_time)))
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("option"), F.col(c).cast("int").alias("value")) for c in ("member", "threshold")]))
+    return own.select(pairs.alias("x")).select("x.*").distinct().orderBy("option", "value")
+
+
 def mean_by_lead(tracks: DataFrame) -> DataFrame:
     return tracks.groupBy("track_id", "lead_time").agg(F.avg("wind_speed_knots").alias("mean_wind"), F.avg("pressure_hpa").alias("mean_pressure"))
 

@@ -43,9 +43,9 @@ def drop_null_radii(rows: DataFrame) -> DataFrame:
 
 
 def radii_to_wide(rows: DataFrame) -> DataFrame:
-    """One row for each storm, member and step with twelve radii in km: the first non-null one of each threshold and quadrant."""
+    """One row for each storm, member and step with twelve radii in km; of several of one threshold and quadrant the largest."""
     name = F.concat(F.lit("radius_"), F.element_at(F.create_map(*[F.lit(x) for p in RADIUS_KNOTS.items() for x in p]), F.col("wind_threshold")).cast("string"), F.lit("_knot_winds_"), F.element_at(F.create_map(*[F.lit(x) for p in QUADRANTS.items() for x in p]), F.col("quadrant")), F.lit("_km"))
-    return rows.withColumn("_c", name).groupBy("storm_id", "ensemble_member", "step").pivot("_c", RADIUS_COLUMNS).agg(F.first(F.col("wind_radius") / 1000, ignorenulls=True))
+    return rows.withColumn("_c", name).groupBy("storm_id", "ensemble_member", "step").pivot("_c", RADIUS_COLUMNS).agg(F.max(F.col("wind_radius") / 1000))
 
 
 def attach_radii(points: DataFrame, wide: DataFrame) -> DataFrame:
@@ -70,9 +70,12 @@ def wind_to_knots(rows: DataFrame, column: str = "wind_speed_knots") -> DataFram
 
 def clear_impossible_radii(rows: DataFrame) -> DataFrame:
     """All radii of a threshold to 0, nulls too, where the wind is below it; storms without any radius stay as they are."""
-    rows = with_group_values(rows, ("track_id",), _some=F.max(F.coalesce(*RADIUS_COLUMNS).isNotNull()))
+    return _cleared(with_group_values(rows, ("track_id",), _some=F.max(F.coalesce(*RADIUS_COLUMNS).isNotNull()))).drop("_some")
+
+
+def _cleared(rows: DataFrame) -> DataFrame:
     new = {c: F.when(F.col("_some") & (F.col("wind_speed_knots") < int(c.split("_")[1])), 0.0).otherwise(F.col(c)) for c in RADIUS_COLUMNS}
-    return rows.withColumns(new).drop("_some")
+    return rows.withColumns(new)
 
 
 def radius_of_max_wind(rows: DataFrame) -> DataFrame:
@@ -98,12 +101,27 @@ def standard_schema(rows: DataFrame) -> DataFrame:
     return rows.select(*[F.col(c) if c in rows.columns else F.lit(None).alias(c) for c in TRACK_COLUMNS])
 
 
+def keyed_points(raw: DataFrame) -> DataFrame:
+    """The distinct points of each storm, member and step beside its twelve radii in km, by one aggregate."""
+    key = ("storm_id", "ensemble_member", "step")
+    tier = {(ms, q): f"radius_{kt}_knot_winds_{name}_km" for ms, kt in RADIUS_KNOTS.items() for q, name in QUADRANTS.items()}
+    radii = [F.max(F.when((F.col("wind_threshold") == ms) & (F.col("quadrant") == q), F.col("wind_radius") / 1000)).alias(c) for (ms, q), c in tier.items()]
+    out = raw.groupBy(*key).agg(F.collect_set(F.struct(*[c for c in POINT if c not in key])).alias("_points"), *radii)
+    return out.select(*key, *RADIUS_COLUMNS, F.explode("_points").alias("_p")).select(*key, "_p.*", *RADIUS_COLUMNS)
+
+
 def transform(raw: DataFrame, digits: int | None = None) -> DataFrame:
-    """Raw rows to standard tracks. Everything is keyed by storm, member and step, so the steps share few shuffles."""
-    timed = with_forecast_time(raw)
-    points = timed.select(*POINT, "forecast_time").dropDuplicates()
-    rows = standard_names(attach_radii(points, radii_to_wide(drop_null_radii(raw))))
-    return standard_schema(with_polygons(radius_of_max_wind(clear_impossible_radii(wind_to_knots(pressure_to_hpa(rows)))), digits))
+    """Raw rows to standard tracks: one aggregate by storm, member and step, one by storm of what all its points share, and a join with the few rows of that."""
+    rows = standard_names(keyed_points(raw))
+    back = F.min_by(F.col("valid_time") - F.make_dt_interval(hours=F.col("lead_time")), F.struct("lead_time", "valid_time"))
+    shared = {
+        "forecast_time": F.coalesce(F.min(F.when(F.col("lead_time") == 0, F.col("valid_time"))), back),
+        "_mean": F.avg("pressure_hpa"),
+        "_some": F.max(F.coalesce(*RADIUS_COLUMNS).isNotNull()),
+    }
+    rows = wind_to_knots(with_group_values(rows, ("track_id",), **shared))
+    rows = rows.withColumn("pressure_hpa", F.when(F.col("_mean") > 10000, F.col("pressure_hpa") / 100).otherwise(F.col("pressure_hpa")))
+    return standard_schema(with_polygons(radius_of_max_wind(_cleared(rows)), digits))
 
 
 def quality_summary(rows_in: DataFrame, out: DataFrame) -> DataFrame:

@@ -17,17 +17,17 @@ def plan(name: str, sql: str | None = None):
 
 
 A1 = """track_points as (
-  select concat('STORM', l_suppkey % 8) as storm_id, cast(1 + l_partkey % 51 as int) as ensemble_member, cast(6 * (l_orderkey % 41) as int) as step,
-    min(((l_partkey * 7 + l_orderkey * 3) % 6000) / 1e2 - 30e0) as latitude, min(((l_orderkey * 13 + l_suppkey * 31) % 36000) / 1e2 - 180e0) as longitude,
+  select concat('STORM', l_suppkey) as storm_id, cast(1 + l_partkey % 51 as int) as ensemble_member, cast(6 * (l_orderkey % 41) as int) as step,
+    min(((l_suppkey * 137) % 4500) / 1e2 - 25e0 + 2e-2 * (6 * (l_orderkey % 41)) + 1e-2 * (l_partkey % 51)) as latitude, min(case when ((l_suppkey * 3571) % 36000) / 1e2 - 180e0 + 15e-2 * (6 * (l_orderkey % 41)) + 2e-2 * (l_partkey % 51) >= 180 then ((l_suppkey * 3571) % 36000) / 1e2 - 180e0 + 15e-2 * (6 * (l_orderkey % 41)) + 2e-2 * (l_partkey % 51) - 360 else ((l_suppkey * 3571) % 36000) / 1e2 - 180e0 + 15e-2 * (6 * (l_orderkey % 41)) + 2e-2 * (l_partkey % 51) end) as longitude,
     cast(100000e0 - 200e0 * min(l_quantity) as double) as pressure, cast(15e-1 * min(l_quantity) as double) as wind from lineitem group by 1, 2, 3)"""
 A2 = A1 + """, raw_tracks as (
-  select p.*, substr(storm_id, 5, 2) as storm_identifier, storm_id as long_storm_name, timestamp '2024-07-01 00:00:00' + to_hours(step) as datetime,
+  select p.*, substr(storm_id, 5, 12) as storm_identifier, storm_id as long_storm_name, timestamp '2024-07-01 00:00:00' + to_hours(step) as datetime,
     latitude + 0.2 as wlatitude, longitude - 0.3 as wlongitude, t.thr as wind_threshold, q.quad as quadrant, (quad - 1) * 90e0 as bearing_start, quad * 90e0 as bearing_end,
     case when (p.ensemble_member + q.quad) % 7 = 0 then null else p.wind * 1e3 + t.thr * 5e2 + q.quad * 25e2 end as wind_radius
   from track_points p cross join (values (18), (26), (33)) as t(thr) cross join (values (1), (2), (3), (4)) as q(quad))"""
 A3 = """grid_field as (
   select *, 20e0 - 0.25e0 * r as lat, -60e0 + 0.25e0 * c as lon from (
-  select cast(l_partkey % 20 as int) as r, cast(l_orderkey % 20 as int) as c, cast(1 + l_suppkey % 5 as int) as member,
+  select cast(l_orderkey % 20 as int) as r, cast(floor(l_partkey / 10e0) as int) as c, cast(1 + l_suppkey % 5 as int) as member,
     cast(3 * l_linenumber as int) as step, cast(15e-1 * min(l_quantity) as double) as value from lineitem group by 1, 2, 3, 4))"""
 A4 = """discharge as (
   select e.vec_id as cell_id, a.m as member, 24 * b.s as step_h, 6e1 - 5e-2 + 25e-3 - 5e-2 * ((e.vec_id * 37) % 2400) as cell_lat,

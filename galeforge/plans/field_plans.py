@@ -83,11 +83,11 @@ def e4(spark, d):
 
 
 _R = "(500 / 111e0 + 500 / (111e0 * cos(radians(latitude)))) / 2"
-_BOXES = f"boxes as (select storm_id, min(longitude - {_R}) - 2 as lon_min, max(longitude + {_R}) + 2 as lon_max, min(latitude - {_R}) - 2 as lat_min, max(latitude + {_R}) + 2 as lat_max from track_points where step % 240 = 0 and ensemble_member < 4 group by storm_id)"
+_BOXES = f"boxes as (select storm_id, min(longitude - {_R}) - 2 as lon_min, max(longitude + {_R}) + 2 as lon_max, min(latitude - {_R}) - 2 as lat_min, max(latitude + {_R}) + 2 as lat_max from track_points group by storm_id)"
 
 
 def boxes(spark, d):
-    return E.track_search_box(A.track_points(spark, d).where("step % 240 = 0 and ensemble_member < 4"), "storm_id", 500, 2.0)
+    return E.track_search_box(A.track_points(spark, d), "storm_id", 500, 2.0)
 
 
 @plan("e5_track_search_box", with_(A1, _BOXES) + "select * from boxes")
@@ -107,12 +107,9 @@ def e6(spark, d):
     return E.longitude_windows(boxes(spark, d)).select("storm_id", "window", "lon_min", "lon_max")
 
 
-_CLOSE = "latitude between 10 and 25 and longitude between -70 and -45"
-
-
-@plan("e7_crop_grid", with_(A1, A3, _BOXES.replace("step % 240 = 0 and ensemble_member < 4", _CLOSE + " and step % 120 = 0"), _WINDOWS) + 'select storm_id, "window", member, step, r, c, value from grid_field join windows on lat between lat_min and lat_max and lon between lon_min and lon_max')
+@plan("e7_crop_grid", with_(A1, A3, _BOXES, _WINDOWS) + 'select storm_id, "window", member, step, r, c, value from grid_field join windows on lat between lat_min and lat_max and lon between lon_min and lon_max')
 def e7(spark, d):
-    return E.crop_grid(A.grid_field(spark, d), E.longitude_windows(E.track_search_box(A.track_points(spark, d).where(_CLOSE + " and step % 120 = 0"), "storm_id", 500, 2.0))).select("storm_id", "window", "member", "step", "r", "c", "value")
+    return E.crop_grid(A.grid_field(spark, d), E.longitude_windows(boxes(spark, d))).select("storm_id", "window", "member", "step", "r", "c", "value")
 
 
 @plan("e8_control_as_51", with_(A3) + "select case when number is null or number = 0 then 51 else number end as member, step, count(*) as n from (select case member when 5 then 0 when 4 then null else member end as number, step from grid_field) group by 1, 2")
@@ -173,14 +170,14 @@ def e15(spark, d):
     return E.combined_envelopes(cells(spark, d), ["member", "threshold"]).drop("region")
 
 
-@plan("e16_region_area", with_(A3, CELLS) + "select member, threshold, count(*) * (0.25e0 * 0.25e0 * 111 * 104) as area_km2 from cells where step = 6 group by member, threshold")
+@plan("e16_region_area", with_(A3, CELLS) + "select member, step, threshold, count(*) * (0.25e0 * 0.25e0 * 111 * 104) as area_km2 from cells group by member, step, threshold")
 def e16(spark, d):
-    return cells(spark, d).where("step = 6").groupBy("member", "threshold").agg(E.region_area(F.count("*")).alias("area_km2"))
+    return cells(spark, d).groupBy("member", "step", "threshold").agg(E.region_area(F.count("*")).alias("area_km2"))
 
 
-@plan("e17_required_hours", with_(A1) + "select hours, unnest(range(3, hours + 1, 3)) as lead_time from (select cast(coalesce(least(ceil(max(step) / 6e0) * 6 + 12, 144), 144) as int) as hours from track_points where step < 100)")
+@plan("e17_required_hours", with_(A1) + "select hours, unnest(range(3, hours + 1, 3)) as lead_time from (select cast(coalesce(least(ceil(max(step) / 6e0) * 6 + 12, 144), 144) as int) as hours from track_points)")
 def e17(spark, d):
-    return E.required_hours(A.track_points(spark, d).where("step < 100"), first=3, column="step")
+    return E.required_hours(A.track_points(spark, d), first=3, column="step")
 
 
 @plan("e18_cap_members", with_(A1) + "select storm_id, ensemble_member, step from (select *, dense_rank() over (partition by storm_id order by ensemble_member) as k from track_points) where k <= 7")
@@ -188,9 +185,9 @@ def e18(spark, d):
     return E.cap_members(A.track_points(spark, d), 7, "storm_id").select("storm_id", "ensemble_member", "step")
 
 
-@plan("e19_member_completeness", with_(A1) + "select storm_id, count(distinct ensemble_member) as present, 51 as expected, greatest(51 - count(distinct ensemble_member), 0) as missing from track_points where step = 12 group by storm_id")
+@plan("e19_member_completeness", with_(A1) + "select storm_id, step, count(distinct ensemble_member) as present, 51 as expected, greatest(51 - count(distinct ensemble_member), 0) as missing from track_points group by storm_id, step")
 def e19(spark, d):
-    return E.member_completeness(A.track_points(spark, d).where("step = 12"), "storm_id", 51)
+    return E.member_completeness(A.track_points(spark, d), ["storm_id", "step"], 51)
 
 
 @plan("e20_best_comparison_member", with_(A3, CELLS, GUSTS) + "select member, count(distinct step) as n_leads from cells where threshold = 34 and member in (select member from gusts where threshold = 17) group by member order by n_leads desc, member limit 1")
@@ -203,6 +200,11 @@ def e21(spark, d):
     return E.wind_gust_overlap(cells(spark, d).where("threshold = 83"), gusts(spark, d).where("threshold = 43"), 3)
 
 
+@plan("e21_member_fallback", with_(A3, CELLS, GUSTS) + ", w as (select distinct member, step from cells where threshold = 83), g as (select distinct member, step from gusts where threshold = 43), m as (select min(member) as member from w where member in (select member from g)) select member, step from (select *, row_number() over (order by step desc) as k from (select * from w intersect select * from g) where member = (select member from m)) where k <= 3")
+def e21_fallback(spark, d):
+    return E.wind_gust_overlap(cells(spark, d).where("threshold = 83"), gusts(spark, d).where("threshold = 43"), 3, member=77)  # in neither, so the lowest that is in both
+
+
 @plan("e22_grid_descriptor", with_(A3) + "select member, min(lon) - 0.125e0 as west, min(lat) - 0.125e0 as south, max(lon) + 0.125e0 as east, max(lat) + 0.125e0 as north, count(distinct lat) as height, count(distinct lon) as width, true as north_up from grid_field group by member")
 def e22(spark, d):
     return E.grid_descriptor(A.grid_field(spark, d), ["member"])
@@ -255,9 +257,9 @@ def p7(spark, d):
     return out.withColumn("likely", F.col("pct") > 50)
 
 
-@plan("p8_crop_to_bounds", with_(A1, A3) + f"select {NODE}, value from grid_field, (select min(latitude) - 0.5 as s, max(latitude) + 0.5 as n, min(longitude) - 0.5 as w, max(longitude) + 0.5 as e from track_points where latitude between 17 and 19 and longitude between -59 and -57) where lat between s and n and lon between w and e")
+@plan("p8_crop_to_bounds", with_(A1, A3) + f"select {NODE}, value from grid_field, (select min(latitude) - 0.5 as s, max(latitude) + 0.5 as n, min(longitude) - 0.5 as w, max(longitude) + 0.5 as e from track_points where latitude between 12 and 22 and longitude between -75 and -45) where lat between s and n and lon between w and e")
 def p8(spark, d):
-    near = A.track_points(spark, d).where("latitude between 17 and 19 and longitude between -59 and -57")
+    near = A.track_points(spark, d).where("latitude between 12 and 22 and longitude between -75 and -45")
     return P.crop_to_bounds(A.grid_field(spark, d), near, 0.5).select("member", "step", "r", "c", "value")
 
 

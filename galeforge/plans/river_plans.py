@@ -46,10 +46,10 @@ def extent(spark, d):
     return R.extent_rows(A.pixels(spark, d), R.member_bitmask(ex(spark, d)), cells(spark, d))
 
 
-@plan("r1_combine_control", with_(A4) + "select cell_id, case when member = 50 then 51 else member end as member, step_h, value from discharge where member <= 50")
+@plan("r1_combine_control", with_(A4) + "select cell_id, member, step_h, value from discharge")
 def r1(spark, d):
-    x = D(spark, d).where("member <= 50")
-    return R.combine_control(x.where("member < 50"), x.where("member = 50")).select("cell_id", "member", "step_h", "value")
+    x = D(spark, d)
+    return R.combine_control(x.where("member < 51"), x.where("member = 51")).select("cell_id", "member", "step_h", "value")
 
 
 @plan("r2_nonpositive_to_null", with_(A5) + "select cell_id, rp, case when threshold > 0 then threshold end as threshold from cell_thresholds")
@@ -57,9 +57,9 @@ def r2(spark, d):
     return T(spark, d).select("cell_id", "rp", R.positive_or_null(F.col("threshold")).alias("threshold"))
 
 
-@plan("r3_sparse_filter", with_(A4, A5, EX) + "select cell_id, member, step_h, value from discharge where cell_id in (select cell_id from ex where rp = 20)")
+@plan("r3_sparse_filter", with_(A4, A5, EX) + "select d.cell_id, d.member, d.step_h, d.value from discharge d join (select distinct cell_id from ex where rp = 2) k on d.cell_id = k.cell_id")
 def r3(spark, d):
-    return R.sparse_filter(D(spark, d), T(spark, d), 20).select("cell_id", "member", "step_h", "value")
+    return R.sparse_filter(D(spark, d), T(spark, d)).select("cell_id", "member", "step_h", "value")
 
 
 @plan("r4_nearest_grid_lookup", with_(A4, A6) + f", layer as (select {ROW('cell_lat')} as r, {COL('cell_lon')} as c, min(cell_id) as layer_id from discharge group by 1, 2) select pixel_id, layer_id from pixels left join layer on {ROW('pixel_lat + 0.02')} = r and {COL('pixel_lon')} = c")
@@ -76,9 +76,9 @@ def r5(spark, d):
     return R.tag_upstream_area(c, layer).select("cell_id", "uparea_km2")
 
 
-@plan("r6_sparse_stats", with_(A4, A5, EX, CELL) + ", k as (select distinct cell_id from ex where rp = 20) select (select count(distinct cell_id) from discharge) as total_cells, (select count(*) from k) as kept_cells, (select max(value) from discharge where cell_id in (from k)) as max_discharge, (select count(*) from cell where uparea_km2 < 500 and cell_id in (from k)) as small_basins, 100e0 * (select count(*) from k) / (select count(distinct cell_id) from discharge) as kept_pct")
+@plan("r6_sparse_stats", with_(A4, A5, EX, CELL) + ", k as materialized (select distinct cell_id from ex where rp = 2) select (select count(distinct cell_id) from discharge) as total_cells, (select count(*) from k) as kept_cells, (select max(value) from discharge where cell_id in (from k)) as max_discharge, (select count(*) from cell where uparea_km2 < 500 and cell_id in (from k)) as small_basins, 100e0 * (select count(*) from k) / (select count(distinct cell_id) from discharge) as kept_pct")
 def r6(spark, d):
-    return R.sparse_stats(D(spark, d), R.sparse_filter(D(spark, d), T(spark, d), 20), cells(spark, d))
+    return R.sparse_stats(D(spark, d), R.sparse_filter(D(spark, d), T(spark, d)), cells(spark, d))
 
 
 @plan("r7_tier_exceedance", with_(A4, A5, EX) + "select rp, member, step_h, cell_id from ex")
@@ -91,6 +91,11 @@ def r8(spark, d):
     return prob(spark, d)
 
 
+@plan("r8_tier_counts", with_(A4, A5, PROB) + "select rp, step_h, count(*) filter (probability > 0) as cells, max(probability) as highest from prob group by rp, step_h")
+def r8_counts(spark, d):
+    return R.tier_counts(prob(spark, d))
+
+
 @plan("r9_tier_source", with_(A5) + "select cell_id, rp, case when rp < 10 then 10 else rp end as source_rp, rp < 10 as is_standin from cell_thresholds")
 def r9(spark, d):
     return T(spark, d).join(F.broadcast(R.tier_source(spark)), "rp").select("cell_id", "rp", "source_rp", "is_standin")
@@ -138,9 +143,9 @@ def r16(spark, d):
     return R.with_morton(cells(spark, d), "cell_lat", "cell_lon").select("cell_id", "morton")
 
 
-@plan("r17_expand_bitmask", with_(A4, A5, A6, EX, WET) + "select rp, pixel_lat, pixel_lon, step_h, member from wet join (select distinct cell_id, rp, step_h, member from ex where rp >= 50) using (cell_id)")
+@plan("r17_expand_bitmask", with_(A4, A5, A6, EX, WET) + "select rp, pixel_lat, pixel_lon, step_h, member from wet join (select distinct cell_id, rp, step_h, member from ex) using (cell_id)")
 def r17(spark, d):
-    return R.expand_bitmask(extent(spark, d).where("rp >= 50")).select("rp", "pixel_lat", "pixel_lon", "step_h", "member")
+    return R.expand_bitmask(extent(spark, d)).select("rp", "pixel_lat", "pixel_lon", "step_h", "member")
 
 
 @plan("r18_rank_members_by_extent", with_(A4, A5, A6, EX, WET) + "select member, count(*) as pixels from wet join (select distinct cell_id, step_h, member from ex where rp = 10 and step_h = 72) using (cell_id) group by member order by pixels desc, member limit 10")
@@ -148,9 +153,14 @@ def r18(spark, d):
     return R.rank_members_by_extent(R.expand_bitmask(extent(spark, d).where("rp = 10"), [72]), 10)
 
 
-@plan("r19_masked_probability", with_(A4, A5, A6, PROB, WET) + "select rp, step_h, pixel_lat, pixel_lon, probability from wet join prob using (cell_id) where probability > 0 and rp >= 20")
+@plan("r19_masked_probability", with_(A4, A5, A6, PROB, WET) + "select rp, step_h, pixel_lat, pixel_lon, probability from wet join prob using (cell_id) where probability > 0")
 def r19(spark, d):
-    return R.masked_probability(A.pixels(spark, d), prob(spark, d).where("rp >= 20"), cells(spark, d))
+    return R.masked_probability(A.pixels(spark, d), prob(spark, d), cells(spark, d))
+
+
+@plan("r19_painted_counts", with_(A4, A5, A6, PROB, WET) + "select rp, step_h, count(*) as pixels from wet join prob using (cell_id) where probability > 0 group by rp, step_h")
+def r19_counts(spark, d):
+    return R.painted_counts(R.masked_probability(A.pixels(spark, d), prob(spark, d), cells(spark, d)))
 
 
 @plan("r20_naive_vs_masked", with_(A4, A5, A6, PROB, WET) + ", w as (select cell_id, count(*) as k from wet group by cell_id) select rp, step_h, count(*) as cells, cast(sum(coalesce(k, 0)) as bigint) as pixels from prob left join w using (cell_id) where probability > 0 group by rp, step_h")
@@ -159,9 +169,9 @@ def r20(spark, d):
     return R.naive_vs_masked(p, R.masked_probability(A.pixels(spark, d), p, cells(spark, d)))
 
 
-@plan("r21_prefilter_to_layer", with_(A4, A6, CELL) + "select cell_id, cell_lat, cell_lon from cell, (select min(pixel_lat) - 0.05 as s, max(pixel_lat) + 0.05 as n, min(pixel_lon) - 0.05 as w, max(pixel_lon) + 0.05 as e from pixels where cell_id % 50 between 10 and 20) where cell_lat between s and n and cell_lon between w and e")
+@plan("r21_prefilter_to_layer", with_(A4, A6, CELL) + "select cell_id, cell_lat, cell_lon from (select cell_id, cell_lat + 20 as cell_lat, cell_lon from cell), (select min(pixel_lat) - 0.05 as s, max(pixel_lat) + 0.05 as n, min(pixel_lon) - 0.05 as w, max(pixel_lon) + 0.05 as e from pixels) where cell_lat between s and n and cell_lon between w and e")
 def r21(spark, d):
-    return R.prefilter_to_layer(cells(spark, d), A.pixels(spark, d).where("cell_id % 50 between 10 and 20")).select("cell_id", "cell_lat", "cell_lon")
+    return R.prefilter_to_layer(cells(spark, d).withColumn("cell_lat", F.col("cell_lat") + 20), A.pixels(spark, d)).select("cell_id", "cell_lat", "cell_lon")
 
 
 PCT = "pct as (select d.cell_id, d.cell_lat, d.cell_lon, 100e0 * count(*) filter (t.threshold > 0 and d.value > t.threshold) / count(*) as pct from discharge d join cell_thresholds t on d.cell_id = t.cell_id and t.rp = 2 where d.step_h = 72 group by 1, 2, 3)"
@@ -182,6 +192,19 @@ def r24(spark, d):
     return R.gauge_hydrograph(D(spark, d), 12.3, -45.6)
 
 
+_AT = "(select cell_id from cell order by (cell_lat - 12.3) * (cell_lat - 12.3) + (cell_lon + 45.6) * (cell_lon + 45.6), cell_id limit 1)"
+
+
+@plan("r24_gauge_members", with_(A4, CELL) + f"select cell_id, step_h, member, value from discharge where cell_id = {_AT}")
+def r24_members(spark, d):
+    return R.gauge_members(D(spark, d), 12.3, -45.6)
+
+
+@plan("r24_gauge_thresholds", with_(A4, A5, CELL) + f"select cell_id, rp, case when threshold > 0 then threshold end as threshold from cell_thresholds where cell_id = {_AT}")
+def r24_thresholds(spark, d):
+    return R.gauge_thresholds(D(spark, d), T(spark, d), 12.3, -45.6)
+
+
 @plan("r25_discharge_mean_max", with_(A4) + "select cell_id, step_h, avg(value) as mean, max(value) as max from discharge where step_h in (24, 72, 120, 168) group by cell_id, step_h")
 def r25(spark, d):
     return R.discharge_mean_max(D(spark, d))
@@ -192,9 +215,9 @@ def r26(spark, d):
     return R.discharge_exceedance(D(spark, d), T(spark, d), 2, 72).select("cell_id", "pct", (F.col("pct") > 50).alias("likely"))
 
 
-@plan("r27_dense_index", with_(A4, CELL) + ", i as (select cell_id, cast(round_even((59.975e0 - cell_lat) / 0.05e0, 0) as int) as r, cast(round_even((cell_lon + 179.975e0) / 0.05e0, 0) as int) as c from cell where cell_id % 3 > 0) select a.r as row, b.c as col, cell_id from range(100, 141) as a(r) cross join range(200, 401) as b(c) left join i on i.r = a.r and i.c = b.c")
+@plan("r27_dense_index", with_(A4, CELL) + ", i as (select cell_id, cast(round_even((59.975e0 - cell_lat) / 0.05e0, 0) as int) as r, cast(round_even((cell_lon + 179.975e0) / 0.05e0, 0) as int) as c from cell) select a.r as row, b.c as col, cell_id from range(100, 141) as a(r) cross join range(200, 401) as b(c) left join i on i.r = a.r and i.c = b.c")
 def r27(spark, d):
-    return R.dense_crop(cells(spark, d).where("cell_id % 3 > 0"), (100, 140), (200, 400)).select("row", "col", "cell_id")
+    return R.dense_crop(cells(spark, d), (100, 140), (200, 400)).select("row", "col", "cell_id")
 
 
 @plan("r28_tiles_in_box", with_(A4, CELL) + "select cell_id from cell where cell_lon - 5 < -20 and cell_lon + 5 > -100 and cell_lat - 5 < 10 and cell_lat + 5 > -30")
@@ -203,12 +226,28 @@ def r28(spark, d):
     return R.tiles_in_box(tiles, -100.0, -30.0, -20.0, 10.0).select("cell_id")
 
 
-@plan("r29_mosaic_tiles", with_(A3) + "select r as row, c as col, coalesce(max_by(value, member) filter (value <> 1.5), 0) as value from grid_field where step = 6 group by r, c")
+@plan("r29_mosaic_tiles", with_(A3) + "select r as row, c as col, coalesce(max_by(value, step * 10 + member) filter (value <> 1.5), 0) as value from grid_field group by r, c")
 def r29(spark, d):
-    tiles = A.grid_field(spark, d).where("step = 6").select(F.col("r").alias("row"), F.col("c").alias("col"), "value", F.col("member").alias("tile_order"))
+    tiles = A.grid_field(spark, d).select(F.col("r").alias("row"), F.col("c").alias("col"), "value", (F.col("step") * 10 + F.col("member")).alias("tile_order"))
     return R.mosaic_tiles(tiles, 1.5, 0.0)
 
 
+#: Each member's field as a tile of 0.25 degrees, half a degree farther north and east than the one before; the grid has cells of 0.4 degrees.
+_TILES = """, px as (select member as o, r as prow, c as pcol, max(value) as value from grid_field group by 1, 2, 3),
+t as (select o, 20.125e0 + 0.5e0 * o as n, -60.125e0 + 0.5e0 * o as w, max(prow) + 1 as h, max(pcol) + 1 as wd from px group by o),
+g as (select o, n, w, unnest(range(cast(ceil((25e0 - n) / 0.4e0 - 0.5e0) as int), cast(ceil((25e0 - n + h * 0.25e0) / 0.4e0 - 0.5e0) as int))) as "row", wd from t),
+x as (select o, n, w, "row", unnest(range(cast(ceil((w + 65e0) / 0.4e0 - 0.5e0) as int), cast(ceil((w + wd * 0.25e0 + 65e0) / 0.4e0 - 0.5e0) as int))) as col from g)
+select x."row", x.col, coalesce(max_by(px.value, px.o) filter (px.value <> 1.5), 0) as value from x join px on px.o = x.o and px.prow = cast(floor((n - (25e0 - 0.4e0 * ("row" + 0.5e0))) / 0.25e0) as int) and px.pcol = cast(floor((-65e0 + 0.4e0 * (col + 0.5e0) - w) / 0.25e0) as int) group by 1, 2"""
+
+
+@plan("r29_resample_tiles", with_(A3) + _TILES)
+def r29_resample(spark, d):
+    px = A.grid_field(spark, d).groupBy(F.col("member").alias("tile_order"), F.col("r").alias("prow"), F.col("c").alias("pcol")).agg(F.max("value").alias("value"))
+    t = px.groupBy("tile_order").agg((F.max("prow") + 1).alias("height"), (F.max("pcol") + 1).alias("width"))
+    t = t.withColumns({"t_north": 20.125 + 0.5 * F.col("tile_order"), "t_west": -60.125 + 0.5 * F.col("tile_order"), "t_deg": F.lit(0.25)})
+    return R.mosaic_tiles(R.resample_tiles(t, px, 25.0, -65.0, 0.4), 1.5, 0.0)
+
+
 @plan("r30_coregistered", with_(A3) + "select count(distinct concat(w, '|', s, '|', e, '|', n)) = 1 as coregistered from (select member, min(lon) as w, min(lat) as s, max(lon) as e, max(lat) as n from grid_field group by member)")
 def r30(spark, d):
     return R.coregistered(grid_descriptor(A.grid_field(spark, d), ["member"]))

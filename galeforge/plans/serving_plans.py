@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from datetime import datetime
 
 from pyspark.sql import functions as F
 
@@ -23,11 +24,13 @@ KEY = ["storm_id", "ensemble_member", "step"]
 
 
 def scratch(spark, label: str) -> str:
-    """A new folder for a query that writes: below the cluster's shared folder if one is set, else a temporary one."""
+    """A new folder for a query that writes: below the cluster's shared folder; a temporary one where none is set, in local mode only."""
     if shared := spark.conf.get("spark.checkpoint.dir", None):
         import uuid
 
         return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return tempfile.mkdtemp(prefix=f"spark-{label}-")
 
 
@@ -171,8 +174,6 @@ _RUN_TIME = "2024-07-01 00:00:00"
 
 @plan("q2_storm_tracks", with_(F3) + f"select ensemble_member, lead_time, latitude, longitude, wind_speed_knots from tracks where track_id = 'STORM2' and forecast_time = timestamp '{_RUN_TIME}'")
 def q2(spark, d):
-    from datetime import datetime
-
     return Q.storm_tracks(tracks(spark, d), "STORM2", datetime(2024, 7, 1)).select("ensemble_member", "lead_time", "latitude", "longitude", "wind_speed_knots")
 
 
@@ -181,15 +182,17 @@ def envelopes(spark, d):
 
 
 def storm_of(rows):
-    return rows.withColumn("track_id", F.concat(F.lit("STORM"), (F.col("member") % 3).cast("string")))
+    """The fields' members as three storms, odd and even steps as two runs."""
+    run = F.when(F.col("step") % 2 == 0, F.expr(A.RUN)).otherwise(F.expr("timestamp_ntz'2024-06-30 12:00:00'"))
+    return rows.withColumns({"track_id": F.concat(F.lit("STORM"), (F.col("member") % 3).cast("string")), "forecast_time": run})
 
 
 _EV = "env as (select member, step, threshold, count(*) as n_cells, min(lon) - 0.125e0 as lon_min, max(lon) + 0.125e0 as lon_max, min(lat) - 0.125e0 as lat_min, max(lat) + 0.125e0 as lat_max from cells group by 1, 2, 3)"
 
 
-@plan("q3_storm_envelopes", with_(A3, CELLS, _EV) + "select member, step, threshold, n_cells from env where member % 3 = 1")
+@plan("q3_storm_envelopes", with_(A3, CELLS, _EV) + "select member, step, threshold, n_cells from env where member % 3 = 1 and step % 2 = 0")
 def q3(spark, d):
-    return Q.storm_envelopes(storm_of(envelopes(spark, d)), "STORM1").select("member", "step", "threshold", "n_cells")
+    return Q.storm_envelopes(storm_of(envelopes(spark, d)), "STORM1", datetime(2024, 7, 1)).select("member", "step", "threshold", "n_cells")
 
 
 @plan("q4_latest_run", with_(F3) + f"select strftime(max(valid_time), '{TIME}') as forecast_time from tracks where track_id = 'STORM3' and strftime(valid_time, '{TIME}') like '2024-07-03%'")
@@ -203,6 +206,11 @@ def q5(spark, d):
     return Q.option_lists(tracks(spark, d).withColumn("forecast_time", F.col("valid_time")))
 
 
+@plan("q5_envelope_options", with_(A3, CELLS) + ", o as (select member, threshold from cells where member % 3 = 1 and step % 2 = 0) select 'member' as option, cast(member as int) as value from o union select 'threshold', cast(threshold as int) from o")
+def q5_options(spark, d):
+    return Q.envelope_options(storm_of(envelopes(spark, d)), "STORM1", datetime(2024, 7, 1))
+
+
 @plan("q6_mean_by_lead", with_(F3) + "select track_id, lead_time, avg(wind_speed_knots) as mean_wind, avg(pressure_hpa) as mean_pressure from tracks group by 1, 2")
 def q6(spark, d):
     return Q.mean_by_lead(tracks(spark, d))
@@ -231,9 +239,9 @@ def q10(spark, d):
     return Q.frame_envelopes(envelopes(spark, d), 9, [1, 3], [34, 64]).select("member", "step", "threshold", "n_cells")
 
 
-@plan("q11_map_centre", with_(F3) + "select track_id, avg(latitude) as lat, avg(longitude) as lon from tracks where lead_time <= 48 group by 1")
+@plan("q11_map_centre", with_(F3) + "select track_id, avg(latitude) as lat, avg(longitude) as lon from tracks group by 1")
 def q11(spark, d):
-    return Q.map_centre(tracks(spark, d).where("lead_time <= 48"), ["track_id"])
+    return Q.map_centre(tracks(spark, d), ["track_id"])
 
 
 @plan("q12_track_endpoints", with_(F3) + "select track_id, ensemble_member, min_by(latitude, lead_time) as first_latitude, min_by(longitude, lead_time) as first_longitude, max_by(latitude, lead_time) as last_latitude, max_by(longitude, lead_time) as last_longitude from tracks group by 1, 2")
@@ -246,9 +254,9 @@ def q13(spark, d):
     return Q.label_points(tracks(spark, d)).select("track_id", "ensemble_member", "lead_time", "latitude", "longitude")
 
 
-@plan("q14_envelope_extent", with_(A3, CELLS, _EV) + "select threshold, min(lon_min) - 1 as lon_min, max(lon_max) + 1 as lon_max, min(lat_min) - 1 as lat_min, max(lat_max) + 1 as lat_max from env where member < 3 group by 1")
+@plan("q14_envelope_extent", with_(A3, CELLS, _EV) + "select threshold, min(lon_min) - 1 as lon_min, max(lon_max) + 1 as lon_max, min(lat_min) - 1 as lat_min, max(lat_max) + 1 as lat_max from env group by 1")
 def q14(spark, d):
-    return Q.envelope_extent(envelopes(spark, d).where("member < 3"), ["threshold"], 1.0)
+    return Q.envelope_extent(envelopes(spark, d), ["threshold"], 1.0)
 
 
 @plan("q15_member_steps", with_(A3, CELLS) + "select member, step, string_agg(threshold, ',' order by threshold) as thresholds from (select distinct member, step, threshold from cells where member = 1) group by 1, 2")
@@ -265,10 +273,10 @@ def q16(spark, d):
 _RAWKEY = "storm_id, ensemble_member, step"
 
 
-@plan("s1_read_raw_tracks", with_(A1) + "select storm_id, '007' as storm_identifier, concat('  ', storm_id, ' ') as long_storm_name, ensemble_member, step, latitude, wind from track_points where step % 48 = 0")
+@plan("s1_read_raw_tracks", with_(A1) + "select storm_id, '007' as storm_identifier, concat('  ', storm_id, ' ') as long_storm_name, ensemble_member, step, latitude, wind from track_points")
 def s1(spark, d):
     path = scratch(spark, "rawtracks")
-    rows = A.track_points(spark, d).where("step % 48 = 0").select("storm_id", F.lit("007").alias("storm_identifier"), F.concat(F.lit("  "), "storm_id", F.lit(" ")).alias("long_storm_name"), "ensemble_member", "step", "latitude", "longitude", "pressure", "wind")
+    rows = A.track_points(spark, d).select("storm_id", F.lit("007").alias("storm_identifier"), F.concat(F.lit("  "), "storm_id", F.lit(" ")).alias("long_storm_name"), "ensemble_member", "step", "latitude", "longitude", "pressure", "wind")
     rows.write.mode("overwrite").option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     return C.read_raw_tracks(spark, path).select("storm_id", "storm_identifier", "long_storm_name", "ensemble_member", "step", "latitude", "wind")
 
@@ -292,9 +300,9 @@ def s3(spark, d):
     return A.field_files(spark, d).select("file_id", C.run_from_path(F.col("file_name")).alias("run")).select("file_id", text("run"))
 
 
-@plan("s4_write_per_storm", with_(A1) + f"select {_RAWKEY}, wind from track_points")
+@plan("s4_write_per_storm", with_(A1) + f"select lpad(substr(storm_id, 6), 4, '0') as storm_id, ensemble_member, step, wind from track_points")
 def s4(spark, d):
-    return S.write_per_storm(A.track_points(spark, d), scratch(spark, "storms")).select(*KEY, "wind")
+    return S.write_per_storm(A.track_points(spark, d).withColumn("storm_id", F.lpad(F.substring("storm_id", 6, 12), 4, "0")), scratch(spark, "storms")).select(*KEY, "wind")
 
 
 @plan("s5_field_file_catalog", with_(A7) + f"select file_id, substr(file_name, 1, 4) as kind, strftime({_FRUN}, '{TIME}') as run, {_FLEAD} as lead, regexp_extract(file_name, 'h_(pf|cf)', 1) as member_type from field_files")
@@ -302,11 +310,21 @@ def s5(spark, d):
     return C.field_file_catalog(A.field_files(spark, d)).select("file_id", "kind", text("run"), "lead", "member_type")
 
 
+_MATCH = f"f as (select file_id, substr(file_name, 1, 4) as kind, {_FRUN} as run, {_FLEAD} as lead, regexp_extract(file_name, 'h_(pf|cf)', 1) as member_type from field_files), k as (select distinct run, lead, m as ensemble_member from f cross join (values (1), (51)) as t(m) where kind = 'gust')"
+
+
+@plan("s5_match_files", with_(A7, _MATCH) + f"select strftime(k.run, '{TIME}') as run, k.lead, k.ensemble_member, count(f.file_id) as files, min(f.file_id) as first_file from k left join f on f.kind = 'wind' and f.run = k.run and f.lead = k.lead and f.member_type = case when k.ensemble_member = 51 then 'cf' else 'pf' end group by 1, 2, 3")
+def s5_match(spark, d):
+    c = C.field_file_catalog(A.field_files(spark, d))
+    rows = c.where("kind = 'gust'").select("run", "lead", F.explode(F.array(F.lit(1), F.lit(51))).alias("ensemble_member")).distinct()
+    out = C.match_files(rows, c.where("kind = 'wind'"))
+    return out.groupBy(text("run"), "lead", "ensemble_member").agg(F.count("file_id").alias("files"), F.min("file_id").alias("first_file"))
+
+
 @plan("s6_lead_times_for_run", with_(A7) + f"select distinct {_FLEAD} as lead from field_files where file_name like 'wind%' and {_FRUN} = (select max({_FRUN}) from field_files where file_name like 'wind%')")
 def s6(spark, d):
     c = C.field_file_catalog(A.field_files(spark, d))
-    run = c.where("kind = 'wind'").agg(F.max("run").alias("r")).first()["r"]
-    return C.lead_times_for_run(c, F.lit(run), "wind")
+    return C.lead_times_for_run(c, "wind")
 
 
 @plan("s7_modified_since", f"select file_id, strftime(modified, '{TIME}') as modified from (select o_orderkey as file_id, cast(o_orderdate as timestamp) + to_hours(cast(o_orderkey % 24 as int)) as modified from orders) where modified >= timestamp '1997-06-01 12:00:00'")
@@ -332,9 +350,9 @@ def s9(spark, d):
     return C.river_pointer_rows(f.select(name.alias("path")), "1997-03-01").select("forecast_time", "param", F.col("is_standin").cast("string").alias("is_standin"))
 
 
-@plan("s10_write_sparse_discharge", with_(A4) + "select '2024-07-01' as forecast_date, cell_id, member, step_h, value from discharge where step_h < 96")
+@plan("s10_write_sparse_discharge", with_(A4) + "select '2024-07-01' as forecast_date, cell_id, member, step_h, value from discharge")
 def s10(spark, d):
-    rows = S.stamp(A.discharge(spark, d).where("step_h < 96"), forecast_date="2024-07-01")
+    rows = S.stamp(A.discharge(spark, d), forecast_date="2024-07-01")
     return S.write_sparse_discharge(rows, scratch(spark, "discharge")).select(F.col("forecast_date").cast("string").alias("forecast_date"), "cell_id", "member", "step_h", "value")
 
 
@@ -360,5 +378,5 @@ def s13(spark, d):
     out = None
     for part in (target(spark, d), source(spark, d), target(spark, d)):  # the third brings nothing new
         part.select(*KEY, "wind").write.mode("append").parquet(f"{base}/landing")
-        out = file_stream_ingest(spark, f"{base}/landing", schema, f"{base}/table", f"{base}/state", merge)
+        out = file_stream_ingest(spark, f"{base}/landing", schema, f"{base}/table", f"{base}/state", KEY, merge)
     return out

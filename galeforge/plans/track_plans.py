@@ -142,10 +142,10 @@ def t5(spark, d):
     return T.radii_to_wide(A.raw_tracks(spark, d))
 
 
-@plan("t6_attach_radii", with_(A2) + f", wide as (select {KEY}, {_WIDE} from raw_tracks where step % 12 = 0 group by {KEY}) select p.storm_id, p.ensemble_member, p.step, p.latitude, w.radius_34_knot_winds_se_km, w.radius_64_knot_winds_nw_km from track_points p left join wide w on p.storm_id = w.storm_id and p.ensemble_member = w.ensemble_member and p.step = w.step")
+@plan("t6_attach_radii", with_(A2) + f", wide as (select {KEY}, {_WIDE} from raw_tracks group by {KEY}) select p.storm_id, p.ensemble_member, p.step, p.latitude, w.radius_34_knot_winds_se_km, w.radius_64_knot_winds_nw_km from track_points p left join wide w on p.storm_id = w.storm_id and p.ensemble_member = w.ensemble_member and p.step = w.step")
 def t6(spark, d):
     raw = A.raw_tracks(spark, d)
-    out = T.attach_radii(A.track_points(spark, d), T.radii_to_wide(raw.where("step % 12 = 0")))
+    out = T.attach_radii(A.track_points(spark, d), T.radii_to_wide(raw))
     return out.select("storm_id", "ensemble_member", "step", "latitude", "radius_34_knot_winds_se_km", "radius_64_knot_winds_nw_km")
 
 
@@ -207,19 +207,37 @@ def t14(spark, d):
     return out.select("track_id", "ensemble_member", "lead_time", F.explode(F.array("b.lon_min", "b.lon_max")).alias("x")).select("track_id", "ensemble_member", "lead_time", geo.nudge_antimeridian(F.col("x")).alias("lon"))
 
 
-_N = lambda x: f"regexp_replace(cast(round({x}, 6) as varchar), '\\.0*$', '')"
+_N = lambda x: f"regexp_replace(regexp_replace(printf('%.6f', round({x}, 6)), '0+$', ''), '\\.$', '')"
 _X = lambda x: _N(f"case when {x} <= -180 then -180 + 1e-7 when {x} >= 180 then 180 - 1e-7 else {x} end")
 _RING = f"concat({_X('lon_min')}, ' ', {_N('lat_min')}, ', ', {_X('lon_max')}, ' ', {_N('lat_min')}, ', ', {_X('lon_max')}, ' ', {_N('lat_max')}, ', ', {_X('lon_min')}, ' ', {_N('lat_max')}, ', ', {_X('lon_min')}, ' ', {_N('lat_min')})"
 
 
-@plan("t15_boxes_to_wkt", with_(F3) + _BOX + _SPLIT + f" select track_id, ensemble_member, lead_time, case when count(*) = 1 then concat('POLYGON ((', max({_RING}), '))') else concat('MULTIPOLYGON (((', string_agg({_RING}, ')), ((' order by part), ')))') end as wkt from split group by track_id, ensemble_member, lead_time")
+_WKT = with_(F3) + _BOX + _SPLIT + f" select track_id, ensemble_member, lead_time, case when count(*) = 1 then concat('POLYGON ((', max({_RING}), '))') else concat('MULTIPOLYGON (((', string_agg({_RING}, ')), ((' order by part), ')))') end as wkt from split group by track_id, ensemble_member, lead_time"
+
+
+@plan("t15_boxes_to_wkt", _WKT)
 def t15(spark, d):
-    return tracks(spark, d).where("wind_field_polygon_34kt is not null").select("track_id", "ensemble_member", "lead_time", F.col("wind_field_polygon_34kt").alias("wkt"))
+    return _polygons(spark, d, 34)
+
+
+@plan("t15_boxes_to_wkt_50", _WKT.replace("coalesce(radius_34", "coalesce(radius_50"))
+def t15_50(spark, d):
+    return _polygons(spark, d, 50)
+
+
+@plan("t15_boxes_to_wkt_64", _WKT.replace("coalesce(radius_34", "coalesce(radius_64"))
+def t15_64(spark, d):
+    return _polygons(spark, d, 64)
+
+
+def _polygons(spark, d, kt):
+    c = f"wind_field_polygon_{kt}kt"
+    return tracks(spark, d).where(f"{c} is not null").select("track_id", "ensemble_member", "lead_time", F.col(c).alias("wkt"))
 
 
-@plan("t16_standard_tracks_schema", with_(F3) + f"select strftime(forecast_time, '{TIME}') as forecast_time, track_id, substr(track_id, 5, 2) as storm_identifier, track_id as long_storm_name, ensemble_member, strftime(valid_time, '{TIME}') as valid_time, lead_time, latitude, longitude, pressure_hpa, wind_speed_knots from tracks")
+@plan("t16_standard_tracks_schema", with_(F3) + f"select strftime(forecast_time, '{TIME}') as forecast_time, track_id, substr(track_id, 5, 12) as storm_identifier, track_id as long_storm_name, ensemble_member, strftime(valid_time, '{TIME}') as valid_time, lead_time, latitude, longitude, pressure_hpa, wind_speed_knots, radius_of_maximum_winds_km, {', '.join(RADIUS_COLUMNS)} from tracks")
 def t16(spark, d):
-    return tracks(spark, d).select(text("forecast_time"), "track_id", "storm_identifier", "long_storm_name", "ensemble_member", text("valid_time"), "lead_time", "latitude", "longitude", "pressure_hpa", "wind_speed_knots")
+    return tracks(spark, d).select(text("forecast_time"), "track_id", "storm_identifier", "long_storm_name", "ensemble_member", text("valid_time"), "lead_time", "latitude", "longitude", "pressure_hpa", "wind_speed_knots", "radius_of_maximum_winds_km", *RADIUS_COLUMNS)
 
 
 @plan("t17_track_quality_summary", with_(F3) + f"select 12 * count(*) as rows_in, count(*) as rows_out, count(distinct track_id) as n_storms, count(distinct ensemble_member) as n_members, count(distinct lead_time) as n_leads, strftime(min(valid_time), '{TIME}') as first_time, strftime(max(valid_time), '{TIME}') as last_time, count(*) filter (pressure_hpa is null) as null_pressure_hpa from tracks")

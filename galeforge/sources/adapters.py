@@ -12,9 +12,10 @@ RUN = "timestamp_ntz'2024-07-01 00:00:00'"
 
 
 def track_points(spark: SparkSession, folder: str) -> DataFrame:
+    """A storm for every supplier, with 51 members and 41 leads at most; some cross the antimeridian."""
     return spark.sql(
-        """select concat('STORM', l_suppkey % 8) as storm_id, cast(1 + l_partkey % 51 as int) as ensemble_member, cast(6 * (l_orderkey % 41) as int) as step,
-             min(((l_partkey * 7 + l_orderkey * 3) % 6000) / 1e2 - 30e0) as latitude, min(((l_orderkey * 13 + l_suppkey * 31) % 36000) / 1e2 - 180e0) as longitude,
+        """select concat('STORM', l_suppkey) as storm_id, cast(1 + l_partkey % 51 as int) as ensemble_member, cast(6 * (l_orderkey % 41) as int) as step,
+             min(((l_suppkey * 137) % 4500) / 1e2 - 25e0 + 2e-2 * (6 * (l_orderkey % 41)) + 1e-2 * (l_partkey % 51)) as latitude, min(case when ((l_suppkey * 3571) % 36000) / 1e2 - 180e0 + 15e-2 * (6 * (l_orderkey % 41)) + 2e-2 * (l_partkey % 51) >= 180 then ((l_suppkey * 3571) % 36000) / 1e2 - 180e0 + 15e-2 * (6 * (l_orderkey % 41)) + 2e-2 * (l_partkey % 51) - 360 else ((l_suppkey * 3571) % 36000) / 1e2 - 180e0 + 15e-2 * (6 * (l_orderkey % 41)) + 2e-2 * (l_partkey % 51) end) as longitude,
              100000e0 - 200e0 * min(l_quantity) as pressure, 15e-1 * min(l_quantity) as wind from {lineitem} group by 1, 2, 3""",
         lineitem=read(spark, folder, "lineitem"),
     ).withColumns({"pressure": F.col("pressure").cast("double"), "wind": F.col("wind").cast("double")})
@@ -24,7 +25,7 @@ def raw_tracks(spark: SparkSession, folder: str) -> DataFrame:
     """Track points by threshold and quadrant, with times, the place of the maximum wind and some missing radii."""
     p = track_points(spark, folder).withColumns(
         {
-            "storm_identifier": F.substring("storm_id", 5, 2),
+            "storm_identifier": F.substring("storm_id", 5, 12),
             "long_storm_name": F.col("storm_id"),
             "datetime": F.expr(f"{RUN} + make_dt_interval(0, step)"),
             "wlatitude": F.col("latitude") + 0.2,
@@ -52,15 +53,15 @@ def messages(spark: SparkSession, folder: str) -> DataFrame:
     radii = F.flatten(F.transform(members, lambda k: F.flatten(F.transform("periods", lambda p: F.element_at(p["radii"], k)))))
     m = m.withColumn("radii", radii)
     return m.select(
-        F.substring("storm_id", 5, 2).alias("storm_identifier"), F.col("storm_id").alias("long_storm_name"), F.expr(RUN).alias("base_time"), members.alias("members"),
+        F.substring("storm_id", 5, 12).alias("storm_identifier"), F.col("storm_id").alias("long_storm_name"), F.expr(RUN).alias("base_time"), members.alias("members"),
         F.transform("periods", lambda p: F.struct(*[p[c].alias(c) for c in ("hours", "lat", "lon", "pressure", "wlat", "wlon", "wind")])).alias("periods"), F.array(*map(F.lit, (18.0, 26.0, 33.0))).alias("thresholds"), F.array(*map(F.lit, (0.0, 90.0, 180.0, 270.0))).alias("bearings"), "radii",
     )
 
 
 def grid_field(spark: SparkSession, folder: str) -> DataFrame:
-    """A field of 20 x 20 nodes, 5 members, 7 steps: r, c, member, step, lat, lon, value."""
+    """A field of 20 rows and a column for every ten parts, 5 members, 7 steps: r, c, member, step, lat, lon, value."""
     out = spark.sql(
-        """select cast(l_partkey % 20 as int) as r, cast(l_orderkey % 20 as int) as c, cast(1 + l_suppkey % 5 as int) as member,
+        """select cast(l_orderkey % 20 as int) as r, cast(floor(l_partkey / 10e0) as int) as c, cast(1 + l_suppkey % 5 as int) as member,
              cast(3 * l_linenumber as int) as step, 15e-1 * min(l_quantity) as value from {lineitem} group by 1, 2, 3, 4""",
         lineitem=read(spark, folder, "lineitem"),
     )

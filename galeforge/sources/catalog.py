@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,12 +20,22 @@ ENVELOPE_RULES = [
 
 
 def read_raw_tracks(spark: SparkSession, path: str) -> DataFrame:
-    """Raw track files by their header. Identity columns stay text as written ("007", padding), empty text is not null; absent ones are null."""
+    """Raw track files, each by its own header. Identity columns stay text as written ("007", padding), empty text is not null; absent ones are null.
+
+    Files of one header are read together; the headers are the first lines of the files' first blocks.
+    """
     kinds = {x.split()[0]: x.split()[1] for x in RAW_SCHEMA.split(", ")}
-    header = spark.read.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).option("emptyValue", "").option("nullValue", "\x00").csv(path)
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at")).where("at = 0")
+    groups = lines.groupBy("file").agg(F.first("value").alias("header")).groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect()
+    reader = spark.read.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).option("emptyValue", "").option("nullValue", "\x00")
     text = {"storm_id", "storm_identifier", "long_storm_name"}
     cast = lambda c, k: F.coalesce(F.col(c), F.lit("")) if c in text else F.nullif(F.trim(c), F.lit("")).try_cast(k)
-    return header.select(*[(cast(c, k) if c in header.columns else F.lit(None).cast(k)).alias(c) for c, k in kinds.items()])
+    out = spark.createDataFrame([], RAW_SCHEMA)
+    for n, g in enumerate(groups):
+        rows = reader.csv([unquote(f) for f in g["files"]])
+        rows = rows.select(*[(cast(c, k) if c in rows.columns else F.lit(None).cast(k)).alias(c) for c, k in kinds.items()])
+        out = out.unionByName(rows) if n else rows
+    return out
 
 
 def base_name(path: Column) -> Column:
@@ -62,8 +74,11 @@ def match_files(rows: DataFrame, catalog: DataFrame) -> DataFrame:
     return typed.join(catalog, ["run", "lead", "member_type"], "left")
 
 
-def lead_times_for_run(catalog: DataFrame, run: Column, kind: str) -> DataFrame:
-    return catalog.where((F.col("run") == run) & (F.col("kind") == kind)).select("lead").distinct().orderBy("lead")
+def lead_times_for_run(catalog: DataFrame, kind: str, run: Column | None = None) -> DataFrame:
+    """Leads of a run's files of a kind; of the newest run if none is given."""
+    own = catalog.where(F.col("kind") == kind)
+    own = own.where(F.col("run") == run) if run is not None else own.join(F.broadcast(own.agg(F.max("run").alias("run"))), "run", "left_semi")
+    return own.select("lead").distinct().orderBy("lead")
 
 
 def modified_since(files: DataFrame, cutoff: Column, column: str = "modified") -> DataFrame:

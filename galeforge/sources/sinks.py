@@ -9,7 +9,8 @@ from ..operators.rivers import with_morton
 
 
 def _back(df: DataFrame, path: str) -> DataFrame:
-    return df.sparkSession.read.parquet(path)
+    """With the types that were written: partition values such as "007" or a day would else be guessed from their text."""
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def write_per_storm(rows: DataFrame, path: str, storm: str = "storm_id") -> DataFrame:

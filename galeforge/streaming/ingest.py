@@ -7,35 +7,32 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 
-def file_stream_ingest(spark: SparkSession, landing: str, schema: str, target: str, checkpoint: str, merge: Callable[[DataFrame, DataFrame], DataFrame], most_files: int = 1000) -> DataFrame:
+def file_stream_ingest(spark: SparkSession, landing: str, schema: str, target: str, checkpoint: str, keys: list[str], merge: Callable[[DataFrame, DataFrame], DataFrame], most_files: int = 1000) -> DataFrame:
     """Bring all files that landed since the last call into ``target`` and return it.
 
-    A file stream with a checkpoint sees each file once; each batch is merged by ``merge(target, batch)``, which must ignore keys it has
-    had, so a batch that runs twice after a failure changes nothing. The merged table is written beside the old one under the batch's
-    number, and the largest number that is complete is the table.
+    A file stream with a checkpoint sees each file once. Of each batch, made distinct by ``merge(nothing, batch)``, only rows whose key no earlier batch brought
+    are written, below the batch's number; a batch that runs twice after a failure replaces what it wrote. The table is all complete batches together, so a new file costs
+    what it holds and a look at the keys, never a copy of the table.
     """
 
-    def table(before: int | None = None) -> DataFrame | None:
-        done = versions(spark, target)
-        if before is not None:
-            done = [v for v in done if v < before]
-        return spark.read.schema(schema).parquet(f"{target}/v{max(done)}") if done else None
+    def table(before: int | None = None) -> DataFrame:
+        done = [v for v in complete_batches(spark, target) if before is None or v < before]
+        return spark.read.schema(schema).parquet(*[f"{target}/v{v}" for v in done]) if done else spark.createDataFrame([], schema)
 
     def bring(batch: DataFrame, number: int) -> None:
-        old = table(before=number)
-        new = batch.dropDuplicates() if old is None else merge(old, batch)
-        (merge(new.limit(0), batch) if old is None else new).write.mode("overwrite").parquet(f"{target}/v{number}")
+        new = merge(spark.createDataFrame([], schema), batch)
+        new.join(table(before=number).select(*keys), keys, "left_anti").select(*batch.columns).write.mode("overwrite").parquet(f"{target}/v{number}")
 
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", most_files).parquet(landing)
     stream.writeStream.foreachBatch(bring).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
     return table()
 
 
-def versions(spark: SparkSession, target: str) -> list[int]:
-    """Numbers of the complete tables below a folder."""
+def complete_batches(spark: SparkSession, target: str) -> list[int]:
+    """Numbers of the complete batches below a folder, in order."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
     path = hadoop.Path(target)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(path):
         return []
-    return [int(s.getPath().getName()[1:]) for s in fs.listStatus(path) if s.getPath().getName()[1:].isdigit() and fs.exists(hadoop.Path(s.getPath(), "_SUCCESS"))]
+    return sorted(int(s.getPath().getName()[1:]) for s in fs.listStatus(path) if s.getPath().getName()[1:].isdigit() and fs.exists(hadoop.Path(s.getPath(), "_SUCCESS")))
