@@ -174,6 +174,7 @@ def traverse(s: CoverTree, t: CoverTree, weights: tuple[np.ndarray, np.ndarray],
 
 def _unit(rows) -> np.ndarray:
     x = np.array([np.asarray(v, np.float64) for v in rows])
+    x = x / np.abs(x).max(axis=1, keepdims=True)  # so squares of very large or small components stay in range
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
@@ -212,7 +213,7 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, cell: int = CELL) -
         for pdf in batches:
             out = []
             for key, part in pdf.groupby(["label", "dim"]):
-                d = _distance(_unit(part["embedding"]), centres[(int(key[0]), int(key[1]))])
+                d = _distance(_unit(part["embedding"]), centres[(key[0], key[1])])
                 out.append(part.assign(cell=d.argmin(axis=1), far=d.min(axis=1)))
             if out:
                 yield pd.concat(out)[["label", "dim", "cls", "copies", "embedding", "cell", "far"]]
@@ -232,7 +233,7 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, cell: int = CELL) -
         for pdf in batches:
             out = []
             for (label, dim, c), part in pdf.groupby(["label", "dim", "cell"]):
-                key = (int(label), int(dim))
+                key = (label, dim)
                 own = first[(*key, int(c))] + (part["cls"].to_numpy() % parts[(*key, int(c))])
                 d = _distance(_unit(part["embedding"]), centres[key])
                 for j in range(len(centres[key])):

@@ -7,13 +7,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, per_row, table
+from .common import held_out, per_row, share_of, table
 
 #: Width of the vectors; letter symbols (0 is what stands between words); seed of their random vectors.
 WIDTH, SYMBOLS, SEED = 512, 64, 20
 #: Trigram vectors kept by a worker at once, and characters worked on at once.
 KEPT, STEP = 40_000, 1_000_000
 UNKNOWN = "und"
+#: Characters of a long text, and documents that limits for those are learnt from, about.
+LONG, LIMIT_DOCS = 300, 20_000
 
 
 def _symbol_table() -> np.ndarray:
@@ -43,13 +45,22 @@ def symbols(text: str) -> np.ndarray:
 
 def trigrams(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Distinct trigrams of a whole text, with runs of other characters as one boundary, and their counts; empty without a letter."""
-    s = symbols(text)
+    s = np.concatenate([np.zeros(1, np.uint8), *(symbols(text[i : i + STEP]) for i in range(0, len(text), STEP)), np.zeros(1, np.uint8)])
     if not s.any():
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    s = np.concatenate([[0], s, [0]]).astype(np.int64)
     s = s[np.r_[True, (s[1:] != 0) | (s[:-1] != 0)]]
-    key = (s[:-2] * SYMBOLS + s[1:-1]) * SYMBOLS + s[2:]
-    return np.unique(key, return_counts=True)
+    if len(s) <= STEP:
+        return np.unique(_keys(s), return_counts=True)
+    counts = np.zeros(SYMBOLS**3, np.int64)
+    for i in range(0, len(s) - 2, STEP):
+        counts += np.bincount(_keys(s[i : i + STEP + 2]), minlength=len(counts))
+    keys = np.flatnonzero(counts)
+    return keys, counts[keys]
+
+
+def _keys(s: np.ndarray) -> np.ndarray:
+    s = s.astype(np.int64)
+    return (s[:-2] * SYMBOLS + s[1:-1]) * SYMBOLS + s[2:]
 
 
 class Vectors:
@@ -110,8 +121,8 @@ def learn_prototypes(docs: DataFrame, width: int = WIDTH, seed: int = SEED) -> d
     return {r["lang"]: np.array(r["vector"], np.float32) for r in sorted(rows, key=lambda r: r["lang"])}
 
 
-def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], width: int = WIDTH, seed: int = SEED, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The kept columns, lang_pred and score for every row of (doc_id, text).
+def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], width: int = WIDTH, seed: int = SEED, keep: tuple[str, ...] = ("doc_id",), names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """The kept columns, lang_pred and score (or what ``names`` calls them) for every row of (doc_id, text).
 
     lang_pred is the language whose prototype has the largest cosine with the whole text's bundle, the first by name on
     ties; score is that cosine, not below 0. A text that is null or has no letter, or no prototype at all, gives ``und`` and 0.
@@ -133,11 +144,23 @@ def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], width: int = WI
 
         def make(x):
             found = [one(t) for t in x["text"]]
-            return {"lang_pred": [f[0] for f in found], "score": [f[1] for f in found]}
+            return {name: [f[k] for f in found] for k, name in enumerate(names)}
 
         return make
 
-    return per_row(docs, ["text"], start, {"lang_pred": "string", "score": "double"}, keep)
+    return per_row(docs, ["text"], start, {names[0]: "string", names[1]: "double"}, keep)
+
+
+def least_scores(docs: DataFrame, prototypes: dict[str, np.ndarray], most: int = LIMIT_DOCS) -> dict[str, float]:
+    """For each language the score that long texts of it have at least: half the lowest hundredth among about ``most`` of the documents, chosen by hash.
+
+    Vectors of WIDTH have cosines of about 1 / sqrt(WIDTH) by chance, whatever the text; long texts of a known language are far above that.
+    """
+    known = docs.where("lang is not null and doc_id is not null").where(F.length("text") >= LONG)
+    n = known.count()
+    some = known.where(share_of("doc_id", most / n)) if n > most else known
+    told = identify(some.select("text", "lang"), prototypes, keep=("lang",)).where("lang = lang_pred")
+    return {r["lang"]: r["low"] / 2 for r in told.groupBy("lang").agg(F.percentile_approx("score", 0.01, 10_000).alias("low")).collect()}
 
 
 def op9_langid(spark, sf_dir: str) -> DataFrame:

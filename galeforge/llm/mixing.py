@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import WORD_PATTERN, materialize, per_row, table
+from .common import WORD_PATTERN, materialize, per_row, private, table
 
 #: Weights by the sources' order, over and over. No source gives more than CAP times what it has.
 WEIGHTS, CAP = (5, 2, 1), 3
@@ -89,7 +89,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, see
     placed = placed.withColumn("_shard", F.pmod(F.conv(F.substring("_key", 1, 8), 16, 10).cast("long"), F.col("_shards")))
     cells = placed.groupBy("source", "_shard").agg(F.sum("size").alias("_cell"), F.first("_blocks").alias("_blocks"))
     quotas = apportion(cells, ["source"], "_cell", "_blocks", ["_shard"]).select(F.col("source").alias("_s"), F.col("_shard").alias("_h"), "_cell", "quota")
-    laid = placed.withColumn("_end", F.sum("size").over(W.partitionBy("source", "_shard").orderBy("_key", "size", "doc_id").rowsBetween(W.unboundedPreceding, 0)))
+    laid = placed.withColumn("_end", F.sum("size").over(W.partitionBy("source", "_shard").orderBy("_key", "size", "doc_id", *keep).rowsBetween(W.unboundedPreceding, 0)))
     laid = laid.join(quotas, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_shard") == F.col("_h")))
     laid = laid.withColumn("_n", F.ceil(F.col("_cell") / block)).withColumn("passes", F.when(F.col("_n") > 0, F.least(F.lit(cap), F.floor(F.col("quota") / F.col("_n")))).otherwise(0).cast("long"))
     laid = laid.withColumn("_rest", F.when((F.col("_n") > 0) & (F.col("passes") < cap), F.col("quota") - F.col("passes") * F.col("_n")).otherwise(0))
@@ -175,18 +175,24 @@ def op7_mixing(spark, sf_dir: str) -> DataFrame:
 
 
 def take(docs: DataFrame, plan: DataFrame | None = None) -> DataFrame:
-    """The mix itself: each row of docs as often as the plan takes it, the parts cut out of its text at words; n_chars is that of the piece.
+    """The mix itself: each row of docs as often as the plan takes it, the parts cut out of its text at words; n_chars, if there is one, is that of the piece.
 
-    Rows are told apart by doc_id and their text's hash; rows that repeat both must have been merged before.
+    Rows are told apart by doc_id and their text's hash; of rows that repeat both, each takes one of the plan's, in a fixed order. Other columns may
+    have any names. A null text is taken no times, as it has no words; an empty table gives an empty result.
     """
-    spare = docs.select("doc_id", F.xxhash64("text").alias("_hash"), "source", "text")
-    plan = mix(spare, keep=("_hash",)) if plan is None else plan
+    of = lambda text: F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), text.cast("string"))
+    plan = mix(docs.select("doc_id", F.xxhash64("text").alias("hash"), "source", "text"), keep=("hash",)) if plan is None else plan
     whole = F.array_repeat(F.struct(F.lit(0).cast("long").alias("at"), F.col("size").alias("n")), F.col("passes").cast("int"))
     some = F.array(F.struct(F.col("from_word").cast("long").alias("at"), F.col("part_words").cast("long").alias("n")), F.struct(F.lit(0).cast("long").alias("at"), F.col("wrap_words").cast("long").alias("n")))
     pieces = F.filter(F.concat(whole, some), lambda p: p["n"] > 0)
-    cut = plan.where("taken > 0").select(F.col("doc_id").alias("_id"), F.col("_hash").alias("_text_hash"), F.col("size").alias("_size"), pieces.alias("_pieces"))
-    own = docs.withColumn("_hash", F.xxhash64("text"))
-    rows = own.join(cut, own.doc_id.eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_text_hash"))).select(*[own[c] for c in docs.columns], "_size", F.explode("_pieces").alias("_p"))
+    names = [private(x, docs) for x in ("key", "rank", "size", "at", "n", "taken")]
+    key, rank, size, at, n, taken = names
+    cut = plan.groupBy(of(F.col("hash")).alias(key)).agg(F.sort_array(F.collect_list(F.struct("size", pieces.alias("pieces")))).alias(taken))
+    order = [F.xxhash64(*docs.columns)] if docs.columns else []
+    own = docs.withColumn(key, of(F.xxhash64("text"))).join(cut.where(F.exists(taken, lambda x: F.size(x["pieces"]) > 0)), key)
+    own = own.withColumn(rank, F.row_number().over(W.partitionBy(key).orderBy(*order)))
+    one = F.element_at(F.col(taken), F.col(rank))
+    rows = own.select(*docs.columns, one["size"].alias(size), F.explode(one["pieces"]).alias(taken))
 
     def start():
         def piece(text, size, at, n):
@@ -198,8 +204,9 @@ def take(docs: DataFrame, plan: DataFrame | None = None) -> DataFrame:
             last = first if n == 1 else next(islice(words, n - 2, None))
             return raw[first.start() : last.end()].decode()
 
-        return lambda x: {"_text": [piece(*row) for row in zip(x["text"], x["_size"], x["_at"], x["_n"], strict=True)]}
+        return lambda x: {key: [piece(*row) for row in zip(x["text"], x[size], x[at], x[n], strict=True)]}
 
     rest = tuple(c for c in docs.columns if c != "text")
-    out = per_row(rows.withColumns({"_at": F.col("_p.at"), "_n": F.col("_p.n")}).drop("_p"), ["text", "_size", "_at", "_n"], start, {"_text": "string"}, rest)
-    return out.withColumn("n_chars", F.length("_text").cast("long")).withColumnRenamed("_text", "text").select(*docs.columns)
+    out = per_row(rows.withColumns({at: F.col(f"`{taken}`.at"), n: F.col(f"`{taken}`.n")}).drop(taken), ["text", size, at, n], start, {key: "string"}, rest)
+    out = out.withColumn("n_chars", F.length(key).cast("long")) if "n_chars" in docs.columns else out
+    return out.withColumnRenamed(key, "text").select(*docs.columns)

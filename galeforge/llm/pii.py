@@ -386,8 +386,8 @@ def redact(text: str, spans: list) -> str:
     return "".join([*out, text[at:]])
 
 
-def find_personal_data(docs: DataFrame, model: Boosted, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The kept columns of every row of (doc_id, text), base_spans and spans (kind:start:end in code points, end exclusive, by start then kind), and redacted text.
+def find_personal_data(docs: DataFrame, model: Boosted, keep: tuple[str, ...] = ("doc_id",), names: tuple[str, str, str] = ("base_spans", "spans", "redacted")) -> DataFrame:
+    """The kept columns of every row of (doc_id, text), base_spans and spans (or what ``names`` calls them; kind:start:end in code points, end exclusive, by start then kind), and redacted text.
 
     A null text is an empty one and stays null when redacted; repeated rows are searched each; an empty table gives an empty result.
     """
@@ -395,11 +395,11 @@ def find_personal_data(docs: DataFrame, model: Boosted, keep: tuple[str, ...] =
     def start():
         def make(x):
             found = [find_spans(t or "", model) for t in x["text"]]
-            return {"base_spans": [written(b) for b, _ in found], "spans": [written(s) for _, s in found], "redacted": [t and redact(t, s) for t, (_, s) in zip(x["text"], found, strict=True)]}
+            return dict(zip(names, ([written(b) for b, _ in found], [written(s) for _, s in found], [t and redact(t, s) for t, (_, s) in zip(x["text"], found, strict=True)]), strict=True))
 
         return make
 
-    return per_row(docs, ["text"], start, {"base_spans": "string", "spans": "string", "redacted": "string"}, keep)
+    return per_row(docs, ["text"], start, dict.fromkeys(names, "string"), keep)
 
 
 def op8_pii(spark, sf_dir: str) -> DataFrame:

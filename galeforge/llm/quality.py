@@ -103,8 +103,8 @@ def _partial_counts(docs: DataFrame, flush: int = 200_000) -> DataFrame:
                 lang = lang or ANY
                 words.setdefault(lang, Counter()).update(raw.lower().split())
                 classes[lang] = classes.get(lang, 0) + class_counts(raw)
-            if sum(map(len, words.values())) > flush:
-                yield out()
+                if sum(map(len, words.values())) > flush:
+                    yield out()
         yield out()
 
     return docs.select("lang", "text").mapInPandas(run, "lang string, kind string, key string, n long")

@@ -1,17 +1,19 @@
 """The pipeline's stages against brute force, and the registered queries' contracts on the small tables."""
 
+import random
 import zlib
 from collections import defaultdict
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from galeforge.llm import mixing, registry, simhash
 from galeforge.llm.common import table
 from galeforge.llm.pii import base_spans
 from tests.llm.test_neardup import brute_kept
-from tests.llm.test_operators import brute_components, brute_fingerprint, check_pieces
+from tests.llm.test_operators import brute_components, brute_fingerprint, check_pieces, docs, odd_docs, words
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -111,3 +113,39 @@ def test_one_row_for_each_document(spark, name):
 def test_held_out_rule(spark):
     out = registry.QUERIES["op9_langid"](spark, FOLDER).collect()
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in out)
+
+
+def test_stages_on_odd_rows(spark):
+    """Nulls, empty texts, repeated rows, an empty table, and columns named as the stages name their own."""
+    odd = odd_docs(spark).withColumns({c: F.lit(1) for c in ("score", "lang_pred", "redacted", "spans", "base_spans", "key", "rank", "size", "at", "n", "taken", "_key", "_hash", "_size")})
+    for d in (odd, odd.limit(0)):
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, d, "")
+            assert out.columns == d.columns, name
+            assert (out.count() > 0) == (d is odd), name
+        assert (corpus_pipeline.packed(spark, d, "").count() > 0) == (d is odd)
+
+
+def test_repeated_rows_take_what_the_plan_says(spark):
+    d = docs(spark, [(i // 3, words(40, i // 3), "en", f"s{i % 2}") for i in range(60)])
+    want = mixing.mix(d).agg(F.sum("taken")).first()[0]
+    got = mixing.take(d).select(mixing.word_count(F.col("text")).alias("n")).agg(F.sum("n")).first()[0]
+    assert got == want
+
+
+def test_noise_is_no_language(spark):
+    r = random.Random(2)
+    noise = [" ".join("".join(r.choice("qxzjkvwbph") for _ in range(r.randrange(2, 9))) for _ in range(200)) for _ in range(20)]
+    d = table(spark, FOLDER, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    rows = spark.createDataFrame([(10_000 + i, t, None, "src0", len(t)) for i, t in enumerate(noise)], d.schema)
+    kept = {x.doc_id for x in corpus_pipeline.language(spark, d.union(rows), FOLDER).collect()}
+    assert sum(10_000 + i in kept for i in range(20)) <= 4
+    assert sum(k < 10_000 for k in kept) >= 0.98 * d.count()
+
+
+def test_cover_tree_takes_any_label_and_scale(spark):
+    from galeforge.llm.covertree import near_vectors
+
+    v = [(i, [x * s for x in (1.0, 0.01 * (i % 2), 0.0)], label) for i, (s, label) in enumerate([(1e-200, "a"), (1e200, "a"), (1.0, "a"), (1.0, "b")])]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in near_vectors(spark.createDataFrame(v, "vec_id long, embedding array<double>, label string")).collect()}
+    assert got == {0: (2, 0), 1: (2, 0), 2: (2, 0), 3: (0, 3)}
