@@ -15,6 +15,8 @@ from .common import per_row, share_of, table
 #: The first four have a fixed format; secrets are found by the method alone.
 KINDS = ("email", "ip", "card", "phone", "secret")
 BASE_KINDS = KINDS[:4]
+#: Cards and phones: numbers whose proposals differ in where they begin and end.
+NUMBERS = (2, 3)
 #: Documents that any candidates are learnt from, about, and as many again that hold a value of a kind, for each kind; values of a kind in one
 #: document, and rows of a kind, that are learnt from at most; trees, depth, rate, bins; least precision of what a threshold lets through.
 SAMPLE_DOCS, KIND_VALUES, KIND_ROWS = 3000, 8, 12_000
@@ -71,16 +73,18 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-#: Generators: the kind, and what it may look like beyond its fixed format. Addresses are found around a mark that stands for @.
+#: Generators: the kind, and what it may look like beyond its fixed format. Addresses are found around a mark that stands for @. Numbers are looked for
+#: from every digit that no digit precedes, as one may stand among others; the last generator of cards takes one separator throughout and ends with it.
 _AT = re.compile(r"@|\s?[(\[{]at[)\]}]\s?| at ", re.I)
 _BEFORE = re.compile(r"[\w.+-]{1,64}\Z")
 _AFTER = re.compile(r"[A-Za-z0-9-]{1,63}(?:(?:\.|\s?[(\[{]dot[)\]}]\s?| dot )[A-Za-z0-9-]{1,63}){1,5}", re.I)
 _MORE = (
     (1, re.compile(r"(?<![\w.])\d{1,3}(?: ?\. ?\d{1,3}){3}(?![\w.])")),
     (1, re.compile(r"(?<![\w:])(?:[0-9A-Fa-f]{1,4}:){3,7}[0-9A-Fa-f]{1,4}(?![\w:])")),
-    (2, re.compile(r"(?<!\d)\d(?:[ ._/-]{0,2}\d){11,18}(?!\d)")),
-    (3, re.compile(r"(?<![\w+])(?:00\d{1,3}[ .-]?)?(?:\(\d{2,4}\)|\d{2,4})[ .-]?\d{3}[ .-]\d{3,4}(?!\d)")),
+    (2, re.compile(r"(?<!\d)(?=(\d(?:[ ._/-]{0,2}\d){11,18})(?!\d))")),
+    (3, re.compile(r"(?<![\w+])(?=((?:00\d{1,3}[ .-]?)?(?:\(\d{2,4}\)|\d{2,4})[ .-]?\d{3}[ .-]\d{3,4})(?!\d))")),
     (4, re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{16,512}={0,2}(?![A-Za-z0-9+/_=-])")),
+    (2, re.compile(r"(?<!\d)(?=(\d{4}([ ._/-]{1,3})\d{3,6}(?:\2\d{1,6}){1,3})(?!\d))")),
 )
 
 
@@ -93,7 +97,7 @@ def candidates(text: str) -> list[tuple[int, int, int, int]]:
             out.append((m.start() - len(before[0]), 0, after.end(), 0))
     if _DIGIT.search(text):
         for g, (kind, pattern) in enumerate(_MORE, 1):
-            out += [(m.start(), kind, m.end(), g) for m in pattern.finditer(text) if kind != 4 or _mixed(m[0])]
+            out += [(m.start(), kind, m.end(1 if kind in NUMBERS else 0), g) for m in pattern.finditer(text) if kind != 4 or _mixed(m[0])]
     return sorted(out)
 
 
@@ -111,10 +115,11 @@ CONTEXT = (
     ("token", "secret", "key", "apikey", "password", "passwd", "pwd", "auth", "bearer", "credential"),
     ("hash", "commit", "sha", "md", "checksum", "digest", "uuid", "file", "image", "path"),
 )
-FEATURES = 21 + len(CONTEXT)
+FEATURES = 24 + len(CONTEXT)
 
 
 _ASSIGNED = re.compile(r"[a-z_]\s*[=:]\s*[\"']?\Z")
+_NUMBER_BEFORE, _NUMBER_AFTER = re.compile(r"\d[ ._/-]{1,3}\Z"), re.compile(r"[ ._/-]{1,3}\d")
 
 
 def features(text: str, start: int, kind: int, end: int, generator: int) -> list[float]:
@@ -129,6 +134,7 @@ def features(text: str, start: int, kind: int, end: int, generator: int) -> list
         kind, generator, len(s), len(digits), len(rest), len(set(rest)), sum(c.isalpha() for c in s), len(numbers), max(map(len, numbers), default=0), float(luhn(digits)) if 12 <= len(digits) <= 19 else -1.0,
         sum(int(n) <= 255 for n in numbers if len(n) < 6), float(s[:1] == "0"), s.count("."), float(before[-1:].isalnum()), float(after[:1].isalnum()), float(before[-1:] in "#=:\"'$"),
         len(set(s)) / len(s), sum(c in "0123456789abcdefABCDEF" for c in s) / len(s), sum(c.isupper() for c in s) / len(s), sum(a.isdigit() != b.isdigit() for a, b in zip(s, s[1:])) / len(s), float(bool(_ASSIGNED.search(before))),
+        float(bool(_NUMBER_BEFORE.search(before[-4:]))), float(bool(_NUMBER_AFTER.match(after))), len({len(n) for n in numbers[:-1]}),
         *(float(any(w in group for w in near)) for group in CONTEXT),
     ]
 
@@ -188,7 +194,7 @@ class Boosted:
 
 def _invented(kind: int, rng: np.random.Generator) -> str:
     """A value of a kind's fixed format at random; of secrets, random letters and digits."""
-    d = lambda n: "".join(map(str, rng.integers(0, 10, n)))
+    d = lambda n: f"{rng.integers(10**n):0{n}d}"
     w = lambda: "".join(rng.choice(list("abcdefghijklmnoprstuvw"), rng.integers(3, 9)))
     if kind == 0:
         return f"{w()}{rng.choice(['.', '_', ''])}{w()}@{w()}.{rng.choice(['com', 'org', 'net', 'de'])}"
@@ -206,7 +212,7 @@ def _invented(kind: int, rng: np.random.Generator) -> str:
 def _disguised(kind: int, s: str, rng: np.random.Generator) -> list[tuple[str, int]]:
     """A true value in other formats (label 1), and look-alikes of its kind (label 0)."""
     digits = "".join(c for c in s if c.isdecimal())
-    d = lambda n: "".join(map(str, rng.integers(0, 10, n)))
+    d = lambda n: f"{rng.integers(10**n):0{n}d}"
     if kind == 4:
         w = lambda: "".join(rng.choice(list("abcdefghijklmnoprstuvw"), rng.integers(4, 9)))
         name = str(rng.choice(["token", "secret", "api_key", "password", "TOKEN", "auth_token", "client_secret", "access-key"]))
@@ -221,10 +227,11 @@ def _disguised(kind: int, s: str, rng: np.random.Generator) -> list[tuple[str, i
     if kind == 1:
         return [(s.replace(".", " . "), 1), (":".join(f"{rng.integers(0, 65536):x}" for _ in range(8)), 1), (".".join(str(rng.integers(256, 999)) for _ in range(4)), 0), (":".join(f"{rng.integers(0, 60):02d}" for _ in range(4)), 0)]
     if kind == 2:
-        lists = [f"{d(3)} {d(2)}.{d(1)} 20{d(2)}-{d(2)}-{d(2)}" for _ in range(40)] + [f"{d(2)}.{d(3)} {d(1)} {d(5)}/{d(3)}" for _ in range(40)]
-        lucky = [x for x in lists if luhn("".join(c for c in x if c.isdecimal()))]  # not cards, though their check digit is right
+        # lists of numbers that are no cards, though their check digit is right
+        lists = (f"{d(3)} {d(2)}.{d(1)} 20{d(2)}-{d(2)}-{d(2)}" for _ in range(99)), (f"{d(2)}.{d(3)} {d(1)} {d(5)}/{d(3)}" for _ in range(99))
+        lucky = [next((x for x in many if luhn("".join(c for c in x if c.isdecimal()))), d(14)) for many in lists]
         wrong = digits[:-1] + str((int(digits[-1]) + 1 + rng.integers(0, 8)) % 10)
-        return [(".".join(re.findall(".{1,4}", digits)), 1), ("/".join(re.findall(".{1,4}", digits)), 1), (wrong, 0), (d(14), 0), (d(4) + "." + d(12), 0), *((x, 0) for x in (lucky[:1] + lucky[-1:]))]
+        return [*((mark.join(re.findall(".{1,4}", digits)), 1) for mark in (".", "/", str(rng.choice([" - ", "_", " . "])))), (wrong, 0), (d(14), 0), (d(4) + "." + d(12), 0), *((x, 0) for x in lucky)]
     local = digits[-10:]
     return [(f"({local[:3]}) {local[3:6]}-{local[6:]}", 1), (f"{local[:3]}-{local[3:6]}-{local[6:]}", 1), (f"00{digits[:-10] or '1'} {local[:3]} {local[3:6]} {local[6:]}", 1), (f"{d(4)}.{d(3)}-{d(3)}", 0), (f"{d(3)} {d(3)} {d(3)} {d(3)}"[: rng.integers(11, 16)], 0), (d(2) + "." + d(3) + " " + d(4), 0)]
 
@@ -263,9 +270,10 @@ def learn(docs: DataFrame, most: int = SAMPLE_DOCS, kind_rows: int = KIND_ROWS)
 
     No labels of personal data are given, so they come from the formats: values that pass their checks are written again in other
     formats where they stood, and invented values of every kind, secrets among them, at random places of the sample's texts (1). Look-alikes put in their place, as well
-    as the generators' other finds that fail their kind's checks, are negatives (0). Of a kind,
+    as the generators' other finds that fail their kind's checks, are negatives (0), and so are finds of another kind where a value stands and finds of a number that
+    take in less or more than it. Of a kind,
     KIND_VALUES of a document's values and ``kind_rows`` rows are used at most. A third is kept back; a kind's threshold is the lowest whose finds there are right in PRECISION
-    of the cases, counting one wrong more.
+    of the cases, counting one wrong more, half way to the next score below.
     """
     n, held = docs.count(), documents_by_kind(docs)
     # by hash of the kind's name and the id; a kind of few documents takes all of them
@@ -284,11 +292,14 @@ def learn(docs: DataFrame, most: int = SAMPLE_DOCS, kind_rows: int = KIND_ROWS)
                     out.append(b"")
                     continue
 
-                def put(a, k, b, choices):
-                    head, tail = text[max(0, a - AROUND) : a], text[b : b + AROUND]
+                def put(a, k, b, choices, before=""):
+                    head, tail = text[max(0, a - AROUND) : a] + before, text[b : b + AROUND]
                     for s, label in choices:
-                        made = head + s + tail
-                        rows.extend((*features(made, *c), label) for c in candidates(made) if c[1] == k and c[0] < len(head) + len(s) and c[2] > len(head))
+                        made, begin, end = head + s + tail, len(head), len(head) + len(s.rstrip())
+                        for c in candidates(made):
+                            if c[0] < end and c[2] > begin and (label or c[1] == k):
+                                right = label and c[1] == k and (k not in NUMBERS or (c[0], c[2]) == (begin, end))
+                                rows.append((*features(made, *c), float(right)))
 
                 for a, k, b in base:
                     taken[k] += 1
@@ -299,7 +310,8 @@ def learn(docs: DataFrame, most: int = SAMPLE_DOCS, kind_rows: int = KIND_ROWS)
                         at = text.find(" ", int(rng.integers(0, len(text)))) + 1
                         choices = _disguised(k, _invented(k, rng), rng)
                         yes, no = [c for c in choices if c[1]], [c for c in choices if not c[1]]
-                        put(at, k, at, [(s + " ", label) for s, label in (yes[rng.integers(len(yes))], no[rng.integers(len(no))])])
+                        after_number = f"{rng.integers(1000)} " if k in NUMBERS and rng.integers(3) == 0 else ""
+                        put(at, k, at, [(s + " ", label) for s, label in (yes[rng.integers(len(yes))], no[rng.integers(len(no))])], after_number)
                 other, taken_by = [0] * len(KINDS), Taken()
                 for a, _, b in base:
                     taken_by.add(a, b)
@@ -332,7 +344,8 @@ def learn(docs: DataFrame, most: int = SAMPLE_DOCS, kind_rows: int = KIND_ROWS)
         right = np.cumsum(y[back][own][order])
         good = np.flatnonzero((right / (np.arange(len(order)) + 2) >= PRECISION) & (p[own][order] >= 0.5))
         if len(good):
-            model.thresholds[kind] = float(p[own][order][good[-1]])
+            least, below = np.append(p[own][order], 0.0)[good[-1] :][:2]
+            model.thresholds[kind] = max(0.5, float(least + below) / 2)
     return model
 
 

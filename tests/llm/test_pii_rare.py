@@ -30,6 +30,8 @@ def test_planted_secrets_and_disguised_values(spark):
         4: ['token = "04dbebab91ab85687d33eeaaf9ac699e1188f962"', "api_key: Zk81mQ0xVt52LpRr93WdYb7N"],
         0: ["jane [at] mail [dot] example [dot] com"],
         1: ["110 . 32 . 171 . 19"],
+        2: ["card 4111.1111.1111.1111", "4111 / 1111 / 1111 / 1111", "order 216 4111/1111/1111/1111"],
+        3: ["call (310) 555-4510", "phone 310-555-4510"],
     }
     for kind, texts in planted.items():
         for t in texts:
