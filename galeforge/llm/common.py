@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 
@@ -117,6 +119,15 @@ def sliced(batches, columns=None, most: int = SLICE_BYTES):
             yield batch.slice(int(a), int(b - a))
 
 
+def release() -> None:
+    """Give memory that this Python worker no longer uses back to the system; what one stage needed would otherwise stay beside what the next one needs."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+    if trim:
+        trim(0)
+
+
 def per_row(docs: DataFrame, inputs: list[str], start, outputs: dict[str, str], keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The kept columns as they are, and new ones made in Arrow batches of whole rows, of about SLICE_BYTES each.
 
@@ -137,6 +148,8 @@ def per_row(docs: DataFrame, inputs: list[str], start, outputs: dict[str, str],
             yield pa.RecordBatch.from_arrays(
                 [batch.column(batch.schema.get_field_index(c)) for c in names] + [pa.array(new[c], types[k]) for c, k in outputs.items()], names=[*names, *outputs]
             )
+        del make
+        release()
 
     schema = ", ".join(f"`{c}` {k}" for c, k in (kinds | outputs).items())
     return docs.select(*dict.fromkeys([*names, *inputs])).mapInArrow(run, schema)

@@ -10,8 +10,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, shards_for, sliced, table
-from .tokens import default_path, encoder
+from .common import materialize, release, shards_for, sliced, table
+from .tokens import default_path, encoder, forget_encoders
 
 WINDOW, END_ID = 2048, 1
 K1, B = 1.2, 0.75
@@ -217,6 +217,8 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None, end_id: int =
     dealt = rows_of.repartitionByRange(n, "route", "doc_id", F.length("ids")).sortWithinPartitions("route", "doc_id", "ids").select("doc_id", "ids")
 
     def run(batches):
+        forget_encoders()
+        release()
         packer = Packer(window, TaskContext.get().partitionId() << 32)
         held: dict[int, tuple] = {}  # documents whose pieces are not all returned
         counter, ids, own = 0, [], []

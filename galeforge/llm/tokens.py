@@ -236,6 +236,11 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
+def forget_encoders() -> None:
+    """For tasks that encode nothing: the worker's encoders and their parts go."""
+    _encoders.clear()
+
+
 def default_path() -> str:
     import public_tokenizers
 
