@@ -160,7 +160,7 @@ def least_scores(docs: DataFrame, prototypes: dict[str, np.ndarray], most: int =
     n = known.count()
     some = known.where(share_of("doc_id", most / n)) if n > most else known
     told = identify(some.select("text", "lang"), prototypes, keep=("lang",)).where("lang = lang_pred")
-    return {r["lang"]: r["low"] / 2 for r in told.groupBy("lang").agg(F.percentile_approx("score", 0.01, 10_000).alias("low")).collect()}
+    return {r["lang"]: r["low"] / 2 for r in told.groupBy("lang").agg(F.percentile("score", 0.01).alias("low")).collect()}
 
 
 def op9_langid(spark, sf_dir: str) -> DataFrame:
