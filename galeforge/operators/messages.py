@@ -36,22 +36,23 @@ def flatten_messages(messages: DataFrame) -> DataFrame:
     """Message x member x period x threshold x quadrant to rows; a quadrant's row is there even without a radius.
 
     Periods without hours are skipped, rows without a centre dropped; sentinels become null, those of the maximum wind's place too.
+    Each explode takes along only what lies below it: a period its members' radii, a member its own, so the work grows as the message does.
     """
-    n, periods = F.size("members"), F.size("periods")
-    m = messages.select("*", n.alias("_n"), periods.alias("_np"), F.posexplode("periods").alias("_p", "period"))
-    m = m.withColumn("step", first_non_missing(F.col("period.hours"))).where("step is not null")
-    m = m.select("*", F.posexplode("members").alias("_k", "ensemble_member"))
-    pick = lambda c: per_member_or_scalar(F.col(f"period.{c}"), F.col("_n"), F.col("_k"))
-    m = m.withColumns({"latitude": null_sentinel(pick("lat")), "longitude": null_sentinel(pick("lon")), "pressure": null_sentinel(pick("pressure")), "wlatitude": null_sentinel(pick("wlat")), "wlongitude": null_sentinel(pick("wlon")), "wind": null_sentinel(pick("wind"))})
-    m = m.where("latitude is not null and longitude is not null")
-    quad = F.sequence(F.lit(0), F.lit(3))
-    cells = F.flatten(F.transform("thresholds", lambda t, i: F.transform(quad, lambda q: F.struct(t.cast("int").alias("thr"), i.alias("i"), q.alias("q")))))
-    m = m.withColumn("_c", F.explode(cells))
-    radius = null_sentinel(radius_offset(F.col("radii"), F.col("_k"), F.col("_p"), F.col("_np"), F.col("_c.i"), F.col("_c.q")))
+    n, n_periods, width = F.size("members"), F.size("periods"), 4 * F.size("thresholds")
+    identity = ["storm_identifier", "long_storm_name", "base_time", "thresholds"]
+    own = lambda i: F.transform("members", lambda _, k: F.slice("radii", (k * n_periods * 12 + i * 12 + 1).cast("int"), width))
+    m = messages.select(*identity, "members", n.alias("_n"), F.explode(F.transform("periods", lambda p, i: F.struct(p.alias("period"), own(i).alias("radii")))).alias("_p"))
+    m = m.withColumn("step", first_non_missing(F.col("_p.period.hours")).cast("int")).where("step is not null")
+    value = lambda c, k: null_sentinel(per_member_or_scalar(F.col(f"_p.period.{c}"), F.col("_n"), k))
+    names = {"lat": "latitude", "lon": "longitude", "pressure": "pressure", "wlat": "wlatitude", "wlon": "wlongitude", "wind": "wind"}
+    one = lambda member, k: F.struct(member.alias("ensemble_member"), *[value(c, k).alias(name) for c, name in names.items()], F.try_element_at(F.col("_p.radii"), k + 1).alias("radii"))
+    m = m.select(*identity, "step", F.explode(F.transform("members", one)).alias("_m")).where("_m.latitude is not null and _m.longitude is not null")
+    cell = lambda j: F.struct(F.try_element_at("thresholds", F.floor(j / 4).cast("int") + 1).cast("int").alias("thr"), (j % 4).alias("q"), null_sentinel(F.try_element_at(F.col("_m.radii"), j + 1)).alias("radius"))
+    m = m.withColumn("_c", F.explode(F.transform(F.sequence(F.lit(0), width - 1, F.lit(1)), cell)))
     return m.select(
-        storm_identity(F.col("storm_identifier"), F.col("long_storm_name")).alias("storm_id"), "storm_identifier", "long_storm_name", "ensemble_member", F.col("step").cast("int").alias("step"),
-        valid_time(F.col("base_time"), F.col("step")).alias("datetime"), "latitude", "longitude", "pressure", "wlatitude", "wlongitude", "wind", F.col("_c.thr").alias("wind_threshold"), (F.col("_c.q") + 1).alias("quadrant"),
-        (F.col("_c.q") * 90.0).alias("bearing_start"), (F.col("_c.q") * 90.0 + 90).alias("bearing_end"), radius.alias("wind_radius"),
+        storm_identity(F.col("storm_identifier"), F.col("long_storm_name")).alias("storm_id"), "storm_identifier", "long_storm_name", "_m.ensemble_member", "step",
+        valid_time(F.col("base_time"), F.col("step")).alias("datetime"), *[f"_m.{x}" for x in names.values()], F.col("_c.thr").alias("wind_threshold"), (F.col("_c.q") + 1).alias("quadrant"),
+        (F.col("_c.q") * 90.0).alias("bearing_start"), (F.col("_c.q") * 90.0 + 90).alias("bearing_end"), F.col("_c.radius").alias("wind_radius"),
     )
 
 

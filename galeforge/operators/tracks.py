@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.geo import antimeridian_split, boxes_to_wkt, haversine_km, quadrant_box
-from ..schemas import POLYGON_COLUMNS, QUADRANTS, RADIUS_COLUMNS, RADIUS_KNOTS, RAW_REQUIRED, TRACK_COLUMNS
+from ..schemas import POLYGON_COLUMNS, QUADRANTS, RADIUS_COLUMNS, RADIUS_KNOTS, RAW_RADII, RAW_REQUIRED, TRACK_COLUMNS
 
 POINT = ["storm_id", "storm_identifier", "long_storm_name", "ensemble_member", "step", "datetime", "latitude", "longitude", "pressure", "wlatitude", "wlongitude", "wind"]
 COORDINATES = ["latitude", "longitude", "wlatitude", "wlongitude"]
 
 
 def validate_tracks(rows: DataFrame) -> DataFrame:
-    """For each storm its rows, coordinate rows and whether it is usable; an error if a required column is missing."""
+    """For each storm its rows, coordinate rows and whether it is usable; an error if a required column is missing. Wind radii are not required."""
     if missing := [c for c in RAW_REQUIRED if c not in rows.columns]:
         raise ValueError(f"missing columns: {', '.join(missing)}")
     out = rows.groupBy("storm_id").agg(F.count("*").alias("n_rows"), *[F.count(c).alias(f"n_{c}") for c in COORDINATES])
@@ -101,25 +102,39 @@ def standard_schema(rows: DataFrame) -> DataFrame:
     return rows.select(*[F.col(c) if c in rows.columns else F.lit(None).alias(c) for c in TRACK_COLUMNS])
 
 
+def with_radii(raw: DataFrame) -> DataFrame:
+    """Rows with the three columns of wind radii; where one is absent no row has a radius."""
+    if all(c in raw.columns for c in RAW_RADII):
+        return raw
+    kinds = dict(zip(RAW_RADII, ("int", "int", "double"), strict=True))
+    return raw.withColumns({c: F.lit(None).cast(k) for c, k in kinds.items()})
+
+
 def keyed_points(raw: DataFrame) -> DataFrame:
-    """The distinct points of each storm, member and step beside its twelve radii in km, by one aggregate."""
-    key = ("storm_id", "ensemble_member", "step")
+    """The distinct points of each storm, member and step beside the twelve radii in km of all of them.
+
+    Points are the keys of a hash aggregate with map-side combine; a window over the few points of a key brings their radii together.
+    """
     tier = {(ms, q): f"radius_{kt}_knot_winds_{name}_km" for ms, kt in RADIUS_KNOTS.items() for q, name in QUADRANTS.items()}
     radii = [F.max(F.when((F.col("wind_threshold") == ms) & (F.col("quadrant") == q), F.col("wind_radius") / 1000)).alias(c) for (ms, q), c in tier.items()]
-    out = raw.groupBy(*key).agg(F.collect_set(F.struct(*[c for c in POINT if c not in key])).alias("_points"), *radii)
-    return out.select(*key, *RADIUS_COLUMNS, F.explode("_points").alias("_p")).select(*key, "_p.*", *RADIUS_COLUMNS)
-
-
-def transform(raw: DataFrame, digits: int | None = None) -> DataFrame:
-    """Raw rows to standard tracks: one aggregate by storm, member and step, one by storm of what all its points share, and a join with the few rows of that."""
-    rows = standard_names(keyed_points(raw))
-    back = F.min_by(F.col("valid_time") - F.make_dt_interval(hours=F.col("lead_time")), F.struct("lead_time", "valid_time"))
-    shared = {
-        "forecast_time": F.coalesce(F.min(F.when(F.col("lead_time") == 0, F.col("valid_time"))), back),
-        "_mean": F.avg("pressure_hpa"),
-        "_some": F.max(F.coalesce(*RADIUS_COLUMNS).isNotNull()),
-    }
-    rows = wind_to_knots(with_group_values(rows, ("track_id",), **shared))
+    points = with_radii(raw).groupBy(*[c for c in POINT if c in raw.columns]).agg(*radii)
+    same = W.partitionBy("storm_id", "ensemble_member", "step")
+    return points.select(*[c for c in POINT if c in raw.columns], *[F.max(c).over(same).alias(c) for c in RADIUS_COLUMNS])
+
+
+def storm_values(raw: DataFrame) -> DataFrame:
+    """For each storm: forecast_time, the mean pressure of its distinct points and whether any radius is there. An aggregate of its own, without the radii's columns."""
+    known = F.col("wind_threshold").isin(*RADIUS_KNOTS) & F.col("quadrant").isin(*QUADRANTS) & F.col("wind_radius").isNotNull()
+    points = with_radii(raw).groupBy(*[c for c in POINT if c in raw.columns]).agg(F.coalesce(F.max(known), F.lit(False)).alias("_some"))
+    back = F.min_by(F.col("datetime") - F.make_dt_interval(hours=F.col("step")), F.struct("step", "datetime"))
+    return points.groupBy("storm_id").agg(F.coalesce(F.min(F.when(F.col("step") == 0, F.col("datetime"))), back).alias("forecast_time"), F.avg("pressure").alias("_mean"), F.max("_some").alias("_some"))
+
+
+def transform(raw: DataFrame, digits: int | None = None, track_id: str | None = None) -> DataFrame:
+    """Raw rows to standard tracks: points with their radii, and a join with the few rows of what all points of a storm share. Files without radii have null radii and no polygons; ``track_id`` replaces the storms' own."""
+    shared = storm_values(raw).withColumnRenamed("storm_id", "_storm")
+    rows = keyed_points(raw).join(shared, F.col("storm_id").eqNullSafe(F.col("_storm")), "left").drop("_storm")
+    rows = wind_to_knots(standard_names(rows, track_id))
     rows = rows.withColumn("pressure_hpa", F.when(F.col("_mean") > 10000, F.col("pressure_hpa") / 100).otherwise(F.col("pressure_hpa")))
     return standard_schema(with_polygons(radius_of_max_wind(_cleared(rows)), digits))
 

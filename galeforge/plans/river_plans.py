@@ -57,7 +57,7 @@ def r2(spark, d):
     return T(spark, d).select("cell_id", "rp", R.positive_or_null(F.col("threshold")).alias("threshold"))
 
 
-@plan("r3_sparse_filter", with_(A4, A5, EX) + "select d.cell_id, d.member, d.step_h, d.value from discharge d join (select distinct cell_id from ex where rp = 2) k on d.cell_id = k.cell_id")
+@plan("r3_sparse_filter", with_(A4, A5) + "select cell_id, member, step_h, value from (select d.*, bool_or(t.threshold > 0 and d.value > t.threshold) over (partition by d.cell_id) as keep from discharge d join cell_thresholds t on d.cell_id = t.cell_id and t.rp = 2) where keep")
 def r3(spark, d):
     return R.sparse_filter(D(spark, d), T(spark, d)).select("cell_id", "member", "step_h", "value")
 

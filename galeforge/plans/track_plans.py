@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import geo, identity
 from ..operators import messages as M
 from ..operators import tracks as T
-from ..schemas import RADIUS_COLUMNS
+from ..schemas import POLYGON_COLUMNS, RADIUS_COLUMNS
 from ..sources import adapters as A
 from ..sources.tables import read
 from .base import A1, A2, F3, plan, with_
@@ -115,6 +115,14 @@ def t1(spark, d):
     return T.validate_tracks(A.raw_tracks(spark, d)).select("storm_id", "n_rows", "n_latitude", "n_wlongitude", "valid")
 
 
+@plan("t1_without_radii", with_(F3) + f"select track_id, ensemble_member, lead_time, strftime(forecast_time, '{TIME}') as forecast_time, latitude, longitude, pressure_hpa, wind_speed_knots, radius_of_maximum_winds_km, true as no_radii from tracks")
+def t1_bare(spark, d):
+    bare = A.track_points(spark, d).withColumns({"datetime": F.expr(f"{A.RUN} + make_dt_interval(0, step)"), "wlatitude": F.col("latitude") + 0.2, "wlongitude": F.col("longitude") - 0.3})
+    radii = [*RADIUS_COLUMNS, *POLYGON_COLUMNS]
+    out = T.transform(bare).withColumn("no_radii", F.forall(F.array(*[F.col(c).cast("string") for c in radii]), lambda x: x.isNull()))
+    return out.select("track_id", "ensemble_member", "lead_time", text("forecast_time"), "latitude", "longitude", "pressure_hpa", "wind_speed_knots", "radius_of_maximum_winds_km", "no_radii")
+
+
 @plan(
     "t2_forecast_time",
     with_(A2) + f"select storm_id, step, strftime(coalesce(min(case when step = 0 then datetime end) over (partition by storm_id), min(datetime - to_hours(step)) over (partition by storm_id)), '{TIME}') as forecast_time, count(*) as n from raw_tracks where storm_id <> 'STORM3' or step > 0 group by storm_id, step, datetime",

@@ -8,12 +8,14 @@ QUADRANTS = {1: "ne", 2: "se", 3: "sw", 4: "nw"}
 RADIUS_COLUMNS = [f"radius_{kt}_knot_winds_{q}_km" for kt in RADIUS_KNOTS.values() for q in QUADRANTS.values()]
 POLYGON_COLUMNS = [f"wind_field_polygon_{kt}kt" for kt in RADIUS_KNOTS.values()]
 
-#: The columns of raw track rows that a transform needs.
-RAW_REQUIRED = ["storm_id", "ensemble_member", "step", "datetime", "latitude", "longitude", "pressure", "wlatitude", "wlongitude", "wind", "wind_threshold", "quadrant", "wind_radius"]
+#: The columns of raw track rows that a transform needs, and those of wind radii, which files may lack.
+RAW_REQUIRED = ["storm_id", "ensemble_member", "step", "datetime", "latitude", "longitude", "pressure", "wlatitude", "wlongitude", "wind"]
+RAW_RADII = ["wind_threshold", "quadrant", "wind_radius"]
 RAW_SCHEMA = (
     "storm_id string, storm_identifier string, long_storm_name string, ensemble_member int, step int, datetime timestamp_ntz, latitude double, longitude double, "
     "pressure double, wlatitude double, wlongitude double, wind double, wind_threshold int, quadrant int, bearing_start double, bearing_end double, wind_radius double"
 )
+#: The columns of standard tracks, in order.
 TRACK_SCHEMA = (
     "forecast_time timestamp_ntz, track_id string, storm_identifier string, long_storm_name string, ensemble_member int, valid_time timestamp_ntz, lead_time int, "
     "latitude double, longitude double, pressure_hpa double, wind_speed_knots double, radius_of_maximum_winds_km double, "

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from galeforge.functions import geo, identity
 from galeforge.operators import envelopes as E
+from galeforge.operators import messages as M
 from galeforge.operators import rain as P
 from galeforge.operators import rivers as R
 from galeforge.operators import serving as Q
@@ -54,8 +55,38 @@ def test_transform_of_nothing(spark):
 
 
 def test_missing_column_named(spark):
-    with pytest.raises(ValueError, match="wind_radius"):
-        T.validate_tracks(golden(spark).drop("wind_radius"))
+    with pytest.raises(ValueError, match="wlatitude"):
+        T.validate_tracks(golden(spark).drop("wlatitude"))
+
+
+def test_tracks_without_radii(spark):
+    raw = golden(spark).drop("wind_radius", "wind_threshold", "quadrant", "bearing_start", "bearing_end")
+    assert [(r.n_rows, r.valid) for r in T.validate_tracks(raw).collect()] == [(4, True)]
+    (r,) = T.transform(raw).collect()
+    assert r.pressure_hpa == 990.0 and r.forecast_time == DAY and r.radius_of_maximum_winds_km == pytest.approx(15.45799622485502)
+    assert all(r[c] is None for c in TRACK_COLUMNS if c.startswith(("radius_34", "radius_50", "radius_64", "wind_field")))
+    assert [x.track_id for x in T.transform(golden(spark), track_id="OTHER").collect()] == ["OTHER"]
+
+
+def test_several_points_share_their_radii(spark):
+    raw = golden(spark).union(golden(spark, latitude=16.0, wind_radius=50000.0))
+    got = sorted((r.latitude, r.radius_34_knot_winds_ne_km) for r in T.transform(raw).collect())
+    assert got == [(15.0, 50.0), (16.0, 50.0)]
+
+
+def test_a_large_message_is_flattened_in_pieces(spark):
+    """Thousands of members times periods; no column of all radii reaches the last explode."""
+    n_m, n_p = 60, 50
+    schema = "storm_identifier string, long_storm_name string, base_time timestamp_ntz, members array<int>, periods array<struct<hours:array<int>,lat:array<double>,lon:array<double>,pressure:array<double>,wlat:array<double>,wlon:array<double>,wind:array<double>>>, thresholds array<double>, bearings array<double>, radii array<double>"
+    periods = [([6 * p], [10.0 + k for k in range(n_m)], [20.0], [1e5], [1e100], [1.0], [30.0]) for p in range(n_p)]
+    radii = [float(x) for x in range(n_m * n_p * 12)]
+    out = M.flatten_messages(spark.createDataFrame([("01L", "ANA", DAY, list(range(1, n_m + 1)), periods, [18.0, 26.0, 33.0], [0.0, 90.0], radii)], schema))
+    rows = out.where("ensemble_member = 7 and step = 12").orderBy("wind_threshold", "quadrant").collect()
+    assert [r.wind_radius for r in rows] == [float(6 * n_p * 12 + 2 * 12 + j) for j in range(12)] and rows[0].latitude == 16.0 and rows[0].wlatitude is None
+    assert out.count() == n_m * n_p * 12
+    lines = out._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    below = lines[next(i for i, x in enumerate(lines) if "Generate" in x) + 1]  # what the last explode takes along
+    assert "_m#" in below and " radii#" not in below and "periods#" not in below
 
 
 @pytest.mark.parametrize(("raw", "name", "want"), [("  raw-id  ", "  Beryl  ", "Beryl"), ("07L", "   ", "07L")])

@@ -3,6 +3,7 @@
 import glob
 import math
 import os
+import threading
 
 import duckdb
 import pytest
@@ -41,3 +42,13 @@ def test_query(spark, duck, name):
     a = sorted(tuple(plain(r[c]) for c in order) for r in got.collect())
     b = sorted(tuple(plain(r[columns.index(c)]) for c in order) for r in want.fetchall())
     assert a == b
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_sql_ends_under_a_limit(duck, name):
+    """A limit may change the plan; none may then run on."""
+    got = []
+    runner = threading.Thread(target=lambda: got.append(duck.cursor().execute(f"select * from ({SQL[name]}) limit 5").fetchall()), daemon=True)
+    runner.start()
+    runner.join(30)
+    assert got and len(got[0]) <= 5
