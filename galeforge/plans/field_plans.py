@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import contours as N
 from ..operators import envelopes as E
 from ..operators import rain as P
 from ..schemas import GUST_THRESHOLDS, WIND_THRESHOLDS
@@ -135,6 +136,43 @@ def e10(spark, d):
     return E.contour_crossings(A.grid_field(spark, d), ["member", "step"], WIND_THRESHOLDS)
 
 
+RING_KEYS, RING_THRESHOLDS = ["member", "step"], {k: v for k, v in WIND_THRESHOLDS.items() if k in (34, 64, 113)}
+#: Squares by their corners, the sixteen ways a line crosses one (two of them by the mean of the corners), and walks from each ring's least crossing.
+_SQUARES = f"""sq as (select distinct member, step, r - a as r, c - b as c from grid_field cross join (values (0), (1)) as x(a) cross join (values (0), (1)) as y(b)),
+  corners as (select sq.*, p.value as v0, p.lat as y0, p.lon as x0, q.value as v1, q.lat as y1, q.lon as x1, s.value as v2, s.lat as y2, s.lon as x2, u.value as v3, u.lat as y3, u.lon as x3 from sq
+    left join grid_field p on p.member = sq.member and p.step = sq.step and p.r = sq.r and p.c = sq.c left join grid_field q on q.member = sq.member and q.step = sq.step and q.r = sq.r and q.c = sq.c + 1
+    left join grid_field s on s.member = sq.member and s.step = sq.step and s.r = sq.r + 1 and s.c = sq.c + 1 left join grid_field u on u.member = sq.member and u.step = sq.step and u.r = sq.r + 1 and u.c = sq.c),
+  ways(code, joined, a, b) as (values (1, 0, 3, 0), (2, 0, 0, 1), (3, 0, 3, 1), (4, 0, 1, 2), (5, 0, 3, 0), (5, 0, 1, 2), (5, 1, 1, 0), (5, 1, 3, 2), (6, 0, 0, 2), (7, 0, 3, 2), (8, 0, 2, 3), (9, 0, 2, 0), (10, 0, 0, 1), (10, 0, 2, 3), (10, 1, 0, 3), (10, 1, 2, 1), (11, 0, 2, 1), (12, 0, 1, 3), (13, 0, 1, 0), (14, 0, 0, 3)),
+  coded as (select *, case when code in (5, 10) and (v0 + v1 + v2 + v3) / 4 > t then 1 else 0 end as joined from (select *, cast(coalesce(v0 > t, false) as int) + 2 * cast(coalesce(v1 > t, false) as int) + 4 * cast(coalesce(v2 > t, false) as int) + 8 * cast(coalesce(v3 > t, false) as int) as code
+    from corners cross join (values {values_sql(RING_THRESHOLDS)}) as th(threshold, t)) where code between 1 and 14 or code = 15 and (v0 is null or v1 is null or v2 is null or v3 is null)),
+  placed as (select member, step, threshold, code, joined, e, (r + (e = 2)::int + 1) * 8589934592 + (c + (e = 1)::int + 1) * 2 + (e % 2) as v,
+    case when va is null then yb when vb is null then ya else ya + (t - va) / (vb - va) * (yb - ya) end as lat, case when va is null then xb when vb is null then xa else xa + (t - va) / (vb - va) * (xb - xa) end as lon, r, c
+    from (select *, [v0, v1, v3, v0][e + 1] as va, [v1, v2, v2, v3][e + 1] as vb, [y0, y1, y3, y0][e + 1] as ya, [y1, y2, y2, y3][e + 1] as yb, [x0, x1, x3, x0][e + 1] as xa, [x1, x2, x2, x3][e + 1] as xb from coded cross join (values (0), (1), (2), (3)) as ed(e))),
+  seg as (select p.member, p.step, p.threshold, p.v as a, q.v as b, p.lat, p.lon, q.lat as lat2, q.lon as lon2 from placed p join ways w on w.code = p.code and w.joined = p.joined and w.a = p.e join placed q on q.member = p.member and q.step = p.step and q.threshold = p.threshold and q.r = p.r and q.c = p.c and q.e = w.b)"""
+_RINGS = """walk(member, step, threshold, ring, here, n_points, area, lon_min, lon_max, lat_min, lat_max) as (
+    select member, step, threshold, a, b, 1, (lon * lat2 - lon2 * lat) / 2, lon, lon, lat, lat from seg
+    union all select w.member, w.step, w.threshold, w.ring, s.b, w.n_points + 1, w.area + (s.lon * s.lat2 - s.lon2 * s.lat) / 2, least(w.lon_min, s.lon), greatest(w.lon_max, s.lon), least(w.lat_min, s.lat), greatest(w.lat_max, s.lat)
+    from walk w join seg s on s.member = w.member and s.step = w.step and s.threshold = w.threshold and s.a = w.here where w.here > w.ring),
+  found as (select *, area < 0 as hole from walk where here = ring)"""
+
+
+def ring_points(spark, d):
+    return N.ring_points(A.grid_field(spark, d), RING_KEYS, RING_THRESHOLDS)
+
+
+@plan("e10_contour_rings", with_(A3, _SQUARES, _RINGS, recursive=True) + "select member, step, threshold, ring, cast(n_points as bigint) as n_points, round(area, 6) as area, hole, lon_min, lon_max, lat_min, lat_max from found")
+def e10_rings(spark, d):
+    return N.rings(ring_points(spark, d), RING_KEYS).withColumn("area", F.round("area", 6))
+
+
+@plan(
+    "e14_ring_envelopes",
+    with_(A3, _SQUARES, _RINGS, recursive=True) + "select member, step, threshold, count(*) filter (where not hole) as n_outer, count(*) filter (where hole) as n_holes, round(sum(area) * 11544, 3) as area_km2, min(lon_min) as lon_min, max(lon_max) as lon_max, min(lat_min) as lat_min, max(lat_max) as lat_max from found group by member, step, threshold",
+)
+def e14_rings(spark, d):
+    return N.ring_envelopes(N.rings(ring_points(spark, d), RING_KEYS), RING_KEYS).withColumn("area_km2", F.round("area_km2", 3))
+
+
 @plan("e11_merge_windows", with_(A3, CELLS) + f"select distinct {NODE}, threshold from cells where c <= 12 or c >= 8")
 def e11(spark, d):
     x = cells(spark, d)

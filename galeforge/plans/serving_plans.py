@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -13,6 +12,7 @@ from ..operators.envelopes import combined_envelopes, individual_envelopes
 from ..sources import adapters as A
 from ..sources import catalog as C
 from ..sources import sinks as S
+from ..sources.scratch import scratch
 from ..sources.tables import read
 from ..streaming.ingest import file_stream_ingest
 from .base import A1, A3, A4, A7, F3, plan, with_
@@ -23,17 +23,6 @@ from .track_plans import TIME, text, tracks
 KEY = ["storm_id", "ensemble_member", "step"]
 
 
-def scratch(spark, label: str) -> str:
-    """A new folder for a query that writes: below the cluster's shared folder; a temporary one where none is set, in local mode only."""
-    if shared := spark.conf.get("spark.checkpoint.dir", None):
-        import uuid
-
-        return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return tempfile.mkdtemp(prefix=f"spark-{label}-")
-
-
 # Warehouse: the target has the steps that 12 divides, the source those that 18 divides; both have those that 36 divides.
 _TARGET, _SOURCE = "step % 12 = 0", "step % 18 = 0"
 _REGION = "case when (ensemble_member + step) % 5 = 0 then null else concat('R', wind) end"
