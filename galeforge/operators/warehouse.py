@@ -25,11 +25,16 @@ def prepare_rows(rows: DataFrame, times: list[str], region: str | None = None) -
     return rows.select(*out)
 
 
+def null_in(key: list[str]) -> Column:
+    """True where a key column is null."""
+    return F.exists(F.array(*[F.col(c).isNull() for c in key]), lambda x: x)
+
+
 def first_of_key(rows: DataFrame, key: list[str], order: list) -> DataFrame:
-    """One row for each key, so that an update is never ambiguous; rows with a null in the key all stay, as nulls never match."""
+    """One row for each key, so that an update is never ambiguous; rows with a null in the key all stay, as nulls never match, and go around the shuffle."""
     k = F.row_number().over(W.partitionBy(*key).orderBy(*order))
-    null = F.greatest(*[F.col(c).isNull() for c in key]) if len(key) > 1 else F.col(key[0]).isNull()
-    return rows.withColumn("_k", k).where((F.col("_k") == 1) | null).drop("_k")
+    ranked = rows.where(~null_in(key)).withColumn("_k", k).where(F.col("_k") == 1).drop("_k")
+    return ranked.unionByName(rows.where(null_in(key)))
 
 
 def insert_missing(target: DataFrame, source: DataFrame, key: list[str], order: list) -> DataFrame:

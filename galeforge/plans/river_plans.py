@@ -256,9 +256,9 @@ def r30(spark, d):
 _DAY = "cast(regexp_extract(file_name, '_ens_([0-9-]+)_r', 1) as date)"
 
 
-@plan("r31_latest_available", with_(A7) + f"select cast(max(day) as varchar) as day from (select {_DAY} as day from field_files where file_name like '%r06%' and {_DAY} between date '1997-03-01' - 40 and date '1997-03-01' group by 1 having count(distinct substr(file_name, 1, 4)) = 2)")
+@plan("r31_latest_available", with_(A7) + f"select cast(max(day) as varchar) as day from (select {_DAY} as day from field_files where {_DAY} between date '1997-03-01' - 40 and date '1997-03-01' group by 1 having count(distinct substr(file_name, 1, 4)) = 2)")
 def r31(spark, d):
-    f = A.field_files(spark, d).where("file_name like '%r06%'").select(F.regexp_extract("file_name", "_ens_([0-9-]+)_r", 1).cast("date").alias("day"), F.substring("file_name", 1, 4).alias("product"))
+    f = A.field_files(spark, d).select(F.regexp_extract("file_name", "_ens_([0-9-]+)_r", 1).cast("date").alias("day"), F.substring("file_name", 1, 4).alias("product"))
     return R.latest_available(f, "1997-03-01", 40, ["wind", "gust"]).select(F.col("day").cast("string").alias("day"))
 
 

@@ -12,6 +12,7 @@ from ..operators.envelopes import combined_envelopes, individual_envelopes
 from ..sources import adapters as A
 from ..sources import catalog as C
 from ..sources import sinks as S
+from ..sources.keyed import KeyedTable
 from ..sources.scratch import scratch
 from ..sources.tables import read
 from ..streaming.ingest import file_stream_ingest
@@ -23,8 +24,8 @@ from .track_plans import TIME, text, tracks
 KEY = ["storm_id", "ensemble_member", "step"]
 
 
-# Warehouse: the target has the steps that 12 divides, the source those that 18 divides; both have those that 36 divides.
-_TARGET, _SOURCE = "step % 12 = 0", "step % 18 = 0"
+# Warehouse: of every three steps the target has the first two, the source the last two; all rows are in one or both.
+_TARGET, _SOURCE = "step % 18 < 12", "step % 18 > 0"
 _REGION = "case when (ensemble_member + step) % 5 = 0 then null else concat('R', wind) end"
 
 
@@ -71,6 +72,25 @@ def w3(spark, d):
     return H.upsert_if_region(target(spark, d), source(spark, d), KEY, F.lit("second"))
 
 
+def keyed(spark, d, rows, key=KEY, buckets=8):
+    return KeyedTable.create(rows, scratch(spark, "keyed"), key, buckets)
+
+
+@plan("w2_bucketed_insert", with_(A1, _T, _S) + "select storm_id, ensemble_member, step, wind, region from t union all select storm_id, ensemble_member, step, wind, region from s where not exists (select 1 from t where t.storm_id = s.storm_id and t.ensemble_member = s.ensemble_member and t.step = s.step)")
+def w2_bucketed(spark, d):
+    table = keyed(spark, d, target(spark, d).select(*KEY, "wind", "region"))
+    table.insert_missing(source(spark, d).select(*KEY, "wind", "region"), ["wind"])
+    return table.read()
+
+
+@plan("w3_bucketed_upsert", with_(A1, _T, _S) + _UPSERT)
+def w3_bucketed(spark, d):
+    table = keyed(spark, d, target(spark, d))
+    rows = source(spark, d).withColumn("loaded_at", F.lit("second"))
+    table.upsert(rows, ["region", "valid_time", "loaded_at"], F.col("s_region").isNotNull(), [F.col("region").isNull(), "region"])
+    return table.read()
+
+
 _COMBINED = """, tc as (select storm_id, ensemble_member, 34 as threshold, 'old' as region, '0-12' as lead_range, 0 as lead_range_start, 'first' as loaded_at from t group by 1, 2),
   sc as (select storm_id, ensemble_member, case when ensemble_member % 2 = 0 then 34 else 50 end as threshold, max(region) as region, concat(min(step), '-', max(step)) as lead_range, min(step) as lead_range_start, 'second' as loaded_at from s group by 1, 2)
   select coalesce(tc.storm_id, sc.storm_id) as storm_id, coalesce(tc.ensemble_member, sc.ensemble_member) as ensemble_member, coalesce(tc.threshold, sc.threshold) as threshold,
@@ -113,9 +133,18 @@ def w7(spark, d):
     return H.upsert_pointer(t, s, ["run", "param"], [F.desc("path")])
 
 
-@plan("w8_append_rows", with_(A1, _T) + "select storm_id, ensemble_member, step, wind, count(*) as n from (select * from t union all select * from t where storm_id = 'STORM1') group by 1, 2, 3, 4")
+@plan("w7_bucketed_pointer", "select coalesce(t.run, s.run) as run, coalesce(t.param, s.param) as param, coalesce(s.path, t.path) as path from (select o_orderkey as run, 'tp' as param, 'old' as path from orders where o_orderkey % 2 = 0) t full join (select o_orderkey as run, 'tp' as param, concat('new', o_custkey) as path from orders where o_custkey % 2 = 0) s on t.run = s.run and t.param = s.param")
+def w7_bucketed(spark, d):
+    o = read(spark, d, "orders").withColumn("param", F.lit("tp"))
+    pointer = lambda rows, path: rows.select(F.col("o_orderkey").alias("run"), "param", path.alias("path"))
+    table = keyed(spark, d, pointer(o.where("o_orderkey % 2 = 0"), F.lit("old")), ["run", "param"])
+    table.upsert(pointer(o.where("o_custkey % 2 = 0"), F.concat(F.lit("new"), F.col("o_custkey").cast("string"))), ["path"], F.lit(True), [F.desc("path")])
+    return table.read()
+
+
+@plan("w8_append_rows", with_(A1) + "select storm_id, ensemble_member, step, wind, count(*) as n from (select * from track_points union all select * from track_points where storm_id = 'STORM1') group by 1, 2, 3, 4")
 def w8(spark, d):
-    path, t = scratch(spark, "append"), target(spark, d)
+    path, t = scratch(spark, "append"), A.track_points(spark, d)
     S.append_rows(t, path)
     return S.append_rows(t.where("storm_id = 'STORM1'"), path).groupBy(*KEY, "wind").agg(F.count("*").alias("n"))
 
@@ -359,13 +388,8 @@ def s12(spark, d):
 @plan("s13_file_stream_ingest", with_(A1, _T, _S) + "select storm_id, ensemble_member, step, wind from t union all select storm_id, ensemble_member, step, wind from s where not exists (select 1 from t where t.storm_id = s.storm_id and t.ensemble_member = s.ensemble_member and t.step = s.step)")
 def s13(spark, d):
     base = scratch(spark, "ingest")
-    schema = "storm_id string, ensemble_member int, step int, wind double"
-
-    def merge(old, new):
-        return H.insert_missing(old, new, KEY, ["wind"])
-
     out = None
     for part in (target(spark, d), source(spark, d), target(spark, d)):  # the third brings nothing new
         part.select(*KEY, "wind").write.mode("append").parquet(f"{base}/landing")
-        out = file_stream_ingest(spark, f"{base}/landing", schema, f"{base}/table", f"{base}/state", KEY, merge)
+        out = file_stream_ingest(spark, f"{base}/landing", "storm_id string, ensemble_member int, step int, wind double", f"{base}/table", f"{base}/state", KEY)
     return out

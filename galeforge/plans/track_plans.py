@@ -125,10 +125,10 @@ def t1_bare(spark, d):
 
 @plan(
     "t2_forecast_time",
-    with_(A2) + f"select storm_id, step, strftime(coalesce(min(case when step = 0 then datetime end) over (partition by storm_id), min(datetime - to_hours(step)) over (partition by storm_id)), '{TIME}') as forecast_time, count(*) as n from raw_tracks where storm_id <> 'STORM3' or step > 0 group by storm_id, step, datetime",
+    with_(A2) + f"select storm_id, step, strftime(coalesce(min(case when step = 0 then datetime end) over (partition by storm_id), min(datetime - to_hours(step)) over (partition by storm_id)), '{TIME}') as forecast_time, count(*) as n from raw_tracks group by storm_id, step, datetime",
 )
 def t2(spark, d):
-    raw = A.raw_tracks(spark, d).where("storm_id <> 'STORM3' or step > 0")
+    raw = A.raw_tracks(spark, d)
     return T.with_forecast_time(raw).groupBy("storm_id", "step", text("forecast_time")).agg(F.count("*").alias("n"))
 
 
