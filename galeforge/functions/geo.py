@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from heapq import heappop, heappush
+from math import floor
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -82,3 +86,50 @@ def interleave(x: Column) -> Column:
 def morton_key(lat: Column, lon: Column, cell: float = 0.05) -> Column:
     """Z-order key of a position on a grid of cells, latitude's bit above longitude's."""
     return F.shiftleft(interleave(F.floor((lat + 90.0) / cell)), 1).bitwiseOR(interleave(F.floor((lon + 180.0) / cell)))
+
+
+def morton_number(row: int, col: int, bits: int = 16) -> int:
+    """The Z-order key of one cell, the row's bit above the column's."""
+    return sum((row >> k & 1) << (2 * k + 1) | (col >> k & 1) << (2 * k) for k in range(bits))
+
+
+def morton_ranges(rows: tuple[int, int], cols: tuple[int, int], most: int = 16, bits: int = 16) -> list[tuple[int, int]]:
+    """At most ``most`` intervals of Z-order keys that hold every cell of a box (ends inclusive), and few others.
+
+    The grid is quartered where the box cuts it, the largest squares first; what is cut to the end or left over counts whole. Then the intervals with the smallest gaps become one.
+    """
+    if rows[0] > rows[1] or cols[0] > cols[1]:
+        return []
+    inside, cut = [], [(-(1 << bits), 0, 0)]  # squares: size (negative, so that the largest comes first), row, column
+    while cut and len(inside) + len(cut) < 4 * most:
+        size, r, c = heappop(cut)
+        half = -size // 2
+        for y, x in ((r, c), (r, c + half), (r + half, c), (r + half, c + half)):
+            if y > rows[1] or y + half - 1 < rows[0] or x > cols[1] or x + half - 1 < cols[0]:
+                continue
+            whole = rows[0] <= y and y + half - 1 <= rows[1] and cols[0] <= x and x + half - 1 <= cols[1]
+            inside.append((-half, y, x)) if whole or half == 1 else heappush(cut, (-half, y, x))
+    spans = sorted((z, z + size * size - 1) for size, r, c in inside + cut for z in [morton_number(r, c, bits)])
+    out: list[list[int]] = []
+    for a, b in spans:
+        if out and a == out[-1][1] + 1:
+            out[-1][1] = b
+        else:
+            out.append([a, b])
+    gaps = sorted(range(1, len(out)), key=lambda k: out[k][0] - out[k - 1][1])[: max(0, len(out) - most)]
+    for k in sorted(gaps, reverse=True):
+        out[k - 1][1] = out.pop(k)[1]
+    return [tuple(x) for x in out]
+
+
+def box_ranges(lat_min: float, lat_max: float, lon_min: float, lon_max: float, cell: float = 0.05, most: int = 16) -> list[tuple[int, int]]:
+    """The intervals of ``morton_key`` for a box of latitudes and longitudes, ends inclusive; a cell's rounding is allowed for by one cell more on each side."""
+    at = lambda x, half: min(max(floor((x + half) / cell), 0), floor(2 * half / cell))
+    if lat_min > lat_max or lon_min > lon_max:
+        return []
+    return morton_ranges((max(at(lat_min, 90.0) - 1, 0), at(lat_max, 90.0) + 1), (max(at(lon_min, 180.0) - 1, 0), at(lon_max, 180.0) + 1), most)
+
+
+def in_ranges(key: Column, ranges: list[tuple[int, int]]) -> Column:
+    """True where a key lies in one of a few intervals; a form that scans can push down."""
+    return reduce(lambda x, y: x | y, [(key >= a) & (key <= b) for a, b in ranges], F.lit(False))

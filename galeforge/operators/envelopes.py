@@ -139,16 +139,33 @@ def row_boxes(cells: DataFrame, keys: list[str]) -> DataFrame:
     return cells.withColumn("_i", island).groupBy(*keys, "r", "_i").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.min("lat").alias("lat"), F.min("lon").alias("west"), F.max("lon").alias("east")).drop("_i")
 
 
-def individual_envelopes(cells: DataFrame, keys: list[str]) -> DataFrame:
-    """One record for each key with a node: n_cells, area_km2, bounds, and region, a collection of its row boxes (half a cell out)."""
+def region_boxes(cells: DataFrame, keys: list[str]) -> DataFrame:
+    """A region as few rectangles: runs of a row, and below each other as one where they have the same columns. (keys, r0, r1, c0, c1, south, north, west, east), edges half a cell out; each node lies in exactly one."""
     half = GRID / 2
-    w, e, s, n = (number_text(x) for x in (F.col("west") - half, F.col("east") + half, F.col("lat") - half, F.col("lat") + half))
-    corner = lambda x, y: F.concat(x, F.lit(" "), y)
-    box = F.concat(F.lit("POLYGON (("), F.concat_ws(", ", corner(w, s), corner(e, s), corner(e, n), corner(w, n), corner(w, s)), F.lit("))"))
-    runs = row_boxes(cells, keys).withColumn("_b", F.struct("r", "c0", box.alias("t")))
-    size = F.sum(F.col("c1") - F.col("c0") + 1)
-    return runs.groupBy(*keys).agg(
-        size.alias("n_cells"), region_area(size).alias("area_km2"), (F.min("west") - half).alias("lon_min"), (F.max("east") + half).alias("lon_max"), (F.min("lat") - half).alias("lat_min"), (F.max("lat") + half).alias("lat_max"),
+    runs = row_boxes(cells, keys).withColumn("_i", F.col("r") - F.row_number().over(W.partitionBy(*keys, "c0", "c1").orderBy("r")))
+    return runs.groupBy(*keys, "c0", "c1", "_i").agg(
+        F.min("r").alias("r0"), F.max("r").alias("r1"), (F.min("lat") - half).alias("south"), (F.max("lat") + half).alias("north"), (F.min("west") - half).alias("west"), (F.max("east") + half).alias("east")
+    ).drop("_i")
+
+
+def region_texts(boxes: DataFrame, keys: list[str], most: int = 500) -> DataFrame:
+    """(keys, part, region): each region's rectangles as geometry text, at most ``most`` a row, so that no row grows with its region."""
+    corner = lambda x, y: F.concat(number_text(F.col(x)), F.lit(" "), number_text(F.col(y)))
+    ring = F.concat_ws(", ", *[corner(x, y) for x, y in (("west", "south"), ("east", "south"), ("east", "north"), ("west", "north"), ("west", "south"))])
+    k = F.row_number().over(W.partitionBy(*keys).orderBy("r0", "c0"))
+    parts = boxes.select(*keys, F.floor((k - 1) / most).cast("int").alias("part"), F.struct("r0", "c0", F.concat(F.lit("POLYGON (("), ring, F.lit("))")).alias("t")).alias("_b"))
+    text = F.array_join(F.transform(F.array_sort(F.collect_list("_b")), lambda b: b["t"]), ", ")
+    return parts.groupBy(*keys, "part").agg(F.concat(F.lit("GEOMETRYCOLLECTION ("), text, F.lit(")")).alias("region"))
+
+
+def individual_envelopes(cells: DataFrame, keys: list[str]) -> DataFrame:
+    """One record for each key with a node: n_cells, area_km2, bounds, n_boxes, and region, a collection of its rectangles. The text is made only where it is selected; ``region_texts`` has it in bounded rows."""
+    boxes = region_boxes(cells, keys)
+    corner = lambda x, y: F.concat(number_text(F.col(x)), F.lit(" "), number_text(F.col(y)))
+    box = F.concat(F.lit("POLYGON (("), F.concat_ws(", ", *[corner(x, y) for x, y in (("west", "south"), ("east", "south"), ("east", "north"), ("west", "north"), ("west", "south"))]), F.lit("))"))
+    size = F.sum((F.col("r1") - F.col("r0") + 1) * (F.col("c1") - F.col("c0") + 1))
+    return boxes.withColumn("_b", F.struct("r0", "c0", box.alias("t"))).groupBy(*keys).agg(
+        size.alias("n_cells"), region_area(size).alias("area_km2"), F.min("west").alias("lon_min"), F.max("east").alias("lon_max"), F.min("south").alias("lat_min"), F.max("north").alias("lat_max"), F.count("*").alias("n_boxes"),
         F.concat(F.lit("GEOMETRYCOLLECTION ("), F.array_join(F.transform(F.array_sort(F.collect_list("_b")), lambda b: b["t"]), ", "), F.lit(")")).alias("region"),
     )
 

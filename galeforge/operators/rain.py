@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..sources.scratch import written
 from .envelopes import control_as_51
 
 
@@ -38,7 +41,7 @@ def period_accumulation(acc: DataFrame, periods: list[tuple[int, int]], keys: tu
 
 
 def step_accumulation(acc: DataFrame, keys: tuple[str, ...] = ("member", "r", "c")) -> DataFrame:
-    """What each step adds to the one before it."""
+    """What each step adds to the one before it; null for the first."""
     return acc.withColumn("amount", F.col("value") - F.lag("value").over(W.partitionBy(*keys).orderBy("step")))
 
 
@@ -74,10 +77,41 @@ def crop_to_bounds(field: DataFrame, points: DataFrame, pad: float) -> DataFrame
 
 
 def map_p99(values: DataFrame, column: str, by: list[str] | None = None) -> DataFrame:
-    """The 99th percentile, interpolated, at least 1."""
+    """The 99th percentile, interpolated, at least 1. Holds a group's different values; ``exact_percentile`` is for fields of any size."""
     return values.groupBy(*(by or [])).agg(F.greatest(F.percentile(column, 0.99), F.lit(1.0)).alias("p99"))
 
 
+def exact_percentile(values: DataFrame, column: str, q: float, by: list[str] | None = None, bins: int = 1024) -> DataFrame:
+    """(by, percentile): the exact percentile, linear between its two neighbours, of a field of any size; null and NaN count for nothing, groups without values have no row.
+
+    Selection by rounds: the range that holds a rank is cut into equal bins, counted with map-side combine, and the bin with the rank becomes the next range, until it is the first or last of its bin or the bin holds
+    one value. Memory is a group's bins, whatever the number of values or of different ones; no values are brought together. Key columns may be null.
+    """
+    by = by or []
+    v = values.where(F.col(column).isNotNull() & ~F.isnan(column)).select(F.struct(*by, F.lit(0).alias("_")).alias("g"), F.col(column).cast("double").alias("v"))
+    v = written(v, "values")
+    at = q * (F.col("n") - 1)
+    ends = v.groupBy("g").agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    wanted = written(ends.withColumn("rank", F.explode(F.array_distinct(F.array(F.floor(at), F.ceil(at))))).withColumn("below", F.lit(0).cast("long")), "ranks")
+    found = []
+    while not wanted.isEmpty():
+        open_ = wanted.select(F.col("g").alias("_g"), "rank", "lo", "hi", "below", "n")
+        near = v.join(open_, (F.col("g") == F.col("_g")) & F.col("v").between(F.col("lo"), F.col("hi")))
+        width = F.col("hi") / bins - F.col("lo") / bins
+        cut = F.when(width > 0, F.least(F.floor(F.try_divide(F.col("v") / bins - F.col("lo") / bins, width) * bins), F.lit(bins - 1))).otherwise(F.when(F.col("v") > F.col("lo"), 1).otherwise(0))
+        held = near.groupBy("g", "rank", "n", "below", cut.cast("int").alias("bin")).agg(F.count("*").alias("own"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+        before = F.col("below") + F.coalesce(F.sum("own").over(W.partitionBy("g", "rank").orderBy("bin").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+        hit = held.withColumn("before", before).where((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("own")))
+        value = F.when((F.col("lo") == F.col("hi")) | (F.col("rank") == F.col("before")), F.col("lo")).when(F.col("rank") == F.col("before") + F.col("own") - 1, F.col("hi"))
+        now = written(hit.select("g", "n", "lo", "hi", "rank", F.col("before").alias("below"), value.alias("value")), "ranks")
+        found.append(now.where("value is not null").select("g", "n", "rank", "value"))
+        wanted = now.where("value is null").drop("value")
+    every = reduce(DataFrame.union, found) if found else wanted.select("g", "n", "rank", F.col("lo").alias("value"))
+    low, high = F.min_by("value", "rank"), F.max_by("value", "rank")
+    part = F.first(at) - F.floor(F.first(at))
+    return every.groupBy("g").agg((low + part * (high - low)).alias("percentile")).select(*[F.col("g")[c].alias(c) for c in by], "percentile")
+
+
 def accumulation_monotonic(acc: DataFrame, keys: tuple[str, ...] = ("member", "r", "c"), slack: float = 0.01) -> DataFrame:
     rows = acc.withColumn("_ok", F.coalesce(F.col("value") >= F.lag("value").over(W.partitionBy(*keys).orderBy("step")) - slack, F.lit(True)))
     return rows.groupBy(*keys).agg(F.bool_and("_ok").alias("monotonic"))

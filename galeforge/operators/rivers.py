@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geo import grid_index, morton_key
 from ..schemas import CELL_DEG, STEPS_H, TIER_SOURCE
+from ..sources.scratch import written
 from .envelopes import control_as_51
 
 #: The global cell grid: north-west cell centre and sizes.
@@ -142,6 +145,17 @@ def expand_bitmask(extent: DataFrame, steps: list[int] | None = None) -> DataFra
     return rows.withColumn("_k", F.explode(members)).select(*[c for c in extent.columns if c not in MASK_COLUMNS], "_p.step_h", (F.col("_k") + 1).alias("member"))
 
 
+def member_extent_counts(extent: DataFrame, steps: list[int] | None = None, members: int = 64) -> DataFrame:
+    """(member, pixels) straight from the masks: how many pixels and steps each member floods; those that flood none are left out.
+
+    One sum for each bit, over all steps' masks, in one aggregate with map-side combine: no row for a pixel's members. Only the one row of sums is laid out by member.
+    """
+    masks = [F.col(m) for h, m in zip(STEPS_H, MASK_COLUMNS, strict=True) if steps is None or h in steps]
+    bits = lambda k: sum((F.shiftrightunsigned(m, k).bitwiseAND(F.lit(1).cast("long")) for m in masks[1:]), F.shiftrightunsigned(masks[0], k).bitwiseAND(F.lit(1).cast("long")))
+    sums = extent.agg(*[F.sum(bits(k)).alias(f"_{k}") for k in range(members)])
+    return sums.select(F.inline(F.array(*[F.struct(F.lit(k + 1).alias("member"), F.col(f"_{k}").alias("pixels")) for k in range(members)]))).where("pixels > 0")
+
+
 def rank_members_by_extent(rows: DataFrame, k: int) -> DataFrame:
     return rows.groupBy("member").agg(F.count("*").alias("pixels")).orderBy(F.desc("pixels"), "member").limit(k)
 
@@ -192,6 +206,40 @@ def nearest_cell(discharge: DataFrame, lat: float, lon: float) -> DataFrame:
     return discharge.groupBy("cell_id", "cell_lat", "cell_lon").agg(F.lit(1).alias("_o")).select("cell_id", d2.alias("_d")).orderBy("_d", "cell_id").limit(1).select("cell_id")
 
 
+def nearest_cells(gauges: DataFrame, cells: DataFrame, tile: float = 0.25) -> DataFrame:
+    """(gauge_id, cell_id, distance) of every gauge (gauge_id, lat, lon): the stored cell (cell_id, cell_lat, cell_lon) nearest in degrees, the lowest id on ties. Exact, for any number of gauges.
+
+    A gauge meets the cells of its tile and the eight around it by an equi-join. What is found within a tile's width is nearest for certain; the other gauges ask tiles twice as wide, until all are certain or the tiles hold
+    the whole globe. So a gauge meets few cells where there are many, and wide tiles only where there are few. Gauges without a position, and all gauges if there are no cells, have no row. Repeated gauges have a row each.
+    """
+    cells = written(cells.where(F.col("cell_lat").isNotNull() & F.col("cell_lon").isNotNull()).select("cell_id", "cell_lat", "cell_lon").distinct(), "cells")
+    asked = gauges.where(F.col("lat").isNotNull() & F.col("lon").isNotNull()).select("gauge_id", "lat", "lon").withColumn("_g", F.monotonically_increasing_id())
+    asked, found = written(asked, "gauges"), []
+    while not asked.isEmpty():
+        last = tile > 1000  # a tile and its neighbours hold all positions
+        number = lambda c: F.floor(F.col(c) / tile).cast("int")  # noqa: B023, E731
+        around = lambda c: F.explode(F.array(*[number(c) + k for k in (-1, 0, 1)]))  # noqa: B023, E731
+        near = asked.withColumn("_y", around("lat")).withColumn("_x", around("lon")).join(cells.withColumns({"_y": number("cell_lat"), "_x": number("cell_lon")}), ["_y", "_x"])
+        d2 = (F.col("cell_lat") - F.col("lat")) * (F.col("cell_lat") - F.col("lat")) + (F.col("cell_lon") - F.col("lon")) * (F.col("cell_lon") - F.col("lon"))
+        best = near.groupBy("_g").agg(F.min(F.struct(d2.alias("d2"), F.col("cell_id"))).alias("_b"))
+        now = written(asked.join(best, "_g", "left").withColumn("_sure", F.coalesce(F.col("_b.d2") <= tile * tile, F.lit(False)) | F.lit(last)), "nearest")
+        found.append(now.where(F.col("_sure") & F.col("_b").isNotNull()).select("gauge_id", F.col("_b.cell_id").alias("cell_id"), F.sqrt("_b.d2").alias("distance")))
+        asked, tile = now.where("not _sure").select(*asked.columns), 2 * tile
+    if not found:
+        return asked.join(cells, F.lit(False)).select("gauge_id", "cell_id", F.col("lat").alias("distance"))
+    return reduce(DataFrame.union, found)
+
+
+def gauge_hydrographs(discharge: DataFrame, thresholds: DataFrame, gauges: DataFrame) -> DataFrame:
+    """(gauge_id, cell_id, step_h, median, low, high, first_rp) for every gauge: members of its nearest stored cell by lead, and the lowest return period that the median is above, null if none."""
+    cells = discharge.groupBy("cell_id", "cell_lat", "cell_lon").agg(F.lit(1).alias("_o"))
+    own = nearest_cells(gauges, cells)
+    by = discharge.join(own.select("cell_id").distinct(), "cell_id", "left_semi").groupBy("cell_id", "step_h").agg(F.median("value").alias("median"), F.min("value").alias("low"), F.max("value").alias("high"))
+    levels = thresholds.where("threshold > 0").groupBy("cell_id").agg(F.collect_list(F.struct("rp", "threshold")).alias("_t"))  # one for each tier
+    above = F.array_min(F.transform(F.filter("_t", lambda t: F.col("median") > t["threshold"]), lambda t: t["rp"]))
+    return own.join(by.join(levels, "cell_id", "left").withColumn("first_rp", above).drop("_t"), "cell_id").select("gauge_id", "cell_id", "step_h", "median", "low", "high", "first_rp")
+
+
 def gauge_members(discharge: DataFrame, lat: float, lon: float) -> DataFrame:
     """Of the stored cell nearest to a gauge: every member's value by lead."""
     return discharge.join(F.broadcast(nearest_cell(discharge, lat, lon)), "cell_id").select("cell_id", "step_h", "member", "value")

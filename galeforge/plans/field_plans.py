@@ -195,17 +195,34 @@ def e13(spark, d):
 _ENV = "count(*) as n_cells, count(*) * (0.25e0 * 0.25e0 * 111 * 104) as area_km2, min(lon) - 0.125e0 as lon_min, max(lon) + 0.125e0 as lon_max, min(lat) - 0.125e0 as lat_min, max(lat) + 0.125e0 as lat_max"
 
 
-@plan("e14_individual_envelopes", with_(A3, CELLS) + f""", i as (select *, c - row_number() over (partition by member, step, threshold, r order by c) as i from cells),
-  runs as (select member, step, threshold, r, min(c) as c0 from i group by member, step, threshold, r, i), n as (select member, step, threshold, count(*) as n_boxes from runs group by 1, 2, 3)
+_RUNS = """i as (select *, c - row_number() over (partition by member, step, threshold, r order by c) as i from cells),
+  runs as (select member, step, threshold, r, min(c) as c0, max(c) as c1 from i group by member, step, threshold, r, i),
+  grown(member, step, threshold, r0, r, c0, c1) as (
+    select member, step, threshold, r, r, c0, c1 from runs x where not exists (select 1 from runs y where y.member = x.member and y.step = x.step and y.threshold = x.threshold and y.r = x.r - 1 and y.c0 = x.c0 and y.c1 = x.c1)
+    union all select g.member, g.step, g.threshold, g.r0, y.r, g.c0, g.c1 from grown g join runs y on y.member = g.member and y.step = g.step and y.threshold = g.threshold and y.r = g.r + 1 and y.c0 = g.c0 and y.c1 = g.c1),
+  boxes as (select member, step, threshold, r0, max(r) as r1, c0, c1 from grown group by member, step, threshold, r0, c0, c1)"""
+
+
+@plan("e14_region_boxes", with_(A3, CELLS, _RUNS, recursive=True) + "select * from boxes")
+def e14_boxes(spark, d):
+    return E.region_boxes(cells(spark, d), ["member", "step", "threshold"]).select("member", "step", "threshold", "r0", "r1", "c0", "c1")
+
+
+@plan("e14_region_texts", with_(A3, CELLS, _RUNS, recursive=True) + ", numbered as (select *, row_number() over (partition by member, step, threshold order by r0, c0) - 1 as k from boxes) select member, step, threshold, cast(k // 20 as int) as part, count(*) as n_polygons from numbered group by member, step, threshold, k // 20")
+def e14_texts(spark, d):
+    out = E.region_texts(E.region_boxes(cells(spark, d), ["member", "step", "threshold"]), ["member", "step", "threshold"], 20)
+    return out.withColumn("n_polygons", F.regexp_count("region", F.lit("POLYGON")).cast("long")).drop("region")
+
+
+@plan("e14_individual_envelopes", with_(A3, CELLS, _RUNS, recursive=True) + f""", n as (select member, step, threshold, count(*) as n_boxes from boxes group by 1, 2, 3)
   select * from (select member, step, threshold, {_ENV} from cells group by member, step, threshold) join n using (member, step, threshold)""")
 def e14(spark, d):
-    out = E.individual_envelopes(cells(spark, d), ["member", "step", "threshold"])
-    return out.withColumn("n_boxes", F.regexp_count("region", F.lit("POLYGON")).cast("long")).drop("region")
+    return E.individual_envelopes(cells(spark, d), ["member", "step", "threshold"]).drop("region")
 
 
 @plan("e15_combined_envelopes", with_(A3, CELLS) + f"select member, threshold, {_ENV}, any_value(lead_range) as lead_range from (select distinct member, threshold, r, c, lat, lon, concat(min(step) over (partition by member, threshold), '-', max(step) over (partition by member, threshold)) as lead_range from cells) group by member, threshold")
 def e15(spark, d):
-    return E.combined_envelopes(cells(spark, d), ["member", "threshold"]).drop("region")
+    return E.combined_envelopes(cells(spark, d), ["member", "threshold"]).drop("region", "n_boxes")
 
 
 @plan("e16_region_area", with_(A3, CELLS) + "select member, step, threshold, count(*) * (0.25e0 * 0.25e0 * 111 * 104) as area_km2 from cells group by member, step, threshold")
@@ -284,6 +301,16 @@ def p5(spark, d):
     return P.ensemble_mean_at(f, 9)
 
 
+@plan("p4_step_accumulation", with_(A3, ACC) + "select member, step, r, c, value - lag(value) over (partition by member, r, c order by step) as amount from acc")
+def p4_steps(spark, d):
+    return P.step_accumulation(acc(spark, d)).select("member", "step", "r", "c", "amount")
+
+
+@plan("p6_period_maximum", with_(A3, ACC, _AMOUNTS) + "select start_h, end_h, max(mean) as period_max from (select r, c, start_h, end_h, case when count(amount) = count(*) then avg(amount) end as mean from amounts group by r, c, start_h, end_h) group by start_h, end_h")
+def p6_maximum(spark, d):
+    return P.period_maximum(amounts(spark, d))
+
+
 @plan("p6_period_mean", with_(A3, ACC, _AMOUNTS) + "select *, max(mean) over (partition by start_h, end_h) as period_max from (select r, c, start_h, end_h, case when count(amount) = count(*) then avg(amount) end as mean from amounts group by r, c, start_h, end_h)")
 def p6(spark, d):
     return P.period_mean(amounts(spark, d))
@@ -306,6 +333,12 @@ def p9(spark, d):
     return P.map_p99(A.grid_field(spark, d), "value", ["step"])
 
 
+@plan("p9_exact_percentile", with_(A3) + "select step, member, round(quantile_cont(value * 0.7e0 + r * 0.013e0 + c * 0.00017e0, 0.99), 4) as percentile from grid_field group by step, member")
+def p9_exact(spark, d):
+    f = A.grid_field(spark, d).withColumn("value", F.col("value") * 0.7 + F.col("r") * 0.013 + F.col("c") * 0.00017)
+    return P.exact_percentile(f, "value", 0.99, ["step", "member"]).withColumn("percentile", F.round("percentile", 4))
+
+
 @plan("p10_accumulation_monotonic", with_(A3) + "select member, r, c, bool_and(ok) as monotonic from (select member, r, c, coalesce(value >= lag(value) over (partition by member, r, c order by step) - 0.01, true) as ok from grid_field) group by member, r, c")
 def p10(spark, d):
     return P.accumulation_monotonic(A.grid_field(spark, d))

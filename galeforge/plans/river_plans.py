@@ -153,6 +153,11 @@ def r18(spark, d):
     return R.rank_members_by_extent(R.expand_bitmask(extent(spark, d).where("rp = 10"), [72]), 10)
 
 
+@plan("r18_counts_from_masks", with_(A4, A5, A6, EX, WET) + "select member, count(*) as pixels from wet join (select distinct cell_id, rp, step_h, member from ex) using (cell_id) group by member")
+def r18_counts(spark, d):
+    return R.member_extent_counts(extent(spark, d))
+
+
 @plan("r19_masked_probability", with_(A4, A5, A6, PROB, WET) + "select rp, step_h, pixel_lat, pixel_lon, probability from wet join prob using (cell_id) where probability > 0")
 def r19(spark, d):
     return R.masked_probability(A.pixels(spark, d), prob(spark, d), cells(spark, d))
@@ -205,6 +210,26 @@ def r24_thresholds(spark, d):
     return R.gauge_thresholds(D(spark, d), T(spark, d), 12.3, -45.6)
 
 
+#: A gauge for every customer, anywhere between 60 degrees south and north.
+_GAUGES = "gauges as (select c_custkey as gauge_id, ((c_custkey * 7919) % 12000) / 1e2 - 60e0 as lat, ((c_custkey * 104729) % 36000) / 1e2 - 180e0 as lon from customer)"
+_NEAR = "near as (select gauge_id, cell_id, sqrt(d2) as distance from (select gauge_id, cell_id, d2, row_number() over (partition by gauge_id order by d2, cell_id) as k from (select gauge_id, cell_id, (cell_lat - lat) * (cell_lat - lat) + (cell_lon - lon) * (cell_lon - lon) as d2 from gauges cross join cell)) where k = 1)"
+
+
+def gauges(spark, d):
+    return read(spark, d, "customer").selectExpr("c_custkey as gauge_id", "((c_custkey * 7919) % 12000) / 1e2 - 60e0 as lat", "((c_custkey * 104729) % 36000) / 1e2 - 180e0 as lon")
+
+
+@plan("r24_nearest_cells", with_(A4, CELL, _GAUGES, _NEAR) + "select * from near")
+def r24_nearest(spark, d):
+    return R.nearest_cells(gauges(spark, d), cells(spark, d))
+
+
+@plan("r24_gauge_hydrographs", with_(A4, A5, CELL, _GAUGES, _NEAR) + """, h as (select cell_id, step_h, median(value) as median, min(value) as low, max(value) as high from discharge group by cell_id, step_h)
+  select gauge_id, cell_id, step_h, median, low, high, (select min(rp) from cell_thresholds t where t.cell_id = h.cell_id and t.threshold > 0 and h.median > t.threshold) as first_rp from near join h using (cell_id)""")
+def r24_hydrographs(spark, d):
+    return R.gauge_hydrographs(D(spark, d), T(spark, d), gauges(spark, d))
+
+
 @plan("r25_discharge_mean_max", with_(A4) + "select cell_id, step_h, avg(value) as mean, max(value) as max from discharge where step_h in (24, 72, 120, 168) group by cell_id, step_h")
 def r25(spark, d):
     return R.discharge_mean_max(D(spark, d))
@@ -248,6 +273,12 @@ def r29_resample(spark, d):
     return R.mosaic_tiles(R.resample_tiles(t, px, 25.0, -65.0, 0.4), 1.5, 0.0)
 
 
+@plan("r29_water_or_zero", with_(A3) + "select member, step, r, c, case when value is null or value = 1.5 then 0 else value end as water from grid_field")
+def r29_water(spark, d):
+    f = A.grid_field(spark, d).withColumn("value", F.when((F.col("r") + F.col("c")) % 2 == 0, F.when(F.col("value") == 1.5, float("nan")).otherwise(F.col("value"))).otherwise(F.col("value")))
+    return f.select("member", "step", "r", "c", R.water_or_zero(F.col("value"), 1.5).alias("water"))
+
+
 @plan("r30_coregistered", with_(A3) + "select count(distinct concat(w, '|', s, '|', e, '|', n)) = 1 as coregistered from (select member, min(lon) as w, min(lat) as s, max(lon) as e, max(lat) as n from grid_field group by member)")
 def r30(spark, d):
     return R.coregistered(grid_descriptor(A.grid_field(spark, d), ["member"]))

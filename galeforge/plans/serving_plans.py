@@ -299,6 +299,16 @@ def s1(spark, d):
     return C.read_raw_tracks(spark, path).select("storm_id", "storm_identifier", "long_storm_name", "ensemble_member", "step", "latitude", "wind")
 
 
+@plan("s1_many_headers", with_(A1) + "select storm_id, ensemble_member, step, case when substr(storm_id, 6)::int % 4 < 2 then latitude end as latitude, wind, count(*) as n from track_points group by all")
+def s1_headers(spark, d):
+    path = scratch(spark, "headers")
+    k = F.substring("storm_id", 6, 12).cast("int") % 4
+    for n, columns in enumerate((["storm_id", "ensemble_member", "step", "latitude", "wind"], ["wind", "latitude", "step", "extra", "ensemble_member", "storm_id"], ["step", "storm_id", "wind", "ensemble_member"], ["ensemble_member", "wind", "storm_id", "step"])):
+        rows = A.track_points(spark, d).where(k == n).withColumn("extra", F.lit('said "so", twice'))
+        rows.select(*columns).write.mode("append").option("header", True).option("quoteAll", n % 2 == 1).option("escape", "\"").csv(path)
+    return C.read_raw_tracks(spark, path).groupBy("storm_id", "ensemble_member", "step", "latitude", "wind").agg(F.count("*").alias("n"))
+
+
 _PATHS = "paths as (select c_custkey, case c_custkey % 3 when 0 then concat('x/raw_storm_AB', c_custkey, '_z.csv') when 1 then concat('y/A_tropical_cyclone_track_N', c_custkey, '_1degW_transformed.csv') else concat(c_custkey, '_transformed.csv') end as path from customer)"
 
 
@@ -351,6 +361,15 @@ def s7(spark, d):
     return C.modified_since(f, F.expr("timestamp_ntz'1997-06-01 12:00:00'")).select("file_id", text("modified"))
 
 
+@plan("s7_list_files", "select concat('part=', o_orderkey % 5) as folder, true as found from orders group by 1")
+def s7_listing(spark, d):
+    path = scratch(spark, "listing")
+    read(spark, d, "orders").select("o_orderkey", (F.col("o_orderkey") % 5).alias("part")).write.mode("overwrite").partitionBy("part").parquet(path)
+    listed = C.modified_since(C.list_files(spark, path), F.expr("current_timestamp() - interval 1 day"))
+    data = listed.where((F.col("length") > 0) & C.base_name(F.col("path")).startswith("part-"))
+    return data.groupBy(F.regexp_extract("path", "(part=[0-9]+)", 1).alias("folder")).agg((F.count("*") > 0).alias("found"))
+
+
 @plan("s8_route_to_table", with_(_FILES) + f"select id, {_ROUTE} as target from files")
 def s8(spark, d):
     return files(spark, d).select("id", C.route_to_table(F.col("path")).alias("target"))
@@ -385,6 +404,22 @@ def s12(spark, d):
     return S.write_extent(extent(spark, d), scratch(spark, "extent")).select("rp", "pixel_lat", "pixel_lon", "m024", "m072", "below_min_basin")
 
 
+@plan("s12_extent_box", with_(A4, A5, A6, EX, MASKS, WET) + "select rp, pixel_lat, pixel_lon, m024, m072 from wet join masks using (cell_id) where pixel_lat between -31.3 and 14.2 and pixel_lon between -75.5 and 60.1")
+def s12_box(spark, d):
+    return S.read_extent_box(S.write_extent(extent(spark, d), scratch(spark, "extent")), -31.3, 14.2, -75.5, 60.1).select("rp", "pixel_lat", "pixel_lon", "m024", "m072")
+
+
+@plan(
+    "s11_block_crop",
+    with_(A3) + """, held as (select distinct member, step, r // 16 as br, c // 64 as bc from grid_field), crop as (select member, step, x.r, y.c from range(3, 15) as x(r) cross join range(10, 151) as y(c) join held on br = x.r // 16 and bc = y.c // 64)
+    select crop.member, crop.step, cast(crop.r as int) as row, cast(crop.c as int) as col, value from crop left join grid_field g on g.member = crop.member and g.step = crop.step and g.r = crop.r and g.c = crop.c""",
+)
+def s11_crop(spark, d):
+    keys, size = ["member", "step"], (16, 64)
+    blocks = S.write_blocks(A.grid_field(spark, d).withColumnsRenamed({"r": "row", "c": "col"}), scratch(spark, "blocks"), keys, size=size)
+    return S.read_block_crop(blocks, keys, (3, 14), (10, 150), size)
+
+
 @plan("s13_file_stream_ingest", with_(A1, _T, _S) + "select storm_id, ensemble_member, step, wind from t union all select storm_id, ensemble_member, step, wind from s where not exists (select 1 from t where t.storm_id = s.storm_id and t.ensemble_member = s.ensemble_member and t.step = s.step)")
 def s13(spark, d):
     base = scratch(spark, "ingest")

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from urllib.parse import unquote
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import MEMBERS, RAW_SCHEMA, TIER_SOURCE
 
-#: Where files of each target table lie. Tested in order, so gust rules come before the shorter ones.
+#: Where files of each target table lie. Tested in order, so gust rules come before the shorter ones.
 TRACKS_PREFIX, ENVELOPES_PREFIX = "tracks/", "envelopes/"
 ENVELOPE_RULES = [
     ("gust_envelopes_individual", "TC_GUST_ENVELOPES_INDIVIDUAL"),
@@ -22,20 +20,26 @@ ENVELOPE_RULES = [
 def read_raw_tracks(spark: SparkSession, path: str) -> DataFrame:
     """Raw track files, each by its own header. Identity columns stay text as written ("007", padding), empty text is not null; absent ones are null.
 
-    Files of one header are read together; the headers are the first lines of the files' first blocks.
+    One scan of lines, whatever the number of headers: a file's header, the first line of its first block, is joined to its lines, and says at which place a column's value lies. Quotes are read as CSV, doubled inside; a
+    line end inside quotes is not. Lines with fewer values than the header have nulls for the rest, columns that no schema knows are left out, of repeated ones the first counts.
     """
     kinds = {x.split()[0]: x.split()[1] for x in RAW_SCHEMA.split(", ")}
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at")).where("at = 0")
-    groups = lines.groupBy("file").agg(F.first("value").alias("header")).groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect()
-    reader = spark.read.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).option("emptyValue", "").option("nullValue", "\x00")
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
+    first = lines.where("at = 0").groupBy("file").agg(F.first("value").alias("header"))
+    most = first.agg(F.coalesce(F.max(F.size(F.split("header", ","))), F.lit(1)).alias("n")).first()["n"]
+    fields = ", ".join(f"c{k} string" for k in range(most))
+    options = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "emptyValue": "", "nullValue": "\x00", "escape": '"', "mode": "PERMISSIVE"}
+    cells = lambda rows, c, name: rows.withColumn("_s", F.from_csv(c, fields, options)).withColumn(name, F.array(*[F.col(f"_s.c{k}") for k in range(most)])).drop("_s")
+    headers = cells(first, "header", "names")
+    place = [F.array_position("names", F.lit(c)).alias(f"at_{c}") for c in kinds]
+    rows = cells(lines.join(headers.select("file", "header", *place), "file").where((F.col("value") != F.col("header")) & (F.col("value") != "")), "value", "cells")
     text = {"storm_id", "storm_identifier", "long_storm_name"}
-    cast = lambda c, k: F.coalesce(F.col(c), F.lit("")) if c in text else F.nullif(F.trim(c), F.lit("")).try_cast(k)
-    out = spark.createDataFrame([], RAW_SCHEMA)
-    for n, g in enumerate(groups):
-        rows = reader.csv([unquote(f) for f in g["files"]])
-        rows = rows.select(*[(cast(c, k) if c in rows.columns else F.lit(None).cast(k)).alias(c) for c, k in kinds.items()])
-        out = out.unionByName(rows) if n else rows
-    return out
+
+    def value(c, k):
+        own = F.when(F.col(f"at_{c}") > 0, F.element_at("cells", F.greatest(F.col(f"at_{c}"), F.lit(1)).cast("int")))
+        return (F.when(F.col(f"at_{c}") > 0, F.coalesce(own, F.lit(""))) if c in text else F.nullif(F.trim(own), F.lit("")).try_cast(k)).alias(c)
+
+    return rows.select(*[value(c, k) for c, k in kinds.items()])
 
 
 def base_name(path: Column) -> Column:
