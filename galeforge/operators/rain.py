@@ -82,13 +82,13 @@ def map_p99(values: DataFrame, column: str, by: list[str] | None = None) -> Data
 
 
 def exact_percentile(values: DataFrame, column: str, q: float, by: list[str] | None = None, bins: int = 1024) -> DataFrame:
-    """(by, percentile): the exact percentile, linear between its two neighbours, of a field of any size; null and NaN count for nothing, groups without values have no row.
+    """(by, percentile): the exact percentile, linear between its two neighbours, of a field of any size; null, NaN and infinite values count for nothing, groups without values have no row.
 
     Selection by rounds: the range that holds a rank is cut into equal bins, counted with map-side combine, and the bin with the rank becomes the next range, until it is the first or last of its bin or the bin holds
     one value. Memory is a group's bins, whatever the number of values or of different ones; no values are brought together. Key columns may be null.
     """
     by = by or []
-    v = values.where(F.col(column).isNotNull() & ~F.isnan(column)).select(F.struct(*by, F.lit(0).alias("_")).alias("g"), F.col(column).cast("double").alias("v"))
+    v = values.where(~F.isnan(column) & (F.abs(column) < float("inf"))).select(F.struct(*by, F.lit(0).alias("_")).alias("g"), F.col(column).cast("double").alias("v"))
     v = written(v, "values")
     at = q * (F.col("n") - 1)
     ends = v.groupBy("g").agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
