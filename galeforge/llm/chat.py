@@ -43,9 +43,17 @@ def part_tokens(part: Column) -> Column:
 
 
 def visit(parts: Column) -> Column:
-    """Each part as its text in the output: texts escaped, other types by their placeholder, in order. A part of unknown type is text."""
+    r"""Each part as its text in the output: texts escaped, other types by their placeholder, in order. A part of unknown type is text.
+
+    A control string may be spread over neighbouring texts: one that begins with ``|`` after a ``<``, empty texts between or not, begins with ``\|``, so that parts joined are escaped as their joined texts would be.
+    """
     named = F.create_map(*[x for k, v in PLACEHOLDERS.items() for x in (F.lit(k), F.lit(v))])
-    return F.transform(parts, lambda p: F.coalesce(F.element_at(named, F.coalesce(p["type"], F.lit("text"))), escape(F.coalesce(p["text"], F.lit("")))))
+    of = lambda p: F.element_at(named, F.coalesce(p["type"], F.lit("text")))
+    raw = lambda p: F.coalesce(p["text"], F.lit(""))
+    last = F.transform(parts, lambda p: F.right(F.coalesce(of(p), raw(p)), F.lit(1)))
+    before = lambda i: F.coalesce(F.try_element_at(F.filter(F.slice(last, 1, i), lambda x: x != ""), F.lit(-1)), F.lit(""))
+    torn = lambda p, i: F.when(raw(p).startswith("|"), F.when(before(i) == "<", "\\").otherwise("")).otherwise("")
+    return F.transform(parts, lambda p, i: F.coalesce(of(p), F.concat(torn(p, i), escape(raw(p)))))
 
 
 def format_conversations(messages: DataFrame) -> DataFrame:
