@@ -15,8 +15,8 @@ from .tokens import default_path, encoder, forget_encoders
 
 WINDOW, END_ID = 2048, 1
 K1, B = 1.2, 0.75
-#: Terms by which a seed asks, its rarest; an index takes documents until it has so many, or so many ids; ids of a partition, which is worked through index by index.
-QUERY_TERMS, SHARD_DOCS, SHARD_IDS, PARTITION_IDS = 64, 1024, 2_000_000, 6_000_000
+#: Terms by which rows are dealt to shards, their rarest; an index takes documents until it has so many, or so many ids; ids of a partition, which is worked through index by index.
+ROUTE_TERMS, SHARD_DOCS, SHARD_IDS, PARTITION_IDS = 64, 1024, 2_000_000, 6_000_000
 #: Term counts that one task adds up, and that the driver does; numbers before them; how ids are written in between.
 FAN, HEAD, ID_TYPES = 32, 3, ("<u2", "<u4")
 FIELDS = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
@@ -37,12 +37,12 @@ class Corpus:
 
 
 class Bm25Shard:
-    """An inverted index over token ids: postings by term, weighted by the whole corpus' statistics, and each document's rarest terms.
+    """An inverted index over token ids: postings by term, weighted by the whole corpus' statistics, and each document's terms.
 
     The weight is an idf that is never negative by the usual saturated term frequency. Ids that one document of the shard holds have no postings.
     """
 
-    def __init__(self, docs: list[np.ndarray], idf: np.ndarray, mean_size: float = 1.0, query_terms: int = QUERY_TERMS):
+    def __init__(self, docs: list[np.ndarray], idf: np.ndarray, mean_size: float = 1.0):
         n = len(docs)
         size = np.array([len(x) for x in docs])
         doc = np.repeat(np.arange(n), size)
@@ -55,13 +55,13 @@ class Bm25Shard:
         begin = np.flatnonzero(np.r_[True, term[1:] != term[:-1]]) if len(term) else np.zeros(0, int)
         self.begin, self.end = begin, np.r_[begin[1:], len(term)] if len(term) else begin
         number = np.cumsum(np.r_[False, term[1:] != term[:-1]]) if len(term) else term
-        rare = np.lexsort((term, -idf[term], self.doc))  # each document's terms, rarest first
-        at = np.searchsorted(self.doc[rare], np.arange(n + 1))
-        self.terms = [number[rare[a : min(b, a + query_terms)]] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+        own = np.argsort(self.doc, kind="stable")
+        at = np.searchsorted(self.doc[own], np.arange(n + 1))
+        self.terms = [number[own[a:b]] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
         self.n = n
 
     def scores(self, seed: int) -> np.ndarray:
-        """The score of every document of the shard for the seed's rarest terms."""
+        """The score of every document of the shard for all terms of the seed."""
         terms = self.terms[seed]
         size = self.end[terms] - self.begin[terms]
         after = np.cumsum(size)
@@ -140,12 +140,12 @@ class Packer:
 
 
 def route(terms: np.ndarray) -> int:
-    """What brings like documents into one shard: the least hash of a document's QUERY_TERMS highest ids.
+    """What brings like documents into one shard: the least hash of a document's ROUTE_TERMS highest ids.
 
     Ids of a byte-level vocabulary rise with the merges, which go from common to rare, so these are about its rarest terms; documents
     share the least hash as often as they share such terms.
     """
-    rare = terms[-QUERY_TERMS:].astype(np.uint64) + np.uint64(1)
+    rare = terms[-ROUTE_TERMS:].astype(np.uint64) + np.uint64(1)
     h = rare * np.uint64(0x9E3779B97F4A7C15)
     h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
     return int((h >> np.uint64(1)).min()) if len(h) else 0

@@ -280,7 +280,7 @@ def learn(docs: DataFrame, most: int = SAMPLE_DOCS, kind_rows: int = KIND_ROWS)
     part = [(F.pmod(F.xxhash64(F.lit(name), "doc_id"), F.lit(1 << 30)) < F.lit(int(min(1.0, most / max(1, c)) * (1 << 30)))) & F.col("text").rlike(h) for name, c, h in zip(BASE_KINDS, held, HOLDS, strict=True)]
     anyway = share_of("doc_id", most / n) if n > most else F.lit(True)
     chosen = docs.where(F.length("text") > 0).select("doc_id", "text", anyway.alias("anyway"), *[p.alias(name) for p, name in zip(part, BASE_KINDS, strict=True)])
-    chosen = chosen.where(" or ".join(["anyway", *BASE_KINDS]))
+    chosen = chosen.where(" or ".join(["anyway", *BASE_KINDS])).repartition(docs.sparkSession.sparkContext.defaultParallelism)  # bounded, and slow to look at: by all cores
 
     def start():
         def make(x):
