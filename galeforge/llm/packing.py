@@ -37,12 +37,12 @@ class Corpus:
 
 
 class Bm25Shard:
-    """An inverted index over token ids: postings by term, weighted by the whole corpus' statistics, and each document's terms.
+    """An inverted index over token ids: postings by term, weighted by the whole corpus' statistics, and each document's terms: all, or the rarest ``query_terms`` of them.
 
     The weight is an idf that is never negative by the usual saturated term frequency. Ids that one document of the shard holds have no postings.
     """
 
-    def __init__(self, docs: list[np.ndarray], idf: np.ndarray, mean_size: float = 1.0):
+    def __init__(self, docs: list[np.ndarray], idf: np.ndarray, mean_size: float = 1.0, query_terms: int | None = None):
         n = len(docs)
         size = np.array([len(x) for x in docs])
         doc = np.repeat(np.arange(n), size)
@@ -55,13 +55,13 @@ class Bm25Shard:
         begin = np.flatnonzero(np.r_[True, term[1:] != term[:-1]]) if len(term) else np.zeros(0, int)
         self.begin, self.end = begin, np.r_[begin[1:], len(term)] if len(term) else begin
         number = np.cumsum(np.r_[False, term[1:] != term[:-1]]) if len(term) else term
-        own = np.argsort(self.doc, kind="stable")
+        own = np.argsort(self.doc, kind="stable") if query_terms is None else np.lexsort((term, -idf[term], self.doc))  # each document's terms, rarest first where only some ask
         at = np.searchsorted(self.doc[own], np.arange(n + 1))
-        self.terms = [number[own[a:b]] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+        self.terms = [number[own[a : b if query_terms is None else min(b, a + query_terms)]] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
         self.n = n
 
     def scores(self, seed: int) -> np.ndarray:
-        """The score of every document of the shard for all terms of the seed."""
+        """The score of every document of the shard for the seed's terms."""
         terms = self.terms[seed]
         size = self.end[terms] - self.begin[terms]
         after = np.cumsum(size)
