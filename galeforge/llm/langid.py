@@ -11,8 +11,8 @@ from .common import held_out, per_row, share_of, table
 
 #: Width of the vectors; letter symbols (0 is what stands between words); seed of their random vectors.
 WIDTH, SYMBOLS, SEED = 512, 64, 20
-#: Trigram vectors kept by a worker at once, and characters worked on at once.
-KEPT, STEP = 40_000, 1_000_000
+#: Trigram vectors kept by a worker at once, characters worked on at once, and languages that a task counts at once (2 MB each).
+KEPT, STEP, COUNTED = 40_000, 1_000_000, 32
 UNKNOWN = "und"
 #: Characters of a long text, and documents that limits for those are learnt from, about.
 LONG, LIMIT_DOCS = 300, 20_000
@@ -89,21 +89,27 @@ class Vectors:
 def learn_prototypes(docs: DataFrame, width: int = WIDTH, seed: int = SEED) -> dict[str, np.ndarray]:
     """A unit vector for each language of (text, lang), from every row whose lang is not null.
 
-    Tasks return trigram counts by language, summed before and after the shuffle, at most SYMBOLS**3 for a language; each
-    language's are bundled in a task, and only its vector reaches the driver.
+    Tasks return trigram counts by language, summed before and after the shuffle, at most SYMBOLS**3 for a language, and hold COUNTED languages at
+    once, however many there are; each language's are bundled in a task, and only its vector reaches the driver.
     """
 
+    def out(sums):
+        for lang, x in sums.items():
+            keys = np.flatnonzero(x)
+            yield pd.DataFrame({"lang": lang, "gram": keys, "n": x[keys]})
+
     def count(batches):
         sums: dict[str, np.ndarray] = {}
         for pdf in batches:
             for lang, text in zip(pdf["lang"], pdf["text"], strict=True):
                 keys, n = trigrams(text)
                 if lang not in sums:
+                    if len(sums) == COUNTED:
+                        yield from out(sums)
+                        sums.clear()
                     sums[lang] = np.zeros(SYMBOLS**3, np.int64)
                 sums[lang][keys] += n
-        for lang, x in sums.items():
-            keys = np.flatnonzero(x)
-            yield pd.DataFrame({"lang": lang, "gram": keys, "n": x[keys]})
+        yield from out(sums)
 
     def bundle(key, pdf):
         pdf = pdf.sort_values("gram")

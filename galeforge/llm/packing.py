@@ -17,6 +17,8 @@ WINDOW, END_ID = 2048, 1
 K1, B = 1.2, 0.75
 #: Terms by which rows are dealt to shards, their rarest; an index takes documents until it has so many, or so many ids; ids of a partition, which is worked through index by index.
 ROUTE_TERMS, SHARD_DOCS, SHARD_IDS, PARTITION_IDS = 64, 1024, 2_000_000, 6_000_000
+#: A term is common in a shard if one of so many of its documents holds it.
+COMMON = 32
 #: Term counts that one task adds up, and that the driver does; numbers before them; how ids are written in between.
 FAN, HEAD, ID_TYPES = 32, 3, ("<u2", "<u4")
 FIELDS = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
@@ -55,9 +57,21 @@ class Bm25Shard:
         begin = np.flatnonzero(np.r_[True, term[1:] != term[:-1]]) if len(term) else np.zeros(0, int)
         self.begin, self.end = begin, np.r_[begin[1:], len(term)] if len(term) else begin
         number = np.cumsum(np.r_[False, term[1:] != term[:-1]]) if len(term) else term
-        own = np.argsort(self.doc, kind="stable") if query_terms is None else np.lexsort((term, -idf[term], self.doc))  # each document's terms, rarest first where only some ask
-        at = np.searchsorted(self.doc[own], np.arange(n + 1))
-        self.terms = [number[own[a : b if query_terms is None else min(b, a + query_terms)]] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+        often = (self.end - self.begin) * COMMON >= n  # terms of many documents: all their scores at once, as a product of matrices
+        self.common = None
+        if query_terms is None and often.any():
+            row, some = np.cumsum(often) - 1, often[number]
+            holds, weighs = np.zeros((int(often.sum()), n), np.float32), np.zeros((int(often.sum()), n), np.float32)
+            holds[row[number[some]], self.doc[some]] = 1
+            weighs[row[number[some]], self.doc[some]] = self.weight[some]
+            self.common = holds.T @ weighs
+            kept = ~some
+            of, at_ = self.doc[kept], number[kept]
+        else:
+            of, at_ = self.doc, number
+        own = np.argsort(of, kind="stable") if query_terms is None else np.lexsort((term, -idf[term], of))  # each document's terms, rarest first where only some ask
+        at = np.searchsorted(of[own], np.arange(n + 1))
+        self.terms = [at_[own[a : b if query_terms is None else min(b, a + query_terms)]] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
         self.n = n
 
     def scores(self, seed: int) -> np.ndarray:
@@ -66,7 +80,8 @@ class Bm25Shard:
         size = self.end[terms] - self.begin[terms]
         after = np.cumsum(size)
         at = np.repeat(self.begin[terms] - (after - size), size) + np.arange(after[-1] if len(after) else 0)
-        return np.bincount(self.doc[at], self.weight[at], minlength=self.n)
+        out = np.bincount(self.doc[at], self.weight[at], minlength=self.n)
+        return out if self.common is None else out + self.common[seed]
 
 
 class Packer:
