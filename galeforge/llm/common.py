@@ -21,6 +21,9 @@ SLICE_BYTES = 4_000_000
 
 _local: dict[str, str] = {}
 
+#: Paths given out by shared_path and not removed by tidy, in order.
+_given: list[str] = []
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``, which driver and executors share.
@@ -40,7 +43,8 @@ def shared_dir(spark: SparkSession) -> str:
 
 def shared_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that is not used yet."""
-    return f"{shared_dir(spark)}/llm/{label}-{uuid.uuid4().hex}"
+    _given.append(f"{shared_dir(spark)}/llm/{label}-{uuid.uuid4().hex}")
+    return _given[-1]
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -57,6 +61,19 @@ def remove(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def mark() -> int:
+    """Where the list of intermediate tables stands now, for ``tidy``."""
+    return len(_given)
+
+
+def tidy(spark: SparkSession, since: int, keep: int = 1) -> None:
+    """Delete the intermediate tables that were begun since a mark, but the last ``keep``: for when what was made of the others is written and nothing reads them any more."""
+    end = len(_given) - keep
+    for path in _given[since:end]:
+        remove(spark, path)
+    del _given[since:end]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

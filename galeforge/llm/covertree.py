@@ -273,10 +273,9 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, cell: int = CELL) -
     named = materialize(named.select("label", "embedding", "root", "first", "links"), "named")
     least = named.groupBy("root").agg(F.min("first").alias("component_id"))
     of_class = named.join(least, "root").select("links", "component_id", F.col("label").alias("_l"), F.col("embedding").alias("_e"))
-    own = rows.withColumn("_key", F.when(F.col("ok"), F.col("embedding")))
-    out = own.join(of_class, (F.col("_key") == F.col("_e")) & (F.col("label") == F.col("_l")), "left")
-    component = F.when(F.col("ok"), F.col("component_id")).otherwise(F.col("vec_id"))
-    return out.select("vec_id", F.when(F.col("ok"), F.col("links") - 1).otherwise(0).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"))
+    linked = rows.where("ok").join(of_class, (F.col("embedding") == F.col("_e")) & (F.col("label") == F.col("_l"))).select("vec_id", (F.col("links") - 1).cast("long").alias("n_links"), "component_id")
+    alone = rows.where("not ok").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))  # without a join, however many there are
+    return linked.union(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
 
 
 def op3_covertree(spark, sf_dir: str) -> DataFrame:
