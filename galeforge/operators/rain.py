@@ -71,9 +71,10 @@ def exceedance_pct(values: DataFrame, above: float, keys: tuple[str, ...] = ("r"
 
 
 def crop_to_bounds(field: DataFrame, points: DataFrame, pad: float) -> DataFrame:
-    """Nodes inside the padded bounds of the points; the bounds are one row."""
-    b = points.agg((F.min("latitude") - pad).alias("_s"), (F.max("latitude") + pad).alias("_n"), (F.min("longitude") - pad).alias("_w"), (F.max("longitude") + pad).alias("_e"))
-    return field.join(F.broadcast(b)).where("lat between _s and _n and lon between _w and _e").drop("_s", "_n", "_w", "_e")
+    """Nodes inside the padded bounds of the points: scalar subqueries, so the filter is one of the scan and nothing is joined. No points, no nodes."""
+    b = points.agg((F.min("latitude") - pad).alias("s"), (F.max("latitude") + pad).alias("n"), (F.min("longitude") - pad).alias("w"), (F.max("longitude") + pad).alias("e"))
+    one = lambda c: b.select(c).scalar()
+    return field.where(F.col("lat").between(one("s"), one("n")) & F.col("lon").between(one("w"), one("e")))
 
 
 def map_p99(values: DataFrame, column: str, by: list[str] | None = None) -> DataFrame:

@@ -173,9 +173,10 @@ def naive_vs_masked(probability: DataFrame, painted: DataFrame) -> DataFrame:
 
 
 def prefilter_to_layer(cells: DataFrame, layer: DataFrame, pad: float = CELL_DEG) -> DataFrame:
-    """Cells inside the static layer's padded bounds; the bounds are one row."""
-    b = layer.agg((F.min("pixel_lat") - pad).alias("_s"), (F.max("pixel_lat") + pad).alias("_n"), (F.min("pixel_lon") - pad).alias("_w"), (F.max("pixel_lon") + pad).alias("_e"))
-    return cells.join(F.broadcast(b)).where("cell_lat between _s and _n and cell_lon between _w and _e").drop("_s", "_n", "_w", "_e")
+    """Cells inside the static layer's padded bounds: scalar subqueries, so the filter is one of the scan and nothing is joined."""
+    b = layer.agg((F.min("pixel_lat") - pad).alias("s"), (F.max("pixel_lat") + pad).alias("n"), (F.min("pixel_lon") - pad).alias("w"), (F.max("pixel_lon") + pad).alias("e"))
+    one = lambda c: b.select(c).scalar()
+    return cells.where(F.col("cell_lat").between(one("s"), one("n")) & F.col("cell_lon").between(one("w"), one("e")))
 
 
 def discharge_exceedance(discharge: DataFrame, thresholds: DataFrame, rp: int, step_h: int) -> DataFrame:

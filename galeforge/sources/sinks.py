@@ -16,8 +16,8 @@ def _back(df: DataFrame, path: str) -> DataFrame:
 
 
 def write_per_storm(rows: DataFrame, path: str, storm: str = "storm_id") -> DataFrame:
-    """One folder for each storm. Rows of a storm are brought together first, so there are few files."""
-    rows.repartition(storm).write.mode("overwrite").partitionBy(storm).parquet(path)
+    """One folder for each storm. Rows of a storm are brought together first, so there are few files; adaptive execution splits a storm of very many rows over several tasks."""
+    rows.hint("rebalance", storm).write.mode("overwrite").partitionBy(storm).parquet(path)
     return _back(rows, path)
 
 
