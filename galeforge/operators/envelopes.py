@@ -120,8 +120,9 @@ def merge_windows(parts: list[DataFrame], keys: list[str]) -> DataFrame:
 
 
 def synth_rows(leads: DataFrame, members: DataFrame, run: Column) -> DataFrame:
-    """Every lead with every member and its valid time; both sides are short lists by nature."""
-    return leads.select("lead_time").distinct().crossJoin(members.select("ensemble_member").distinct()).withColumn("valid_time", run + F.make_dt_interval(hours=F.col("lead_time")))
+    """Every lead with every member and its valid time; the members, a short list by nature, are one value that each lead lays out."""
+    every = members.agg(F.array_sort(F.collect_set("ensemble_member"))).scalar()
+    return leads.select("lead_time").distinct().withColumn("ensemble_member", F.explode(every)).withColumn("valid_time", run + F.make_dt_interval(hours=F.col("lead_time")))
 
 
 def resolve_run_time(rows: DataFrame, by: str) -> DataFrame:

@@ -23,8 +23,7 @@ def combine_control(perturbed: DataFrame, control: DataFrame, grid: tuple[str, s
     nodes = perturbed.select(*grid, F.lit(0).alias("_of")).union(control.select(*grid, F.lit(1).alias("_of")))
     odd = nodes.groupBy(*grid).agg((F.min("_of") == F.max("_of")).alias("_odd")).agg(F.coalesce(F.max("_odd"), F.lit(False)).alias("_odd"))
     both = perturbed.unionByName(control.withColumn("member", control_as_51(F.lit(None).cast("int"))))
-    checked = F.when(F.col("_odd"), F.raise_error(F.lit("control and perturbed members have different grids")).cast("int")).otherwise(F.col("member"))
-    return both.join(F.broadcast(odd)).withColumn("member", checked).drop("_odd")
+    return both.withColumn("member", F.when(odd.scalar(), F.raise_error(F.lit("control and perturbed members have different grids")).cast("int")).otherwise(F.col("member")))
 
 
 def positive_or_null(x: Column) -> Column:
@@ -188,8 +187,8 @@ def discharge_exceedance(discharge: DataFrame, thresholds: DataFrame, rp: int, s
 
 def hotspot_box(pct: DataFrame, pad: float = 12.0, size: float = 2.0) -> DataFrame:
     """Padded bounds of the cells in the densest bin of likely ones (over 50 percent, else any); the lowest bin on ties; empty if there are none."""
-    level = pct.agg(F.max("pct").alias("_m"))
-    hot = pct.join(F.broadcast(level)).where((F.col("pct") > F.when(F.col("_m") > 50, 50).otherwise(0)))
+    level = pct.agg(F.when(F.max("pct") > 50, 50).otherwise(0)).scalar()
+    hot = pct.where(F.col("pct") > level)
     hot = hot.withColumns({"by": F.rint(F.col("cell_lat") / size).cast("int"), "bx": F.rint(F.col("cell_lon") / size).cast("int")})
     bins = hot.groupBy("by", "bx").agg(F.count("*").alias("n"), (F.min("cell_lon") - pad).alias("lon_min"), (F.max("cell_lon") + pad).alias("lon_max"), (F.min("cell_lat") - pad).alias("lat_min"), (F.max("cell_lat") + pad).alias("lat_max"))
     return bins.orderBy(F.desc("n"), "by", "bx").limit(1)
@@ -330,7 +329,7 @@ def latest_available(catalog: DataFrame, day: str, max_lag: int, products: list[
 
 def tiers_complete(outputs: DataFrame, tiers: DataFrame) -> DataFrame:
     """For each day whether all tiers are there, and how many are missing."""
-    want = outputs.select("day").distinct().crossJoin(F.broadcast(tiers.select("rp")))
+    want = outputs.select("day").distinct().withColumn("rp", F.explode(tiers.agg(F.collect_set("rp")).scalar()))
     gone = want.join(outputs.select("day", "rp").distinct(), ["day", "rp"], "left_anti").groupBy("day").agg(F.count("*").alias("missing"))
     return outputs.select("day").distinct().join(gone, "day", "left").select("day", F.coalesce("missing", F.lit(0)).alias("missing")).withColumn("complete", F.col("missing") == 0)
 

@@ -187,3 +187,24 @@ def test_storm_names_from_paths(spark):
     names = {"a/x_storm_AB-1_y.csv": "AB-1", "tropical_cyclone_track_JERRY_-63p7degW_transformed.csv": "JERRY", "b/zeta_transformed.csv": "zeta"}
     for path, want in names.items():
         assert one(spark, C.storm_from_path(F.lit(path)).alias("x")).x == want
+
+
+def test_files_of_many_headers_in_one_scan(spark, tmp_path):
+    """Fifty files, each with its own order of columns, quotes, and some columns missing or unknown."""
+    import csv
+    import random
+
+    r, names, want = random.Random(4), ["storm_id", "storm_identifier", "ensemble_member", "step", "latitude", "wind", "note"], []
+    for k in range(50):
+        own = r.sample(names, r.randrange(3, 8))
+        with (tmp_path / f"f{k}.csv").open("w", newline="") as f:
+            w = csv.writer(f, quoting=r.choice([csv.QUOTE_ALL, csv.QUOTE_MINIMAL]), lineterminator="\n")
+            w.writerow(own)
+            for i in range(3):
+                row = {"storm_id": f"S{k}", "storm_identifier": " 007 ", "ensemble_member": i, "step": 6 * i, "latitude": f" {k}.5 ", "wind": "" if i else "12.25", "note": 'a "b", c'}
+                w.writerow([row[c] for c in own])
+                has = lambda c: row[c] if c in own else None  # noqa: B023, E731
+                want.append((has("storm_id"), has("storm_identifier"), has("ensemble_member"), has("step"), k + 0.5 if "latitude" in own else None, None if i or "wind" not in own else 12.25))
+    out = C.read_raw_tracks(spark, str(tmp_path)).select("storm_id", "storm_identifier", "ensemble_member", "step", "latitude", "wind")
+    assert sorted(map(str, map(tuple, out.collect()))) == sorted(map(str, want))
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Relation [") <= 2  # the lines, and their files' headers
