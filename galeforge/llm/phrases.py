@@ -254,10 +254,10 @@ def collocations(docs: DataFrame, support: int = SUPPORT, top: int | None = TOP)
     product = lambda n, c: F.expr(f"cast({n} as decimal(3, 0)) * cast({c} as decimal(19, 0))")
     kept = best.join(inside, ["lang", "phrase"], "left").where(F.col("longer").isNull() | (product(100, "longer") < product(COVERED, "a")))
     kept = kept.select("lang", "phrase", "a", F.col("b.l").alias("l"), F.col("b.r").alias("r"), F.col("b.score").cast("long").alias("score"))
-    ranked = kept.withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")).cast("long"))
+    ranked = kept.withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")))  # a limit on it is kept before the shuffle
     if top is not None:
         ranked = ranked.where(F.col("rank") <= top)
-    return ranked.join(whole, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    return ranked.join(whole, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
 
 def op12_collocations(spark, sf_dir: str) -> DataFrame:
