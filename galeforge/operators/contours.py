@@ -64,7 +64,7 @@ def ring_points(field: DataFrame, keys: list[str], thresholds: dict[int, float])
     """The segments with ``ring``, the least crossing of the ring they lie on, and ``ahead``, the steps from their start to it. Keys may not be null.
 
     Pointer doubling: after round k a crossing knows the least among the 2^k from it on and points beyond them, so a ring of n crossings takes about log2 n rounds of one equi-join. Where
-    the least of two stretches is the same, the ring is closed and its crossings leave; what points to one that has left is closed too. Rounds are written, which cuts lineage.
+    the least of two stretches is the same, or the pointer is back at its start, the ring is closed and its crossings leave; what points to one that has left is closed too. Rounds are written, which cuts lineage.
     """
     by = [*keys, "threshold"]
     own = written(segments(field, keys, thresholds), "segments")
@@ -73,7 +73,7 @@ def ring_points(field: DataFrame, keys: list[str], thresholds: dict[int, float])
     while True:
         beyond = now.select(*by, F.col("v").alias("n"), F.col("n").alias("n2"), F.col("ring").alias("ring2"), F.col("ahead").alias("ahead2"))
         less = F.col("ring2") < F.col("ring")
-        closed = F.col("n2").isNull() | (F.col("ring") == F.col("ring2"))
+        closed = F.col("n2").isNull() | (F.col("ring") == F.col("ring2")) | (F.col("n2") == F.col("v"))
         out = now.join(beyond, [*by, "n"], "left").select(*by, "v", F.col("n2").alias("n"), F.when(less, F.col("ring2")).otherwise(F.col("ring")).alias("ring"), F.when(less, step + F.col("ahead2")).otherwise(F.col("ahead")).alias("ahead"), closed.alias("closed"))
         paths.append(f"{base}/{len(paths)}")
         now = written(out, "rings", paths[-1]).where("not closed").drop("closed")

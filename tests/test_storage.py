@@ -7,6 +7,7 @@ from pathlib import Path
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from galeforge.functions import geo
 from galeforge.operators import envelopes as E
@@ -27,6 +28,26 @@ def scanned(df):
     return rows, metric("numOutputRows"), metric("numFiles")
 
 
+class Progress(StreamingQueryListener):
+    """Rows read, rows put into the state and rows in it, of each batch."""
+
+    def __init__(self, seen):
+        self.seen = seen
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        p = event.progress
+        self.seen.append((p.numInputRows, sum(s.numRowsUpdated for s in p.stateOperators), sum(s.numRowsTotal for s in p.stateOperators)))
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass
+
+
 # Morton ranges.
 @pytest.mark.parametrize("most", [1, 4, 16, 64])
 def test_ranges_hold_every_cell_of_a_box(most):
@@ -146,6 +167,21 @@ def test_ingest_goes_on_after_a_failure_between_write_and_commit(spark, tmp_path
     assert call().count() == 5  # nothing new
 
 
+def test_a_batch_costs_what_it_holds(spark, tmp_path):
+    """The state takes up the new keys only, and only new files are read, however many keys and files came before."""
+    landing, target, state = (str(tmp_path / x) for x in ("landing", "table", "state"))
+    seen = []
+    spark.streams.addListener(listener := Progress(seen))
+    try:
+        for n, size in enumerate((5000, 50, 50)):
+            spark.range(n * 10_000, n * 10_000 + size).selectExpr("cast(id as int) as k", "'v' as v").coalesce(1).write.mode("append").parquet(landing)
+            file_stream_ingest(spark, landing, ROWS, target, state, ["k"])
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(10_000)
+    finally:
+        spark.streams.removeListener(listener)
+    assert [x for x in seen if x[0]] == [(5000, 5000, 5000), (50, 50, 5050), (50, 50, 5100)]
+
+
 # Searches by rounds.
 def test_nearest_cells_equal_brute_force(spark):
     r = random.Random(8)
