@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import geo
 from ..operators import rivers as R
 from ..operators.envelopes import grid_descriptor
 from ..schemas import STEPS_H
