@@ -71,7 +71,7 @@ def r4(spark, d):
 @plan("r5_tag_upstream_area", with_(A4) + "select distinct cell_id, case when (cell_id % 7 - 1) * 1e9 > 0 then (cell_id % 7 - 1) * 1e9 / 1e6 end as uparea_km2 from discharge")
 def r5(spark, d):
     c = cells(spark, d).drop("uparea_km2")
-    layer = c.select(R.cell_row(F.col("cell_lat")).alias("row"), R.cell_col(F.col("cell_lon")).alias("col"), ((F.col("cell_id") % 7 - 1) * 1e9).alias("uparea_m2"))
+    layer = c.select("cell_id", R.cell_row(F.col("cell_lat")).alias("row"), R.cell_col(F.col("cell_lon")).alias("col"), ((F.col("cell_id") % 7 - 1) * 1e9).alias("uparea_m2"))
     return R.tag_upstream_area(c, layer).select("cell_id", "uparea_km2")
 
 
@@ -112,8 +112,9 @@ def r11(spark, d):
 
 @plan("r12_pixel_cell_key", with_(A4, A6) + ", c as (select distinct cell_id, cell_lat, cell_lon from discharge) select p.pixel_id, p.cell_id as owner from pixels p join c on c.cell_id = p.cell_id")
 def r12(spark, d):
-    c = R.pixel_cell_key(cells(spark, d), "cell_lat", "cell_lon").select("row", "col", F.col("cell_id").alias("owner"))
-    return R.pixel_cell_key(A.pixels(spark, d)).join(c, ["row", "col"]).select("pixel_id", "owner")
+    c = R.pixel_cell_key(cells(spark, d), "cell_lat", "cell_lon").select("row", "col", "cell_id")
+    p = R.pixel_cell_key(A.pixels(spark, d))
+    return p.join(c, R.cell_keys(p, c)).select("pixel_id", F.col("cell_id").alias("owner"))
 
 
 @plan("r13_flood_pixels", with_(A6, WET) + "select pixel_id, depth from wet")

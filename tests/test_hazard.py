@@ -208,3 +208,20 @@ def test_files_of_many_headers_in_one_scan(spark, tmp_path):
     out = C.read_raw_tracks(spark, str(tmp_path)).select("storm_id", "storm_identifier", "ensemble_member", "step", "latitude", "wind")
     assert sorted(map(str, map(tuple, out.collect()))) == sorted(map(str, want))
     assert out._jdf.queryExecution().optimizedPlan().toString().count("Relation [") <= 2  # the lines, and their files' headers
+
+
+def test_cells_that_share_a_grid_node_keep_their_own(spark):
+    """Two cells at one node: what names its cell meets that cell only, what does not meets both."""
+    cells = spark.createDataFrame([(1, 10.025, 20.025, 900.0), (7201, 10.025, 20.025, 100.0)], "cell_id long, cell_lat double, cell_lon double, uparea_km2 double")
+    pixels = spark.createDataFrame([(1, 10.03, 20.03, 0.5, 0), (7201, 10.02, 20.02, 0.5, 0)], "cell_id long, pixel_lat double, pixel_lon double, depth double, water int")
+    ex = spark.createDataFrame([(1, 2, 24, 1), (7201, 2, 24, 2)], "cell_id long, rp int, step_h int, member int")
+    masks = R.member_bitmask(ex)
+    got = sorted((r.pixel_lat, r.m024, r.below_min_basin) for r in R.extent_rows(pixels, masks, cells).collect())
+    assert got == [(10.02, 2, True), (10.03, 1, False)]
+    assert R.extent_rows(pixels.drop("cell_id"), masks, cells).count() == 4
+    prob = spark.createDataFrame([(1, 2, 24, 0.5), (7201, 2, 24, 0.25)], "cell_id long, rp int, step_h int, probability double")
+    painted = R.masked_probability(pixels, prob, cells)
+    assert sorted((r.pixel_lat, r.probability) for r in painted.collect()) == [(10.02, 0.25), (10.03, 0.5)]
+    layer = R.pixel_cell_key(cells, "cell_lat", "cell_lon").select("row", "col", "cell_id", (F.col("uparea_km2") * 1e6).alias("uparea_m2"))
+    tagged = R.tag_upstream_area(cells.drop("uparea_km2"), layer)
+    assert sorted((r.cell_id, r.uparea_km2) for r in tagged.collect()) == [(1, 900.0), (7201, 100.0)]
