@@ -9,6 +9,7 @@ Rings have the inside on their left: outer ones have a positive area, holes a ne
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.geo import number_text
@@ -85,10 +86,17 @@ def ring_points(field: DataFrame, keys: list[str], thresholds: dict[int, float])
 
 
 def rings(points: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, threshold, ring, n_points, area, hole, lon_min, lon_max, lat_min, lat_max) of each ring; area in square degrees, by its segments in any order."""
+    """(keys, threshold, ring, n_points, area, hole, lon_min, lon_max, lat_min, lat_max) of each ring; area in square degrees.
+
+    Rings through the nodes of a border have areas of zero but for the last bit, and its sign says whether they are holes, so segments are added up in the order of the ring, from its least crossing on: a running sum
+    within a ring, whose rows can spill.
+    """
+    by = [*keys, "threshold", "ring"]
     cross = (F.col("lon") * F.col("lat2") - F.col("lon2") * F.col("lat")) / 2
-    g = points.groupBy(*keys, "threshold", "ring").agg(
-        F.count("*").alias("n_points"), F.sum(cross).alias("area"), F.min("lon").alias("lon_min"), F.max("lon").alias("lon_max"), F.min("lat").alias("lat_min"), F.max("lat").alias("lat_max")
+    walk = W.partitionBy(*by).orderBy(F.col("ahead") != 0, F.desc("ahead")).rowsBetween(W.unboundedPreceding, W.currentRow)
+    last = F.max_by("_sum", F.struct((F.col("ahead") != 0).alias("a"), (-F.col("ahead")).alias("b")))
+    g = points.withColumn("_sum", F.sum(cross).over(walk)).groupBy(*by).agg(
+        F.count("*").alias("n_points"), last.alias("area"), F.min("lon").alias("lon_min"), F.max("lon").alias("lon_max"), F.min("lat").alias("lat_min"), F.max("lat").alias("lat_max")
     )
     return g.withColumn("hole", F.col("area") < 0)
 

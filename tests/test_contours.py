@@ -80,3 +80,13 @@ def test_a_long_winding_ring_closes(spark):
 def test_nothing_inside(spark):
     assert found(field(spark, [[0, 0], [0, 0]])) == []
     assert found(field(spark, [[0]]).limit(0)) == []
+
+
+def test_a_rings_area_is_summed_along_it(spark):
+    """The order of rows changes neither the last bit of an area nor, by its sign, what is a hole."""
+    parts = [1e16, 1.0, 1.0, -1e16, -1.0]  # along the ring: 1e16 takes in both ones, so -1 is left
+    rows = [(1, 1, 7, (5 - k) % 5, 0.0, 2 * x, 1.0, 0.0) for k, x in enumerate(parts)]
+    cells = "k int, threshold int, ring long, ahead long, lon2 double, lon double, lat2 double, lat double"
+    for some in (rows, rows[::-1], [rows[i] for i in (3, 0, 4, 1, 2)]):
+        (r,) = N.rings(spark.createDataFrame(some, cells).coalesce(1), ["k"]).collect()
+        assert (r.n_points, r.area, r.hole) == (5, -1.0, True)
