@@ -49,24 +49,39 @@ def nudge_antimeridian(x: Column) -> Column:
     return F.when(x <= -180, F.lit(-180 + NUDGE)).when(x >= 180, F.lit(180 - NUDGE)).otherwise(x)
 
 
-def number_text(x: Column, digits: int | None = None) -> Column:
-    """A double as plain text without exponent or trailing zero; rounded where digits is given."""
-    y = x if digits is None else F.round(x, digits)
+def _rounded(x: Column, digits: int | None) -> Column:
+    """Rounded where digits is given; what rounds to zero keeps its sign, as in C and SQL."""
+    return x if digits is None else F.when((x < 0) & (F.round(x, digits) == 0), F.lit(-0.0)).otherwise(F.round(x, digits))
+
+
+def _plain(y: Column) -> Column:
     text = F.when(F.abs(y) < 1e-3, F.regexp_replace(F.format_string("%.12f", y), "0+$", "")).otherwise(y.cast("string"))
-    return F.regexp_replace(F.regexp_replace(text, r"\.0*$", ""), "^-0$", "0")
+    return F.regexp_replace(text, r"\.0*$", "")
+
+
+def number_text(x: Column, digits: int | None = None) -> Column:
+    """A double as plain text without exponent or trailing zero; rounded where digits is given, with -0 for negatives that round to zero."""
+    text = _plain(_rounded(x, digits))
+    return text if digits is not None else F.regexp_replace(text, "^-0$", "0")
 
 
 def boxes_to_wkt(boxes: Column, digits: int | None = None) -> Column:
-    """POLYGON of one box, MULTIPOLYGON of more, each ring SW-SE-NE-NW-SW with nudged longitudes; null stays null."""
+    """POLYGON of one box, MULTIPOLYGON of more, each ring SW-SE-NE-NW-SW with nudged longitudes; null stays null.
+
+    Numbers are rounded, then written, each once for its box; a ring's corners only repeat their texts.
+    """
+    sides = ("lon_min", "lat_min", "lon_max", "lat_max")
+    each = lambda f: lambda b: F.struct(*[f(b[c], c).alias(c) for c in sides])
+    numbers = F.transform(boxes, each(lambda x, c: _rounded(nudge_antimeridian(x) if c.startswith("lon") else x, digits)))
+    texts = F.transform(numbers, each(lambda x, _: _plain(x) if digits is not None else number_text(x)))
 
     def ring(b):
-        w, e = (number_text(nudge_antimeridian(b[c]), digits) for c in ("lon_min", "lon_max"))
-        s, n = (number_text(b[c], digits) for c in ("lat_min", "lat_max"))
+        w, s, e, n = (b[c] for c in sides)
         corner = lambda x, y: F.concat(x, F.lit(" "), y)
         return F.concat(F.lit("(("), F.concat_ws(", ", corner(w, s), corner(e, s), corner(e, n), corner(w, n), corner(w, s)), F.lit("))"))
 
     one = F.size(boxes) == 1
-    rings = F.array_join(F.transform(boxes, ring), ", ")
+    rings = F.array_join(F.transform(texts, ring), ", ")
     return F.when(boxes.isNotNull(), F.concat(F.when(one, "POLYGON ").otherwise("MULTIPOLYGON ("), rings, F.when(one, "").otherwise(")")))
 
 

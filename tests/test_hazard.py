@@ -225,3 +225,12 @@ def test_cells_that_share_a_grid_node_keep_their_own(spark):
     layer = R.pixel_cell_key(cells, "cell_lat", "cell_lon").select("row", "col", "cell_id", (F.col("uparea_km2") * 1e6).alias("uparea_m2"))
     tagged = R.tag_upstream_area(cells.drop("uparea_km2"), layer)
     assert sorted((r.cell_id, r.uparea_km2) for r in tagged.collect()) == [(1, 900.0), (7201, 100.0)]
+
+
+def test_negatives_that_round_to_zero_keep_their_sign(spark):
+    """As the SQL twin's printf writes them."""
+    got = one(spark, *[geo.number_text(F.lit(x), 6).alias(f"c{k}") for k, x in enumerate((-1e-8, 1e-8, 0.0, -1e-6, -2.5, 12.3456785))])
+    assert list(got) == ["-0", "0", "0", "-0.000001", "-2.5", "12.345679"]
+    box = F.struct(F.lit(1.0).alias("lon_min"), F.lit(-1e-9).alias("lat_min"), F.lit(2.0).alias("lon_max"), F.lit(1.0).alias("lat_max"))
+    assert one(spark, geo.boxes_to_wkt(F.array(box), 6).alias("w")).w == "POLYGON ((1 -0, 2 -0, 2 1, 1 1, 1 -0))"
+    assert one(spark, geo.number_text(F.lit(-1e-14)).alias("t")).t == "0"
