@@ -14,6 +14,7 @@ from galeforge.operators import serving as Q
 from galeforge.operators import tracks as T
 from galeforge.operators import warehouse as H
 from galeforge.schemas import RAW_SCHEMA, TRACK_COLUMNS
+from galeforge.sources import adapters, tables
 from galeforge.sources import catalog as C
 
 DAY = dt.datetime(2024, 7, 1)
@@ -234,3 +235,14 @@ def test_negatives_that_round_to_zero_keep_their_sign(spark):
     box = F.struct(F.lit(1.0).alias("lon_min"), F.lit(-1e-9).alias("lat_min"), F.lit(2.0).alias("lon_max"), F.lit(1.0).alias("lat_max"))
     assert one(spark, geo.boxes_to_wkt(F.array(box), 6).alias("w")).w == "POLYGON ((1 -0, 2 -0, 2 1, 1 1, 1 -0))"
     assert one(spark, geo.number_text(F.lit(-1e-14)).alias("t")).t == "0"
+
+
+def test_parts_grow_with_the_table(spark, monkeypatch):
+    """Points and nodes are dealt in parts of so many rows of their table, whatever their bytes in the shuffle; radii take one aggregate, without a group for each threshold and quadrant."""
+    folder = "/root/testdata/sf0.01"
+    monkeypatch.setattr(tables, "ROWS_A_TASK", 5_000)
+    for df in (adapters.track_points(spark, folder), adapters.grid_field(spark, folder)):
+        assert df.rdd.getNumPartitions() == 12  # 60,000 rows
+    raw = adapters.raw_tracks(spark, folder)
+    wide = T.radii_to_wide(raw)
+    assert wide._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [") == raw._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [") + 1
