@@ -51,12 +51,15 @@ def read_extent_box(extent: DataFrame, lat_min: float, lat_max: float, lon_min:
 def blocks_of(cells: DataFrame, keys: list[str], value: str = "value", size: tuple[int, int] = (64, 64)) -> DataFrame:
     """(keys, block_row, block_col, values): grid cells (row, col) as packed blocks, one array of size[0] x size[1] in row order for each, null where there is no cell.
 
-    A block is bounded, so is what meets in a task; of several cells at one place the largest stays.
+    A block is bounded, so is what meets in a task; of several cells at one place the largest stays. Cells lie in order of place with nulls between them, so a block takes time by its size, not by its square.
     """
     place = (F.pmod("row", F.lit(size[0])) * size[1] + F.pmod("col", F.lit(size[1]))).cast("int")
     at = cells.where(F.col("row").isNotNull() & F.col("col").isNotNull()).groupBy(*keys, F.floor(F.col("row") / size[0]).cast("int").alias("block_row"), F.floor(F.col("col") / size[1]).cast("int").alias("block_col"), place.alias("_p")).agg(F.max(value).alias("_v"))
-    held = at.groupBy(*keys, "block_row", "block_col").agg(F.map_from_entries(F.collect_list(F.struct("_p", "_v"))).alias("_m"))
-    return held.select(*keys, "block_row", "block_col", F.transform(F.sequence(F.lit(0), F.lit(size[0] * size[1] - 1)), lambda i: F.try_element_at("_m", i)).alias("values"))
+    held = at.groupBy(*keys, "block_row", "block_col").agg(F.array_sort(F.collect_list(F.struct("_p", "_v"))).alias("_e"))
+    gap = lambda n: F.array_repeat(F.lit(None).cast(at.schema["_v"].dataType), n)
+    after = lambda x, k: F.concat(gap(x["_p"] - F.coalesce(F.get(F.col("_e"), k - 1)["_p"], F.lit(-1)) - 1), F.array(x["_v"]))
+    end = gap(size[0] * size[1] - 1 - F.try_element_at("_e", F.lit(-1))["_p"])
+    return held.select(*keys, "block_row", "block_col", F.concat(F.flatten(F.transform("_e", after)), end).alias("values"))
 
 
 def write_blocks(cells: DataFrame, path: str, keys: list[str], value: str = "value", size: tuple[int, int] = (64, 64), group_bytes: int = 16 << 20) -> DataFrame:
