@@ -15,13 +15,12 @@ MIN_LANGUAGE_SCORE = 0.05
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the profiles know; the others (no letters, or like none of them) go. A null lang becomes the predicted one.
 
-    Texts of langid.LONG characters need half of what nearly all of the language's own reach. Null and empty texts go; repeated rows stay; an empty table gives an empty one.
+    Texts of langid.LONG characters need half of what nearly all of the language's own that profiles were learnt from reach; each document is scored once, and the limits come from all of these scores. Null and empty texts go; repeated rows stay; an empty table gives an empty one.
     """
-    learnt = docs.where(~held_out())
-    prototypes = langid.learn_prototypes(learnt)
-    limits = langid.least_scores(learnt, prototypes)
+    prototypes = langid.learn_prototypes(docs.where(~held_out()))
     pred, score = private("lang_pred", docs), private("score", docs)
-    told = langid.identify(docs, prototypes, keep=tuple(docs.columns), names=(pred, score))
+    told = materialize(langid.identify(docs, prototypes, keep=tuple(docs.columns), names=(pred, score)), "told")
+    limits = langid.least_scores(told.where(~held_out()), pred, score)
     low = F.lit(MIN_LANGUAGE_SCORE)
     for lang, limit in limits.items():
         low = F.when((F.length("text") >= langid.LONG) & (F.col(pred) == lang), max(limit, MIN_LANGUAGE_SCORE)).otherwise(low)

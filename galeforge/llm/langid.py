@@ -7,15 +7,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, per_row, share_of, table
+from .common import held_out, per_row, table
 
 #: Width of the vectors; letter symbols (0 is what stands between words); seed of their random vectors.
 WIDTH, SYMBOLS, SEED = 512, 64, 20
 #: Trigram vectors kept by a worker at once, characters worked on at once, and languages that a task counts at once (2 MB each).
 KEPT, STEP, COUNTED = 40_000, 1_000_000, 32
 UNKNOWN = "und"
-#: Characters of a long text, and documents that limits for those are learnt from, about.
-LONG, LIMIT_DOCS = 300, 20_000
+#: Characters of a long text.
+LONG = 300
 
 
 def _symbol_table() -> np.ndarray:
@@ -157,16 +157,14 @@ def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], width: int = WI
     return per_row(docs, ["text"], start, {names[0]: "string", names[1]: "double"}, keep)
 
 
-def least_scores(docs: DataFrame, prototypes: dict[str, np.ndarray], most: int = LIMIT_DOCS) -> dict[str, float]:
-    """For each language the score that long texts of it have at least: half the lowest hundredth among about ``most`` of the documents, chosen by hash.
+def least_scores(told: DataFrame, pred: str = "lang_pred", score: str = "score") -> dict[str, float]:
+    """For each language the score that long texts of it have at least: half the lowest hundredth of all identified rows (text, lang, ``pred``, ``score``) whose lang is the predicted one.
 
-    Vectors of WIDTH have cosines of about 1 / sqrt(WIDTH) by chance, whatever the text; long texts of a known language are far above that.
+    Every row counts. Scores count to four places, so a task holds 10,001 numbers a language, however many rows there are. Vectors of WIDTH have cosines of about 1 / sqrt(WIDTH) by chance, whatever the text; long texts of a
+    known language are far above that.
     """
-    known = docs.where("lang is not null and doc_id is not null").where(F.length("text") >= LONG)
-    n = known.count()
-    some = known.where(share_of("doc_id", most / n)) if n > most else known
-    told = identify(some.select("text", "lang"), prototypes, keep=("lang",)).where("lang = lang_pred")
-    return {r["lang"]: r["low"] / 2 for r in told.groupBy("lang").agg(F.percentile("score", 0.01).alias("low")).collect()}
+    own = told.where((F.col("lang") == F.col(pred)) & (F.length("text") >= LONG))
+    return {r["lang"]: r["low"] / 2 for r in own.groupBy("lang").agg(F.percentile(F.round(score, 4), 0.01).alias("low")).collect()}
 
 
 def op9_langid(spark, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from galeforge.llm import common, mixing, registry, simhash
+from galeforge.llm import common, langid, mixing, registry, simhash
 from galeforge.llm.common import table
 from galeforge.llm.pii import base_spans
 from galeforge.llm.tokens import default_path
@@ -180,3 +180,12 @@ def test_cover_tree_takes_any_label_and_scale(spark):
     v = [(i, [x * s for x in (1.0, 0.01 * (i % 2), 0.0)], label) for i, (s, label) in enumerate([(1e-200, "a"), (1e200, "a"), (1.0, "a"), (1.0, "b")])]
     got = {r.vec_id: (r.n_links, r.component_id) for r in near_vectors(spark.createDataFrame(v, "vec_id long, embedding array<double>, label string")).collect()}
     assert got == {0: (2, 0), 1: (2, 0), 2: (2, 0), 3: (0, 3)}
+
+
+def test_limits_of_languages_count_every_row(spark):
+    """The lowest hundredth is of all rows, also far more than 20,000, and of long texts that are told right only."""
+    text, n = "x" * 300, 100_000
+    rows = spark.range(n).selectExpr("id as doc_id", f"'{text}' as text", "'en' as lang", "'en' as lang_pred", f"(id + 1) / {n} as score")
+    odd = spark.createDataFrame([(n, "x", "en", "en", 0.0), (n + 1, text, "en", "de", 0.0), (n + 2, text, None, "en", 0.0)], "doc_id long, text string, lang string, lang_pred string, score double")
+    got = langid.least_scores(rows.union(odd))
+    assert set(got) == {"en"} and abs(got["en"] - 0.005) < 1e-4
