@@ -33,26 +33,36 @@ def valid_time(base: Column, hours: Column) -> Column:
 
 
 def flatten_messages(messages: DataFrame) -> DataFrame:
-    """Message x member x period x threshold x quadrant to rows; a quadrant's row is there even without a radius.
+    """Message x member x period x threshold x quadrant to rows; a quadrant's row is there even without a radius."""
+    return radius_rows(message_points(messages))
+
+
+def message_points(messages: DataFrame) -> DataFrame:
+    """Message x member x period to rows with the thresholds and, as ``_m``, the radii that lie below them.
 
     Periods without hours are skipped, rows without a centre dropped; sentinels become null, those of the maximum wind's place too.
-    Each explode takes along only what lies below it: a period its members' radii, a member its own, so the work grows as the message does.
+    Each explode takes along only what lies below it: a period its members' radii, a member its own, so the work grows as the message does. Names and times are made before members are laid out.
     """
     n, n_periods, width = F.size("members"), F.size("periods"), 4 * F.size("thresholds")
-    identity = ["storm_identifier", "long_storm_name", "base_time", "thresholds"]
-    own = lambda i: F.transform("members", lambda _, k: F.slice("radii", (k * n_periods * 12 + i * 12 + 1).cast("int"), width))
-    m = messages.select(*identity, "members", n.alias("_n"), F.explode(F.transform("periods", lambda p, i: F.struct(p.alias("period"), own(i).alias("radii")))).alias("_p"))
-    m = m.withColumn("step", first_non_missing(F.col("_p.period.hours")).cast("int")).where("step is not null")
-    value = lambda c, k: null_sentinel(per_member_or_scalar(F.col(f"_p.period.{c}"), F.col("_n"), k))
     names = {"lat": "latitude", "lon": "longitude", "pressure": "pressure", "wlat": "wlatitude", "wlon": "wlongitude", "wind": "wind"}
-    one = lambda member, k: F.struct(member.alias("ensemble_member"), *[value(c, k).alias(name) for c, name in names.items()], F.try_element_at(F.col("_p.radii"), k + 1).alias("radii"))
-    m = m.select(*identity, "step", F.explode(F.transform("members", one)).alias("_m")).where("_m.latitude is not null and _m.longitude is not null")
-    cell = lambda j: F.struct(F.try_element_at("thresholds", F.floor(j / 4).cast("int") + 1).cast("int").alias("thr"), (j % 4).alias("q"), null_sentinel(F.try_element_at(F.col("_m.radii"), j + 1)).alias("radius"))
-    m = m.withColumn("_c", F.explode(F.transform(F.sequence(F.lit(0), width - 1, F.lit(1)), cell)))
+    identity = ["storm_id", "storm_identifier", "long_storm_name"]
+    own = lambda i: F.transform("members", lambda _, k: F.slice("radii", (k * n_periods * 12 + i * 12 + 1).cast("int"), width))
+    m = messages.withColumn("storm_id", storm_identity(F.col("storm_identifier"), F.col("long_storm_name")))
+    m = m.select(*identity, "base_time", "thresholds", "members", n.alias("_n"), F.explode(F.transform("periods", lambda p, i: F.struct(p.alias("period"), own(i).alias("radii")))).alias("_p"))
+    m = m.withColumn("step", first_non_missing(F.col("_p.period.hours")).cast("int")).where("step is not null").withColumn("datetime", valid_time(F.col("base_time"), F.col("step")))
+    m = m.select(*identity, "step", "datetime", "thresholds", "_n", "_p", F.posexplode("members").alias("_k", "ensemble_member"))
+    value = lambda c: null_sentinel(per_member_or_scalar(F.col(f"_p.period.{c}"), F.col("_n"), F.col("_k")))
+    m = m.where(value("lat").isNotNull() & value("lon").isNotNull())
+    return m.select(*identity, "ensemble_member", "step", "datetime", *[value(c).alias(name) for c, name in names.items()], "thresholds", F.try_element_at(F.col("_p.radii"), F.col("_k") + 1).alias("_m"))
+
+
+def radius_rows(points: DataFrame) -> DataFrame:
+    """Message points to a row for each threshold and quadrant. What a point has once is best made before this, as each becomes twelve rows."""
+    m = points.withColumn("_j", F.explode(F.sequence(F.lit(0), 4 * F.size("thresholds") - 1, F.lit(1))))
+    bearing = (F.col("_j") % 4) * 90.0
     return m.select(
-        storm_identity(F.col("storm_identifier"), F.col("long_storm_name")).alias("storm_id"), "storm_identifier", "long_storm_name", "_m.ensemble_member", "step",
-        valid_time(F.col("base_time"), F.col("step")).alias("datetime"), *[f"_m.{x}" for x in names.values()], F.col("_c.thr").alias("wind_threshold"), (F.col("_c.q") + 1).alias("quadrant"),
-        (F.col("_c.q") * 90.0).alias("bearing_start"), (F.col("_c.q") * 90.0 + 90).alias("bearing_end"), F.col("_c.radius").alias("wind_radius"),
+        *[c for c in points.columns if c not in ("thresholds", "_m")], F.try_element_at("thresholds", F.floor(F.col("_j") / 4).cast("int") + 1).cast("int").alias("wind_threshold"), (F.col("_j") % 4 + 1).alias("quadrant"),
+        bearing.alias("bearing_start"), (bearing + 90).alias("bearing_end"), null_sentinel(F.try_element_at("_m", F.col("_j") + 1)).alias("wind_radius"),
     )
 
 
