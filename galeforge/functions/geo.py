@@ -54,29 +54,38 @@ def _rounded(x: Column, digits: int | None) -> Column:
     return x if digits is None else F.when((x < 0) & (F.round(x, digits) == 0), F.lit(-0.0)).otherwise(F.round(x, digits))
 
 
-def _plain(y: Column) -> Column:
+def _plain(y: Column, signed_zero: bool = True) -> Column:
+    """A double's text. Between 1e-3 and 1e7 Spark's own has a point and no exponent, and only whole numbers end in zeros; the others go through patterns, which cost several times as much."""
     text = F.when(F.abs(y) < 1e-3, F.regexp_replace(F.format_string("%.12f", y), "0+$", "")).otherwise(y.cast("string"))
-    return F.regexp_replace(text, r"\.0*$", "")
+    text = F.regexp_replace(text, r"\.0*$", "")
+    text = text if signed_zero else F.regexp_replace(text, "^-0$", "0")
+    short = F.when(y == F.rint(y), y.cast("long").cast("string")).otherwise(y.cast("string"))
+    return F.when((F.abs(y) >= 1e-3) & (F.abs(y) < 1e7), short).otherwise(text)
 
 
 def number_text(x: Column, digits: int | None = None) -> Column:
     """A double as plain text without exponent or trailing zero; rounded where digits is given, with -0 for negatives that round to zero."""
-    text = _plain(_rounded(x, digits))
-    return text if digits is not None else F.regexp_replace(text, "^-0$", "0")
+    return _plain(_rounded(x, digits), digits is not None)
 
 
 def boxes_to_wkt(boxes: Column, digits: int | None = None) -> Column:
     """POLYGON of one box, MULTIPOLYGON of more, each ring SW-SE-NE-NW-SW with nudged longitudes; null stays null.
 
-    Numbers are rounded, then written, each once for its box; a ring's corners only repeat their texts.
+    Numbers are moved, rounded, signed and written, each step once for its number, as a transform of its own; a ring's corners only repeat the texts.
     """
-    sides = ("lon_min", "lat_min", "lon_max", "lat_max")
-    each = lambda f: lambda b: F.struct(*[f(b[c], c).alias(c) for c in sides])
-    numbers = F.transform(boxes, each(lambda x, c: _rounded(nudge_antimeridian(x) if c.startswith("lon") else x, digits)))
-    texts = F.transform(numbers, each(lambda x, _: _plain(x) if digits is not None else number_text(x)))
+    sides = lambda b: F.array(nudge_antimeridian(b["lon_min"]), b["lat_min"], nudge_antimeridian(b["lon_max"]), b["lat_max"])
+
+    def written(x):
+        if digits is None:
+            return F.transform(x, lambda v: number_text(v))
+        both = F.transform(x, lambda v: F.struct(v.alias("x"), F.round(v, digits).alias("y")))
+        signed = F.transform(both, lambda p: F.when((p["x"] < 0) & (p["y"] == 0), F.lit(-0.0)).otherwise(p["y"]))
+        return F.transform(signed, lambda y: _plain(y))
+
+    texts = F.transform(boxes, lambda b: written(sides(b)))
 
     def ring(b):
-        w, s, e, n = (b[c] for c in sides)
+        w, s, e, n = (b[k] for k in range(4))
         corner = lambda x, y: F.concat(x, F.lit(" "), y)
         return F.concat(F.lit("(("), F.concat_ws(", ", corner(w, s), corner(e, s), corner(e, n), corner(w, n), corner(w, s)), F.lit("))"))
 

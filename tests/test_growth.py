@@ -19,6 +19,21 @@ def holding(lines: list[str], what: str) -> list[int]:
     return [k for k, line in enumerate(lines) if what in line]
 
 
+@pytest.mark.parametrize("kt", ["", "_50", "_64"])
+def test_polygons_are_written_once(spark, kt):
+    assert len(holding(plan(spark, f"t15_boxes_to_wkt{kt}"), "array_join")) == 1
+
+
+def test_number_texts(spark):
+    def texts(numbers, digits=None):
+        rows = spark.createDataFrame([(x,) for x in numbers], "x double")
+        return [r.t for r in rows.select(number_text(rows.x, digits).alias("t")).collect()]
+
+    want = [(0.0, "0"), (-0.0, "0"), (12.0, "12"), (-7.0, "-7"), (100.5, "100.5"), (-0.125, "-0.125"), (1e-3, "0.001"), (5e-4, "0.0005"), (-1e-13, "0"), (1234567.0, "1234567"), (9999999.25, "9999999.25"), (1e7, "1.0E7")]
+    assert texts([x for x, _ in want]) == [t for _, t in want]
+    assert texts([-7.0, 100.5, -1e-9, 1e-9, 12.3456789], 6) == ["-7", "100.5", "-0", "0", "12.345679"]
+
+
 def test_message_times_are_written_before_the_twelve_rows(spark):
     lines = plan(spark, "m1_flatten_messages")
     assert holding(lines, "date_format")[0] > holding(lines, "Generate explode")[0]
