@@ -34,6 +34,11 @@ def test_number_texts(spark):
     assert texts([-7.0, 100.5, -1e-9, 1e-9, 12.3456789], 6) == ["-7", "100.5", "-0", "0", "12.345679"]
 
 
+@pytest.mark.parametrize("name", ["t12_quadrant_box", "t13_antimeridian_split", "t14_nudge_antimeridian"])
+def test_raw_rows_are_read_once(spark, name):
+    assert len(holding(plan(spark, name), "Relation [")) == 1
+
+
 def test_message_times_are_written_before_the_twelve_rows(spark):
     lines = plan(spark, "m1_flatten_messages")
     assert holding(lines, "date_format")[0] > holding(lines, "Generate explode")[0]
