@@ -39,6 +39,11 @@ def test_raw_rows_are_read_once(spark, name):
     assert len(holding(plan(spark, name), "Relation [")) == 1
 
 
+def test_forecast_times_are_written_after_the_aggregate(spark):
+    lines = plan(spark, "t2_forecast_time")
+    assert holding(lines, "date_format") == [0]
+
+
 def test_message_times_are_written_before_the_twelve_rows(spark):
     lines = plan(spark, "m1_flatten_messages")
     assert holding(lines, "date_format")[0] > holding(lines, "Generate explode")[0]
