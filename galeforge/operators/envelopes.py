@@ -143,7 +143,7 @@ def row_boxes(cells: DataFrame, keys: list[str]) -> DataFrame:
 def region_boxes(cells: DataFrame, keys: list[str]) -> DataFrame:
     """A region as few rectangles: runs of a row, and below each other as one where they have the same columns. (keys, r0, r1, c0, c1, south, north, west, east), edges half a cell out; each node lies in exactly one."""
     half = GRID / 2
-    runs = row_boxes(cells, keys).withColumn("_i", F.col("r") - F.row_number().over(W.partitionBy(*keys, "c0", "c1").orderBy("r")))
+    runs = row_boxes(cells, keys).withColumn("_i", F.col("r") - F.row_number().over(W.partitionBy("c0", "c1", *keys).orderBy("r")))  # columns first: sorting compares the first key fastest, and they have most values
     return runs.groupBy(*keys, "c0", "c1", "_i").agg(
         F.min("r").alias("r0"), F.max("r").alias("r1"), (F.min("lat") - half).alias("south"), (F.max("lat") + half).alias("north"), (F.min("west") - half).alias("west"), (F.max("east") + half).alias("east")
     ).drop("_i")
@@ -151,11 +151,12 @@ def region_boxes(cells: DataFrame, keys: list[str]) -> DataFrame:
 
 def region_texts(boxes: DataFrame, keys: list[str], most: int = 500) -> DataFrame:
     """(keys, part, region): each region's rectangles as geometry text, at most ``most`` a row, so that no row grows with its region."""
-    corner = lambda x, y: F.concat(number_text(F.col(x)), F.lit(" "), number_text(F.col(y)))
+    corner = lambda x, y: F.concat(f"_{x}", F.lit(" "), f"_{y}")
     ring = F.concat_ws(", ", *[corner(x, y) for x, y in (("west", "south"), ("east", "south"), ("east", "north"), ("west", "north"), ("west", "south"))])
     k = F.row_number().over(W.partitionBy(*keys).orderBy("r0", "c0"))
-    parts = boxes.select(*keys, F.floor((k - 1) / most).cast("int").alias("part"), F.struct("r0", "c0", F.concat(F.lit("POLYGON (("), ring, F.lit("))")).alias("t")).alias("_b"))
-    text = F.array_join(F.transform(F.array_sort(F.collect_list("_b")), lambda b: b["t"]), ", ")
+    texts = boxes.select(*keys, "r0", "c0", F.floor((k - 1) / most).cast("int").alias("part"), *[number_text(F.col(x)).alias(f"_{x}") for x in ("west", "south", "east", "north")])
+    parts = texts.select(*keys, "part", F.struct("r0", "c0", F.concat(F.lit("POLYGON (("), ring, F.lit("))")).alias("t")).alias("_b"))
+    text = F.array_join(F.sort_array(F.collect_list("_b")).getField("t"), ", ")
     return parts.groupBy(*keys, "part").agg(F.concat(F.lit("GEOMETRYCOLLECTION ("), text, F.lit(")")).alias("region"))
 
 
@@ -167,7 +168,7 @@ def individual_envelopes(cells: DataFrame, keys: list[str]) -> DataFrame:
     size = F.sum((F.col("r1") - F.col("r0") + 1) * (F.col("c1") - F.col("c0") + 1))
     return boxes.withColumn("_b", F.struct("r0", "c0", box.alias("t"))).groupBy(*keys).agg(
         size.alias("n_cells"), region_area(size).alias("area_km2"), F.min("west").alias("lon_min"), F.max("east").alias("lon_max"), F.min("south").alias("lat_min"), F.max("north").alias("lat_max"), F.count("*").alias("n_boxes"),
-        F.concat(F.lit("GEOMETRYCOLLECTION ("), F.array_join(F.transform(F.array_sort(F.collect_list("_b")), lambda b: b["t"]), ", "), F.lit(")")).alias("region"),
+        F.concat(F.lit("GEOMETRYCOLLECTION ("), F.array_join(F.sort_array(F.collect_list("_b")).getField("t"), ", "), F.lit(")")).alias("region"),
     )
 
 

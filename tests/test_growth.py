@@ -48,3 +48,7 @@ def test_message_times_are_written_before_the_twelve_rows(spark):
     lines = plan(spark, "m1_flatten_messages")
     assert holding(lines, "date_format")[0] > holding(lines, "Generate explode")[0]
     assert not holding(lines[: holding(lines, "Generate posexplode")[0]], "lambdafunction")
+
+
+def test_region_texts_are_put_in_order_without_a_lambda(spark):
+    assert "lambdafunction" not in plan(spark, "e14_region_texts")[0]
