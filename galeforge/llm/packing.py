@@ -170,6 +170,7 @@ def encoded(docs: DataFrame, path: str, end_id: int) -> DataFrame:
     """(doc_id, ids, route, stats) for every row: little-endian ids with end_id, of ID_TYPES[0] if the vocabulary allows; and one more row for each task, all null but its stats (bytes of an id, documents, ids, documents by id)."""
 
     def run(batches):
+        release()
         encode = encoder(path).encode
         size = max(encoder(path).tokenizer.get_vocab_size(), end_id + 1)
         kind = ID_TYPES[size > 1 << 16]

@@ -7,6 +7,8 @@ import os
 import numpy as np
 import regex
 
+from .common import release
+
 #: A space before anything but white space and control characters: there a new piece always begins.
 _ODD_SPACE, _CUT = regex.compile(r" (?![^\p{Z}\p{C}])"), regex.compile(r" (?=[^\p{Z}\p{C}])")
 #: Marks a text's first part, which has no space before it.
@@ -16,7 +18,7 @@ _LATIN = "ɐ"
 #: Stands between pieces that are encoded in one call; parts that hold it are encoded alone.
 _BETWEEN = "\x00"
 #: Characters worked on at once, about; longest part that is kept; and parts kept at most.
-_BLOCK, _LONGEST, _PARTS = 1_000_000, 1024, 500_000
+_BLOCK, _LONGEST, _PARTS = 500_000, 1024, 250_000
 
 
 def _byte_letters() -> dict[int, str]:
@@ -27,16 +29,16 @@ def _byte_letters() -> dict[int, str]:
 
 
 class _Table:
-    """Id lists by two 64-bit hashes of a part: a large sorted run, and a small one of what came since."""
+    """Id lists by two 64-bit hashes of a part: a large sorted run, and a small one of what came since. Rows, ends and ids are kept as short as they allow."""
 
-    def __init__(self):
-        self.runs = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))] * 2  # sorted hashes, and their rows
-        self.n, self.check, self.end, self.ids = 0, np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros(0, np.uint32)
+    def __init__(self, ids: type = np.uint32):
+        self.runs = [(np.zeros(0, np.uint64), np.zeros(0, np.int32))] * 2  # sorted hashes, and their rows
+        self.n, self.check, self.end, self.ids = 0, np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros(0, ids)
         self.hits = np.zeros(0, np.uint32)  # blocks that held a part
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """The row of each hash, -1 for new ones."""
-        out = np.full(len(hashes), -1, np.int64)
+        out = np.full(len(hashes), -1, np.int32)
         for keys, rows in self.runs:
             if len(keys):
                 at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
@@ -45,7 +47,7 @@ class _Table:
         return out
 
     def add(self, hashes: np.ndarray, check: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        rows, first = np.arange(len(sizes)) + self.n, int(self.end[self.n])
+        rows, first = np.arange(self.n, self.n + len(sizes), dtype=np.int32), int(self.end[self.n])
         self.check, self.hits = self._room(self.check, self.n, check), self._room(self.hits, self.n, np.zeros(len(sizes), np.uint32))
         self.ids = self._room(self.ids, first, ids)
         self.end = self._room(self.end, self.n + 1, first + np.cumsum(sizes))
@@ -61,7 +63,8 @@ class _Table:
     def _room(x: np.ndarray, n: int, more: np.ndarray) -> np.ndarray:
         """x with ``more`` after its first n values; if there is no room, in an array of twice the size."""
         if n + len(more) > len(x):
-            x = np.concatenate([x[:n], np.zeros(max(n, len(more)), x.dtype)])
+            old, x = x, np.empty(n + max(n, len(more)), x.dtype)  # what is never written takes no memory
+            x[:n] = old[:n]
         x[n : n + len(more)] = more
         return x
 
@@ -73,8 +76,8 @@ class _Table:
     def keep(self, n: int) -> None:
         """Keep the n rows of the parts met most often, the earlier of equals."""
         stay = np.sort(np.argsort(-self.hits[: self.n].astype(np.int64), kind="stable")[:n])
-        number = np.full(self.n, -1)
-        number[stay] = np.arange(len(stay))
+        number = np.full(self.n, -1, np.int32)
+        number[stay] = np.arange(len(stay), dtype=np.int32)
         self.ids, size = self.gather(stay)
         self.n, self.check, self.hits, self.end = len(stay), self.check[stay], self.hits[stay], np.concatenate([[0], np.cumsum(size)])
         keys, rows = (np.concatenate(x) for x in zip(*self.runs, strict=True))
@@ -111,8 +114,9 @@ class Encoder:
         self.pieces_only.pre_tokenizer = pre_tokenizers.Split(self.letters[0], "isolated")
         self.pattern = regex.compile(public_tokenizers.PATTERN)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.most, self.table = most, _Table()
+        self.most, self.table = most, _Table(np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32)
         rng = np.random.default_rng(7)
+        self.values = np.where(np.arange(256) == 32, 0, np.arange(1, 257)).astype(np.uint64)  # of each byte; of a space none
         self.weights = [rng.integers(1, 1 << 64, _LONGEST + 1, np.uint64) | np.uint64(1) for _ in range(2)]
 
     def _whole(self, text: str) -> np.ndarray:
@@ -183,6 +187,7 @@ class Encoder:
         out: list[np.ndarray] = [None] * len(held)
         if self.table.n > self.most:
             self.table.keep(self.most // 2)
+            release()
         docs, raws, counts = [], [], []
         for k, (text, goes_on) in enumerate(held):
             if _ODD_SPACE.search(text):
@@ -204,8 +209,14 @@ class Encoder:
                 out[k] = self._whole(held[k][0])
             return out
         place = np.arange(len(data), dtype=np.int32) - np.repeat(starts.astype(np.int32), np.concatenate([np.diff(starts), [len(data) - starts[-1]]]))
-        value = np.where(data == 32, 0, data + np.uint64(1))
-        own, check = (np.add.reduceat(value * w[place], starts) for w in self.weights)
+        value = self.values[data]
+
+        def sums(weights):
+            weighed = weights[place]
+            weighed *= value
+            return np.add.reduceat(weighed, starts)
+
+        own, check = map(sums, self.weights)
         del place, value
         distinct, first, back = np.unique(own, return_index=True, return_inverse=True)
         rows = self.table.find(distinct)
@@ -222,7 +233,7 @@ class Encoder:
         wrong = self.table.check[rows] != check  # two parts with one hash: their texts are encoded whole
         bad = set(np.searchsorted(last, np.flatnonzero(wrong), side="right").tolist()) if wrong.any() else ()
         for n, (k, a, b) in enumerate(zip(docs, [0, *cut], cut, strict=False)):
-            out[k] = self._whole(held[k][0]) if n in bad else ids[a:b]
+            out[k] = self._whole(held[k][0]) if n in bad else ids[a:b].astype(np.uint32)
         return out
 
 

@@ -35,6 +35,17 @@ def words(n, seed=0, vocabulary=400):
     return " ".join(f"w{r.randrange(vocabulary)}" for _ in range(n))
 
 
+def test_encoder_keeps_parts_in_few_bytes():
+    r = random.Random(5)
+    texts = [" ".join("".join(r.choices("abcdefghijklmnoprstuvwyz", k=6)) for _ in range(60_000)) for _ in range(7)]
+    e = Encoder(default_path())
+    got = [e.encode([t])[0] for t in texts]
+    plain = Tokenizer.from_file(default_path())
+    assert got[-1].dtype == np.uint32 and got[-1].tolist() == plain.encode(texts[-1], add_special_tokens=False).ids
+    held = [e.table.check, e.table.hits, e.table.end, e.table.ids, *(x for run in e.table.runs for x in run)]
+    assert e.table.n > 100_000 and sum(x.nbytes for x in held) < 16_000_000
+
+
 # Components.
 def brute_components(nodes, edges):
     root = {n: n for n in nodes}
