@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from galeforge.llm import chat, covertree, langid, mixing, packing, pii, quality, simhash, tokenstore, toxicity
-from galeforge.llm.common import held_out, shared_path
+from galeforge.llm.common import held_out, materialize, shared_path
 from galeforge.llm.components import connected_components, forest
 from galeforge.llm.tokens import Encoder, default_path
 
@@ -46,6 +46,12 @@ def test_encoder_keeps_parts_in_few_bytes():
     assert e.table.n > 100_000 and sum(x.nbytes for x in held) < 16_000_000
 
 
+def test_arrow_batches_end_by_their_bytes(spark):
+    rows = materialize(spark.range(3000, numPartitions=1).select(F.repeat(F.lit("x"), 10_000).alias("text")), "long")
+    sizes = rows.coalesce(1).mapInArrow(lambda batches: (type(b).from_pydict({"n": [b.num_rows], "size": [b.nbytes]}) for b in batches), "n long, size long").collect()
+    assert sum(r.n for r in sizes) == 3000 and max(r.size for r in sizes) < 12_000_000
+
+
 # Components.
 def brute_components(nodes, edges):
     root = {n: n for n in nodes}
