@@ -25,7 +25,8 @@ def read_raw_tracks(spark: SparkSession, path: str) -> DataFrame:
     """
     kinds = {x.split()[0]: x.split()[1] for x in RAW_SCHEMA.split(", ")}
     lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
-    first = lines.where("at = 0").groupBy("file").agg(F.first("value").alias("header"))
+    none = F.try_element_at(F.collect_list(F.when(F.col("at") > 0, F.col("value"))), F.lit(1))  # an aggregate with a list is kept by file in a hash map; a text alone would have all lines sorted
+    first = lines.where("at = 0").groupBy("file").agg(F.coalesce(F.first("value"), none).alias("header"))
     most = first.agg(F.coalesce(F.max(F.size(F.split("header", ","))), F.lit(1)).alias("n")).first()["n"]
     fields = ", ".join(f"c{k} string" for k in range(most))
     options = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "emptyValue": "", "nullValue": "\x00", "escape": '"', "mode": "PERMISSIVE"}

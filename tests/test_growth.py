@@ -61,3 +61,9 @@ def test_cells_of_one_place_meet_a_gauge_once(spark, monkeypatch):
     cells = spark.range(5, 105).selectExpr("id as cell_id", "10.0D as cell_lat", "20.0D as cell_lon")
     (got,) = rivers.nearest_cells(spark.createDataFrame([(1, 10.0, 20.5)], "gauge_id int, lat double, lon double"), cells).collect()
     assert (got.cell_id, got.distance) == (5, 0.5) and kept["cells"].count() == 1
+
+
+def test_headers_are_found_without_sorting_lines(spark):
+    got = plans.queries()["s1_many_headers"](spark, FOLDER)
+    assert "SortAggregate" not in got._jdf.queryExecution().executedPlan().toString()
+    assert holding(got._jdf.queryExecution().optimizedPlan().toString().split("\n"), "RepartitionByExpression")
