@@ -154,16 +154,26 @@ class Packer:
         self.open, self.filled = [], 0
 
 
-def route(terms: np.ndarray) -> int:
+def term_hashes(size: int) -> np.ndarray:
+    """A hash of each id of the vocabulary, 63 bits."""
+    h = np.arange(1, size + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return h >> np.uint64(1)
+
+
+def route(terms: np.ndarray, hashes: np.ndarray) -> int:
     """What brings like documents into one shard: the least hash of a document's ROUTE_TERMS highest ids.
 
     Ids of a byte-level vocabulary rise with the merges, which go from common to rare, so these are about its rarest terms; documents
     share the least hash as often as they share such terms.
     """
-    rare = terms[-ROUTE_TERMS:].astype(np.uint64) + np.uint64(1)
-    h = rare * np.uint64(0x9E3779B97F4A7C15)
-    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return int((h >> np.uint64(1)).min()) if len(h) else 0
+    return int(hashes[terms[-ROUTE_TERMS:]].min()) if len(terms) else 0
+
+
+def distinct(ids: np.ndarray) -> np.ndarray:
+    """The different ids in order; those of two bytes are sorted in time linear in their number."""
+    ids = np.sort(ids, kind="stable")
+    return ids[np.append(True, ids[1:] != ids[:-1])] if len(ids) else ids
 
 
 def encoded(docs: DataFrame, path: str, end_id: int) -> DataFrame:
@@ -174,16 +184,16 @@ def encoded(docs: DataFrame, path: str, end_id: int) -> DataFrame:
         encode = encoder(path).encode
         size = max(encoder(path).tokenizer.get_vocab_size(), end_id + 1)
         kind = ID_TYPES[size > 1 << 16]
-        stats = np.zeros(size + HEAD, "<i8")
+        stats, hashes = np.zeros(size + HEAD, "<i8"), term_hashes(size)
         for batch in sliced(batches):
             keys, found = batch.column(0), encode([t or "" for t in batch.column(1).to_pylist()])
-            ids, routes = [], []
-            for x in found:
-                terms = np.unique(x)
-                stats[terms.astype(np.int64) + HEAD] += 1
-                routes.append(route(terms))
-                ids.append(np.append(x, np.uint32(end_id)).astype(kind).tobytes())
-            stats[end_id + HEAD] += len(ids)
+            found = [x.astype(kind) for x in found]
+            terms = [distinct(x) for x in found]
+            routes = [route(x, hashes) for x in terms]
+            ids = [x.tobytes() + np.array(end_id, kind).tobytes() for x in found]
+            held = np.bincount(np.concatenate([np.zeros(0, kind), *terms]), minlength=size)
+            held[end_id] = len(ids)  # each document once, also where its text holds that id
+            stats[HEAD:] += held
             stats[1:HEAD] += len(ids), sum(map(len, ids)) // np.dtype(kind).itemsize
             yield pa.RecordBatch.from_arrays([keys, pa.array(ids, pa.binary()), pa.array(routes, pa.int64()), pa.nulls(len(ids), pa.binary())], names=["doc_id", "ids", "route", "stats"])
         stats[0] = np.dtype(kind).itemsize

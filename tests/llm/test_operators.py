@@ -46,6 +46,31 @@ def test_encoder_keeps_parts_in_few_bytes():
     assert e.table.n > 100_000 and sum(x.nbytes for x in held) < 16_000_000
 
 
+def test_encoder_keeps_a_word_once_whatever_follows():
+    r = random.Random(6)
+    own = sorted({"".join(r.choices("abcdefgéßł", k=7)) for _ in range(2000)})
+    texts = [" ".join(w + sign for w in own) for sign in ("", ",", ".", "!?", ".\nand", "\n\nthen", "2", "'s")]
+    plain, e = Tokenizer.from_file(default_path()), Encoder(default_path())
+    assert [x.tolist() for x in e.encode(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert e.table.n < 1.1 * len(own)
+
+
+def test_encoder_cuts_where_the_library_does():
+    r, some = random.Random(8), ["a", "B", "é", "×", "ɏ", "ɐ", "я", "7", "²", "'", "'s", "'ll", "'r", "re", ".", "|", "<|endoftext|>", "\n", "\n", "\t", "\r", " ", " ", "\xa0", "\x0b", "\x1c", "\x85", "\x00", "́", "中"]
+    texts = ["".join(r.choices(r.sample(some, 6), k=r.randrange(12))) for _ in range(4000)]
+    plain, e = Tokenizer.from_file(default_path()), Encoder(default_path(), most=500)
+    assert [x.tolist() for x in e.encode(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [e.encode([t])[0].tolist() for t in texts[:500]] == [plain.encode(t, add_special_tokens=False).ids for t in texts[:500]]
+
+
+def test_encoder_bounds_the_ids_it_keeps():
+    r = random.Random(9)
+    e = Encoder(default_path(), most=500)
+    for _ in range(20):
+        e.encode([" ".join("".join(r.choices("qxzjkv", k=900)) for _ in range(40))])
+    assert len(e.table.ids) < 100_000
+
+
 def test_arrow_batches_end_by_their_bytes(spark):
     rows = materialize(spark.range(3000, numPartitions=1).select(F.repeat(F.lit("x"), 10_000).alias("text")), "long")
     sizes = rows.coalesce(1).mapInArrow(lambda batches: (type(b).from_pydict({"n": [b.num_rows], "size": [b.nbytes]}) for b in batches), "n long, size long").collect()
@@ -167,6 +192,12 @@ def test_packing_counts_the_corpus(spark, monkeypatch):
     assert {k: int(n) for k, n in enumerate(got.df) if n} == dict(df)
 
 
+def test_packing_counts_a_document_once(spark):
+    """The end id is that of a quotation mark, which texts may hold too."""
+    stats = packing.encoded(docs(spark, [(i, 'say "x" now' if i % 2 else "x", "en", "s") for i in range(8)]), default_path(), 1).select("stats").where("stats is not null")
+    assert packing.corpus_of(stats).df[1] == 8
+
+
 def check_pieces(rows, texts, end_id, window=2048):
     plain = Tokenizer.from_file(default_path())
     by_doc, by_sequence = defaultdict(list), defaultdict(list)
