@@ -9,6 +9,7 @@ from ..operators import envelopes as E
 from ..operators import rain as P
 from ..schemas import GUST_THRESHOLDS, WIND_THRESHOLDS
 from ..sources import adapters as A
+from ..sources.tables import read
 from .base import A1, A3, A7, plan, with_
 from .track_plans import TIME, text
 
@@ -160,9 +161,13 @@ def ring_points(spark, d):
     return N.ring_points(A.grid_field(spark, d), RING_KEYS, RING_THRESHOLDS)
 
 
+def field_rings(spark, d):
+    return N.field_rings(A.grid_field(spark, d), RING_KEYS, RING_THRESHOLDS, read(spark, d, "lineitem").count())
+
+
 @plan("e10_contour_rings", with_(A3, _SQUARES, _RINGS, recursive=True) + "select member, step, threshold, ring, cast(n_points as bigint) as n_points, round(area, 6) as area, hole, lon_min, lon_max, lat_min, lat_max from found")
 def e10_rings(spark, d):
-    return N.rings(ring_points(spark, d), RING_KEYS).withColumn("area", F.round("area", 6))
+    return field_rings(spark, d).withColumn("area", F.round("area", 6))
 
 
 @plan(

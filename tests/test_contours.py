@@ -2,9 +2,13 @@
 
 import math
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from galeforge import plans
 from galeforge.operators import contours as N
+from galeforge.sources.scratch import written
 
 FIELD = "k int, r int, c int, lat double, lon double, value double"
 
@@ -90,3 +94,39 @@ def test_a_rings_area_is_summed_along_it(spark):
     for some in (rows, rows[::-1], [rows[i] for i in (3, 0, 4, 1, 2)]):
         (r,) = N.rings(spark.createDataFrame(some, cells).coalesce(1), ["k"]).collect()
         assert (r.n_points, r.area, r.hole) == (5, -1.0, True)
+
+
+@pytest.mark.parametrize("name", ["e10_contour_rings"])
+def test_what_lies_within_a_tile_is_not_written_as_segments(spark, monkeypatch, name):
+    """A query's own tables have a row for each tile and for each stretch that leaves one, not for each segment and round."""
+    rows = []
+
+    def counted(df, label, path=None):
+        out = written(df, label, path)
+        rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(N, "written", counted)
+    assert plans.queries()[name](spark, "/root/testdata/sf0.001").count() and sum(rows) < 500  # of about 6,000 nodes
+
+
+def test_tiles_of_any_size_have_the_same_rings(spark):
+    """Rings that wind through tiles, with gaps, saddles and values at the threshold, to the last bit of their areas."""
+    rng = np.random.default_rng(7)
+    noise = [[None if x == 4 else "nan" if x == 5 else x for x in row] for row in rng.integers(0, 6, (12, 17)).tolist()]
+    comb = [[0] * 22] + [[0] + [1 if r == 0 or c % 2 == 0 else 0 for c in range(20)] + [0] for r in range(14)] + [[0] * 22]
+    df = field(spark, noise).union(field(spark, comb, k=2)).withColumns({"lat": F.col("lat") / 3, "lon": F.col("lon") / 7})
+    got = []
+    for bits in (0, 2, 8):
+        points = N.ring_points(df, ["k"], {1: 0.5, 2: 1.0}, bits=bits)
+        found = N.field_rings(df, ["k"], {1: 0.5, 2: 1.0}, bits=bits)
+        got.append([sorted(map(tuple, d.select(sorted(d.columns)).collect())) for d in (points, found, N.rings(points, ["k"]))])
+    assert got[0] == got[1] == got[2] and got[0][1] == got[0][2]
+    assert max(r.n_points for r in found.collect()) > 200
+
+
+def test_measures_add_up_along_the_ring():
+    """As test_a_rings_area_is_summed_along_it, within a tile: no pairs of numbers are added first."""
+    parts = np.array([3.0, 1e16, 1.0, 1.0, -1e16, -1.0, 0.25, 0.5, *([1.0] * 9 + [1e16] + [1.0] * 9 + [-1e16])])
+    size = np.array([1, 5, 2, 20])
+    assert N._sums(parts, size).tolist() == [3.0, -1.0, 0.75, 8.0]
