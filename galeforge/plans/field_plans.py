@@ -157,10 +157,6 @@ _RINGS = """walk(member, step, threshold, ring, here, n_points, area, lon_min, l
   found as (select *, area < 0 as hole from walk where here = ring)"""
 
 
-def ring_points(spark, d):
-    return N.ring_points(A.grid_field(spark, d), RING_KEYS, RING_THRESHOLDS)
-
-
 def field_rings(spark, d):
     return N.field_rings(A.grid_field(spark, d), RING_KEYS, RING_THRESHOLDS, read(spark, d, "lineitem").count())
 
@@ -175,7 +171,7 @@ def e10_rings(spark, d):
     with_(A3, _SQUARES, _RINGS, recursive=True) + "select member, step, threshold, count(*) filter (where not hole) as n_outer, count(*) filter (where hole) as n_holes, round(sum(area) * 11544, 3) as area_km2, min(lon_min) as lon_min, max(lon_max) as lon_max, min(lat_min) as lat_min, max(lat_max) as lat_max from found group by member, step, threshold",
 )
 def e14_rings(spark, d):
-    return N.ring_envelopes(N.rings(ring_points(spark, d), RING_KEYS), RING_KEYS).withColumn("area_km2", F.round("area_km2", 3))
+    return N.ring_envelopes(field_rings(spark, d), RING_KEYS).withColumn("area_km2", F.round("area_km2", 3))
 
 
 @plan("e11_merge_windows", with_(A3, CELLS) + f"select distinct {NODE}, threshold from cells where c <= 12 or c >= 8")

@@ -96,7 +96,7 @@ def test_a_rings_area_is_summed_along_it(spark):
         assert (r.n_points, r.area, r.hole) == (5, -1.0, True)
 
 
-@pytest.mark.parametrize("name", ["e10_contour_rings"])
+@pytest.mark.parametrize("name", ["e10_contour_rings", "e14_ring_envelopes"])
 def test_what_lies_within_a_tile_is_not_written_as_segments(spark, monkeypatch, name):
     """A query's own tables have a row for each tile and for each stretch that leaves one, not for each segment and round."""
     rows = []
